@@ -24,7 +24,7 @@ SLACK = 1e-9
 
 
 def word_weights(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and weights of the `words` words that most documents have. The table's size is that bound, whatever the corpus."""
+    """Hashes and weights of the words that most documents have, at most `words`. That bounds the table, whatever the corpus."""
 
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -46,8 +46,13 @@ def word_weights(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
             yield out()
 
     n_docs = docs.count()
-    counts = docs.select(text_or_empty().alias("text")).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(words).collect()
+    counts = stored(docs.select(text_or_empty().alias("text")).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    # the lowest power of two that at most `words` words reach: a histogram of at most 63 rows, then no more rows than that
+    left, edge = words, None
+    for r in counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count("*").alias("n")).orderBy(F.desc("power")).collect():
+        left -= r["n"]
+        edge = 2 ** r["power"] if left >= 0 else edge
+    top = counts.filter(F.col("n") >= edge).collect() if edge else []
     df = np.array([r["n"] for r in top], float)
     weights = 1 + np.log(max(n_docs, 2) / np.maximum(df, 1)) / np.log(max(n_docs, 2))
     return np.array([r["word"] for r in top], np.int64).view(np.uint64), np.clip(weights, 1, 2)
