@@ -21,7 +21,7 @@ OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 class StretchEncoder:
     """Ids as little-endian unsigned 32-bit bytes. Keeps at most `limit` stretches of up to `longest` characters."""
 
-    def __init__(self, path: str, limit: int = 600_000, longest: int = 48):
+    def __init__(self, path: str, limit: int = 900_000, longest: int = 48):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -35,38 +35,38 @@ class StretchEncoder:
         self.bytes_as_letters = {i: as_letters.pre_tokenize_str(chr(i))[0][0] for i in range(32, 256)}
         self.known: dict[str, bytes] = {}
 
-    def fresh(self, parts: list[str]) -> list[bytes]:
-        """The ids of each part. Latin words go to the vocabulary's own merge model, many at a time; the rest to the whole tokenizer."""
-        found: dict[str, bytes] = {}
-        words = [x for x in parts if WORD.fullmatch(x)]
-        for i in range(0, len(words), 512):
-            group = words[i : i + 512]
-            mapped = "\n".join(group) if self.spaces else "\n".join(map(str.strip, group)).lower()
-            mapped = mapped.translate(self.bytes_as_letters)
-            got = self.merges.encode(mapped, add_special_tokens=False)
-            raw, which = np.asarray(got.ids, "<u4").tobytes(), np.asarray(got.word_ids)
-            ends = np.searchsorted(which, np.arange(len(group)), side="right").tolist()
+    def learn(self, parts: list[str]) -> None:
+        """Keep the ids of each part. Latin words go to the vocabulary's own merge model, many at a time; the rest to the whole tokenizer."""
+        known, is_word = self.known, WORD.fullmatch
+        words, rest = [], []
+        for x in parts:
+            (words if is_word(x) else rest).append(x)
+        groups = [words[i : i + 512] for i in range(0, len(words), 512)]
+        mapped = ["\n".join(g) if self.spaces else "\n".join(map(str.strip, g)).lower() for g in groups]
+        for group, got in zip(groups, (self.merges.encode(x.translate(self.bytes_as_letters), add_special_tokens=False) for x in mapped), strict=True):
+            raw = np.array(got.ids, "<u4").tobytes()
+            ends = (4 * np.searchsorted(np.array(got.word_ids), np.arange(len(group)), side="right")).tolist()
             start = 0
             for x, end in zip(group, ends, strict=True):
-                found[x] = raw[4 * start : 4 * end]
+                known[x] = raw[start:end]
                 start = end
-        rest = [x for x in parts if x not in found]
-        found.update((x, np.asarray(y.ids, "<u4").tobytes()) for x, y in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True))
-        return [found[x] for x in parts]
+        known.update((x, np.array(y.ids, "<u4").tobytes()) for x, y in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.limit:
             self.known.clear()
-        known = self.known
+        get = self.known.get
         parts = [[x] if OTHER_SPACE.search(x) else STRETCH.findall(x) for x in texts]
-        distinct: set[str] = set()
-        distinct.update(*parts)
-        new = [x for x in distinct if x not in known]
-        known.update(zip(new, self.fresh(new), strict=True))
-        out = [b"".join(map(known.__getitem__, x)) for x in parts]
+        found = [list(map(get, x)) for x in parts]
+        new: set[str] = set()
+        for x, v in zip(parts, found, strict=True):
+            if None in v:
+                new.update([y for y, z in zip(x, v, strict=True) if z is None])
+        self.learn(list(new))
+        out = [b"".join(map(get, x) if None in v else v) for x, v in zip(parts, found, strict=True)]
         for x in new:
             if len(x) > self.longest:
-                del known[x]
+                del self.known[x]
         return out
 
 

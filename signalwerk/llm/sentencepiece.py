@@ -56,8 +56,13 @@ class Model:
         self.word = re.compile(f"{SPACE}+[{body}]*|[{body}]+|." if cut_at_space else f"[{body}]+|.", re.DOTALL)
         self.keep = keep
         self.known: dict[str, bytes] = {}
-        self.compatible = lru_cache(1 << 18)(lambda a, b: self.merged(a + b) == [a, b])
-        self.whole = lru_cache(1 << 16)(lambda piece: self.merged(piece) == [piece])
+        self.halves = lru_cache(1 << 17)(self._halves)
+        self.compatible = lru_cache(1 << 18)(self._compatible)
+        self.reach: dict[str, int] = {}
+        for p in self.score:
+            self.reach[p[0]] = max(self.reach.get(p[0], 1), len(p))
+        self.usable = {p for p in self.score if self.whole(p)} if self.kind == "merge" else set(self.score)
+        self.raw = [bytes([self.byte_of[i]]) if i in self.byte_of else p.encode() for i, p in enumerate(self.pieces)]
 
     def normal(self, text: str) -> str:
         return ((" " if self.prefix and text else "") + text).replace(" ", SPACE)
@@ -79,6 +84,36 @@ class Model:
             parts[-at : 2 - at] = [parts[-at] + parts[1 - at]]
         return parts
 
+    def _halves(self, piece: str) -> tuple[str, str] | None:
+        """The two parts that merging a piece's characters joins last; None if they don't end up as the piece."""
+        parts = list(piece)
+        while len(parts) > 2:
+            best, at = max((self.score.get(a + b, NONE), -i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+            if best == NONE:
+                return None
+            parts[-at : 2 - at] = [parts[-at] + parts[1 - at]]
+        return (parts[0], parts[1]) if len(parts) == 2 else None
+
+    def whole(self, piece: str) -> bool:
+        return len(piece) == 1 or self.halves(piece) is not None
+
+    def _compatible(self, a: str, b: str) -> bool:
+        """Whether merging a + b leaves a and b: undo the later of their last merges, one after another, and see that no pair across the border would have come before it."""
+        score, limit, left_wins = self.score, NONE, False
+        while True:
+            across = score.get(a + b, NONE)
+            # pairs of one score go from left to right
+            if across > limit or (across == limit and left_wins and across != NONE):
+                return False
+            sa = score.get(a, NONE) if len(a) > 1 else float("inf")
+            sb = score.get(b, NONE) if len(b) > 1 else float("inf")
+            if sa == sb == float("inf"):
+                return True
+            if sb <= sa:  # b's last merge came later, or as late but further right
+                limit, left_wins, b = sb, True, self.halves(b)[0]
+            else:
+                limit, left_wins, a = sa, False, self.halves(a)[1]
+
     def step(self, before: str | None, piece: str) -> float:
         """The weight of a piece after another; before is None where all states are one."""
         if self.kind == "merge":
@@ -88,9 +123,9 @@ class Model:
     def at(self, text: str, start: int) -> Iterator[str]:
         """Pieces that can begin at a place: single characters always, longer ones that the model has and merging can leave."""
         yield text[start]
-        for n in range(2, min(self.longest, len(text) - start) + 1):
+        for n in range(2, min(self.reach.get(text[start], 1), len(text) - start) + 1):
             piece = text[start : start + n]
-            if piece in self.score and (self.kind == "unigram" or self.whole(piece)):
+            if piece in self.usable:
                 yield piece
 
     def forward(self, text: str, enter: dict[tuple[int, str | None], float], begin: int, end: int) -> tuple[dict, dict]:
@@ -119,10 +154,32 @@ class Model:
         return best, came
 
     def word_pieces(self, word: str) -> list[str]:
+        if self.kind == "merge":
+            return self.only_way(word)
         best, came = self.forward(word, {(0, None): 0.0}, 0, len(word))
         last = max(best[len(word)].items(), key=lambda x: (x[1], -len(x[0])))[0]
         return traced(came, (len(word), last), (0, None))
 
+    def only_way(self, word: str) -> list[str]:
+        """forward() and traced() for a merge model from a cut: merging splits each prefix in one way, so each place has one state at most."""
+        n, usable, reach, compatible = len(word), self.usable, self.reach.get, self.compatible
+        last: list[str | None] = [None] * (n + 1)
+        for place in range(n):
+            before = last[place]
+            if before is None and place:
+                continue
+            if place == 0 or compatible(before, word[place]):
+                last[place + 1] = word[place]
+            for stop in range(place + 2, min(n, place + reach(word[place], 1)) + 1):
+                piece = word[place:stop]
+                if piece in usable and (place == 0 or compatible(before, piece)):
+                    last[stop] = piece
+        out = []
+        while n:
+            out.append(last[n])
+            n -= len(last[n])
+        return out[::-1]
+
     def word_ids(self, word: str) -> bytes:
         ids = [i for p in self.word_pieces(word) for i in self.ids_of(p)]
         return np.asarray(ids, "<u4").tobytes()
@@ -140,8 +197,7 @@ class Model:
         return b"".join(known[w] if w in known else once[w] for w in words) if once else b"".join(map(known.__getitem__, words))
 
     def decode(self, ids: list[int]) -> str:
-        raw = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.pieces[i].encode() for i in ids)
-        text = raw.decode("utf-8", "replace").replace(SPACE, " ")
+        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -346,7 +402,7 @@ def _giants(rows: DataFrame, vocabulary: str, kind: str | None, size: int, resul
             for text, begin, end, a, b in zip(*(cols[c] for c in ("text", "begin", "end", "enter", "leave")), strict=True):
                 c = chunk_of(model, text, begin, end)
                 raw = c.ids(a, b)
-                said = b"".join(bytes([model.byte_of[i]]) if i in model.byte_of else model.pieces[i].encode() for i in np.frombuffer(raw, "<u4").tolist())
+                said = b"".join(map(model.raw.__getitem__, np.frombuffer(raw, "<u4").tolist()))
                 raws.append(raw)
                 trips.append(said.decode("utf-8", "replace").replace(SPACE, " ") == text[begin + c.enter[a][0] : end + c.leave[b][0]])
             yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("doc_id"), batch.column("k"), pa.array(raws, pa.binary()), pa.array(trips, pa.bool_())], names=["uid", "doc_id", "k", "ids", "same"])
