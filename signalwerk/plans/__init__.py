@@ -1,4 +1,5 @@
 """Named queries over the given tables, with SQL that has the same result."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from .catalog import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

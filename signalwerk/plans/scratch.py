@@ -1,0 +1,17 @@
+"""Folders for intermediate tables of the plans."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder name in spark.checkpoint.dir, or in a temp folder where that is unset, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = f"file://{tempfile.mkdtemp(prefix='signalwerk-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
