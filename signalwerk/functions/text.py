@@ -5,6 +5,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Place kinds and the words that name them; only the shop words are case-sensitive.
 PLACE_WORDS = {
@@ -34,7 +35,7 @@ def mentions(text: Column) -> Column:
     return F.array_sort(F.array_compact(F.array(*(F.when(text.rlike(("(?U)" if kind == "shop" else "(?iuU)") + words), kind) for kind, words in PLACE_WORDS.items()))))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """Unicode NFKC and case folding, for which Spark has no function."""
     return texts.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x).casefold())

@@ -31,7 +31,7 @@ def between(html: Column, begin: str, end: str) -> Column:
 def numbered_items(text: Column) -> Column:
     """Items of a bulletin whose lines `1. Title` begin them: array of (number, title, body)."""
     parts = F.filter(F.split(text, r"(?m)(?=^\d+\.\s)"), lambda p: p.rlike(r"^\d+\.\s"))
-    return F.transform(parts, lambda p: F.struct(F.regexp_extract(p, r"^(\d+)\.", 1).cast("int").alias("number"), F.trim(F.regexp_extract(p, r"^\d+\.\s([^\n]*)", 1)).alias("title"), F.trim(F.regexp_extract(p, r"(?s)^[^\n]*\n(.*)$", 1)).alias("body")))
+    return F.transform(parts, lambda p: F.struct(F.regexp_extract(p, r"^(\d+)\.", 1).cast("int").alias("number"), F.trim(F.regexp_extract(p, r"^\d+\.\s([^\n]*)", 1)).alias("title"), F.regexp_replace(F.regexp_extract(p, r"(?s)^[^\n]*\n(.*)$", 1), r"^\s+|\s+$", "").alias("body")))
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
