@@ -29,7 +29,7 @@ NORMAL, UNKNOWN, BYTE = 1, 2, 6
 class Model:
     """Pieces, scores and options of a .model file. kind is "unigram" or "merge"; by default the file's own."""
 
-    def __init__(self, path: str, kind: str | None = None, keep: int = 600_000):
+    def __init__(self, path: str, kind: str | None = None, keep: int = 1_200_000):
         from sentencepiece import sentencepiece_model_pb2 as proto
 
         m = proto.ModelProto()
@@ -57,10 +57,11 @@ class Model:
         self.keep = keep
         self.known: dict[str, bytes] = {}
         self.halves = lru_cache(1 << 17)(self._halves)
-        self.compatible = lru_cache(1 << 18)(self._compatible)
+        self.compatible = lru_cache(1 << 19)(self._compatible)
         self.reach: dict[str, int] = {}
         for p in self.score:
             self.reach[p[0]] = max(self.reach.get(p[0], 1), len(p))
+        self.piece_ids = lru_cache(1 << 17)(lambda piece: np.asarray(self.ids_of(piece), "<u4").tobytes())
         self.usable = {p for p in self.score if self.whole(p)} if self.kind == "merge" else set(self.score)
         self.raw = [bytes([self.byte_of[i]]) if i in self.byte_of else p.encode() for i, p in enumerate(self.pieces)]
 
@@ -181,8 +182,7 @@ class Model:
         return out[::-1]
 
     def word_ids(self, word: str) -> bytes:
-        ids = [i for p in self.word_pieces(word) for i in self.ids_of(p)]
-        return np.asarray(ids, "<u4").tobytes()
+        return b"".join(map(self.piece_ids, self.word_pieces(word)))
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit integers."""

@@ -133,7 +133,7 @@ def test_sentencepiece_is_the_library(spark, odd):
             cut = [sentencepiece.Chunk(m, t[max(0, k - 64) : min(len(t), k + size) + 64], k - max(0, k - 64), min(len(t), k + size) - max(0, k - 64)) for k in range(0, len(t), size)]
             raw = b"".join(c.ids(a, b) for c, (a, b) in zip(cut, sentencepiece.chosen([c.matrix() for c in cut]), strict=True))
             got = np.frombuffer(raw, "<u4").tolist()
-            assert got == ids if kind == "merge" else abs(weight(got) - weight(ids)) < 1e-6
+            assert got == ids if kind == "merge" else abs(weight(got) - weight(ids)) < 1e-3
     want = collections.Counter((r["doc_id"], len(i := merge.encode(r["text"] or "")), zlib.crc32(np.array(i, "<u4").tobytes()), True) for r in odd.collect())
     assert want == collections.Counter(tuple(r) for r in sentencepiece.encoded(odd, chunk=5000).collect())
     a, b, c = (np.random.default_rng(i).normal(size=(3, 3)) for i in range(3))
