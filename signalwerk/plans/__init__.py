@@ -1,5 +1,6 @@
 """Named queries over the given tables, with SQL that has the same result."""
 
+from . import geometry_queries  # noqa: F401 (registers its queries)
 from .catalog import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

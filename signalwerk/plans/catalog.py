@@ -12,7 +12,7 @@ from ..operators import places, reviews, versions
 from ..sources import listing
 from ..streaming import accept
 from . import publish
-from .scratch import folder
+from ..scratch import folder
 
 ZONE = 33
 LON, LAT = "(13.1 + (event_id * 7919 % 60000) / 100000.0)", "(52.35 + (user_id * 104729 % 30000) / 100000.0)"

@@ -1,11 +1,11 @@
-"""Folders for intermediate tables of the plans."""
+"""The shared folder for intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -15,3 +15,10 @@ def folder(spark: SparkSession, name: str) -> str:
         base = f"file://{tempfile.mkdtemp(prefix='signalwerk-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df, written as Parquet to the shared folder and read again: cuts the lineage and survives lost executors."""
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
