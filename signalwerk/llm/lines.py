@@ -61,14 +61,18 @@ def deduplicated(docs: DataFrame, min_sites: int = 10) -> DataFrame:
 
     A line that at least min_sites different sources have stays at its first place (smallest doc_id, then text hash, then line) and goes
     everywhere else. Lines are compared after normal(); blank lines stay. Null text stays null with 0 lines. Rows with equal doc_id and text
-    are treated alike, so both keep a line whose first place they are. Null doc_ids come last. Columns besides doc_id, text and source pass through.
+    are treated alike, so both keep a line whose first place they are. Null doc_ids come last. Other columns pass through; own n_lines and n_removed are replaced.
     """
-    gone = removals(docs, min_sites).select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "gone")
-    both = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_key")), "left")
-    lines = F.split("text", "\n")
-    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(without(lines, F.col("gone")), "\n"))
+    gone = removals(docs, min_sites).select(F.struct("doc_id", "text_key", "gone").alias("loses"))
+    # in structs, no column of the documents can clash with those of the removals
+    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
+    both = rows.join(gone, F.col("row.doc_id").cast("long").eqNullSafe(F.col("loses.doc_id")) & (F.xxhash64("row.text") == F.col("loses.text_key")), "left")
+    text, gone_here = F.col("row.text"), F.col("loses.gone")
+    lines = F.split(text, "\n")
+    kept = F.when(gone_here.isNull(), text).otherwise(F.array_join(without(lines, gone_here), "\n"))
     n = F.coalesce(F.size(F.filter(lines, lambda x: normal(x) != "")), F.lit(0))
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns if c != "text"], kept.alias("text"), F.when(F.col("text").isNull(), 0).otherwise(n).alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"))
+    others = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
+    return both.select(*others, kept.alias("text"), F.when(text.isNull(), 0).otherwise(n).alias("n_lines"), F.coalesce(F.size(gone_here), F.lit(0)).alias("n_removed"))
 
 
 ORACLE = """

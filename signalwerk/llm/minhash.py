@@ -58,15 +58,14 @@ def word_weights(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array([r["word"] for r in top], np.int64).view(np.uint64), np.clip(weights, 1, 2)
 
 
-_weighers: dict[int, Weigher] = {}
+_latest: list = [None, None]
 
 
 def weigher(shared) -> Weigher:
-    """The weigher of a broadcast table; a Python worker keeps the latest."""
-    if id(shared.value) not in _weighers:
-        _weighers.clear()
-        _weighers[id(shared.value)] = Weigher(dict(zip(*(x.tolist() for x in shared.value), strict=True)))
-    return _weighers[id(shared.value)]
+    """The weigher of a broadcast table; a Python worker keeps the latest, and the table with it, so that no other can take its place."""
+    if _latest[0] is not shared.value:
+        _latest[:] = shared.value, Weigher(dict(zip(*(x.tolist() for x in shared.value), strict=True)))
+    return _latest[1]
 
 
 def signatures(docs: DataFrame, shared) -> DataFrame:
@@ -186,6 +185,8 @@ def classes(docs: DataFrame, threshold: float = 0.8, words: int = 65_536, block_
 def distinct_documents(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """One document of each class, with its columns."""
     kept = classes(docs, threshold).filter("kept").select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
-    both = docs.withColumn("_own", F.xxhash64("text")).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_hash")))
+    # in structs, no column of the documents can clash with those of the classes
+    rows, one = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row")), kept.select(F.struct("_doc", "_hash").alias("one"))
+    both = rows.join(one, F.col("row.doc_id").cast("long").eqNullSafe(F.col("one._doc")) & (F.xxhash64("row.text") == F.col("one._hash")))
     # a class is kept by one row, but rows may be equal in doc_id and text
-    return both.dropDuplicates(["_doc", "_hash"]).select(*[f"`{c}`" for c in docs.columns])
+    return both.dropDuplicates(["one"]).select("row.*")

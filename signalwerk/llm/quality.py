@@ -110,14 +110,14 @@ def filtered(docs: DataFrame, policy: str = "v1") -> DataFrame:
         for batch in batches:
             for part in slices(batch, rows=2048):
                 found = list(zip(*map(measure, (x or "" for x in part.column("text").to_pylist())), strict=True))
-                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(c, pa.int64()) for c in found)], names=[*part.schema.names, *(f"_{m}" for m in MEASURES)])
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(c, pa.int64()) for c in found)], names=[*part.schema.names, *(f"_rule_{m}" for m in MEASURES)])
 
     measured = docs.mapInArrow(run, _extended(schema))
     inner = measured
     wanted = [sql for name, sql in RULES if name in set(POLICIES["base"]) | set(POLICIES[policy])]
     for sql in wanted:
         for m in sorted(MEASURES, key=len, reverse=True):
-            sql = re.sub(rf"(?<!_)\b{m}\b", f"_{m}", sql)
+            sql = re.sub(rf"(?<!_)\b{m}\b", f"_rule_{m}", sql)
         inner = inner.filter(~F.expr(sql))
     return inner.select(*[f"`{c}`" for c in schema.names])
 
@@ -125,4 +125,4 @@ def filtered(docs: DataFrame, policy: str = "v1") -> DataFrame:
 def _extended(schema):
     from pyspark.sql import types as T
 
-    return T.StructType([*schema.fields, *(T.StructField(f"_{m}", T.LongType()) for m in MEASURES)])
+    return T.StructType([*schema.fields, *(T.StructField(f"_rule_{m}", T.LongType()) for m in MEASURES)])

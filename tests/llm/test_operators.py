@@ -327,3 +327,13 @@ def test_pipeline(spark):
     kept = {r["doc_id"] for r in placed.collect()}
     want = quality.filtered(docs)
     assert kept and kept <= {r["doc_id"] for r in want.collect()}
+
+
+def test_clashing_names(spark):
+    """Columns named like those that operators add inside."""
+    rows = [(i, "\n".join(["the same long line of many words in all of these texts", f"own words {i} " * 3]), "en", f"s{i}", 0, 0, 0, 0, 0) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, gone long, n_lines long, _doc long, _hash long, _n_words long")
+    got = lines.deduplicated(docs, min_sites=10)
+    assert sorted(got.columns) == sorted({*docs.columns, "n_removed"}) and got.filter("n_removed = 1").count() == 11
+    assert minhash.distinct_documents(docs).columns == docs.columns
+    assert quality.filtered(docs).columns == docs.columns
