@@ -1,15 +1,18 @@
 """Best-fit packing by bin completion.
 
-Only the histogram of piece lengths (at most `capacity` rows, however many documents there are) is gathered. Bin completion plans on
-it: around the largest length left it enumerates undominated fillings, tries the one with least waste first, and prunes a branch whose
-bins so far plus a lower bound on the rest reach the incumbent. A filling is used as often as its lengths last, so a plan has a few
-thousand rows. Each piece then finds its place from its rank among the pieces of its length.
+Only the histogram of piece lengths (at most `capacity` rows, however many documents there are) is gathered. Best-fit
+decreasing on it is the first incumbent. Unless it meets the lower bound, bin completion goes on: around the largest length left it
+enumerates the undominated fillings, those with least waste first, and prunes a branch whose bins so far plus a lower bound on the rest
+reach the incumbent. A filling is used as often as its lengths last, then less often, so a plan has a few thousand rows. Each piece then
+finds its place from its rank among the pieces of its length.
 """
 
 from __future__ import annotations
 
+import random
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
@@ -34,67 +37,193 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def fillings(counts: dict[int, int], lengths: list[int], largest: int, room: int, width: int = 4) -> list[tuple[int, ...]]:
-    """Undominated fillings of `room` beside `largest`, least waste first. The last piece of each is the largest that fits."""
-    out: set[tuple[int, ...]] = set()
-
-    def left(x: int, taken: tuple[int, ...]) -> int:
-        return counts[x] - taken.count(x) - (x == largest)
-
-    def extend(taken: tuple[int, ...], room: int, most: int, depth: int) -> None:
-        i, tried = bisect_right(lengths, min(room, most)) - 1, 0
-        while i >= 0 and tried < (width if depth < 2 else 1):
-            if left(lengths[i], taken) > 0:
-                tried += 1
-                extend((*taken, lengths[i]), room - lengths[i], lengths[i], depth + 1)
-            i -= 1
-        if not tried:
-            out.add(taken)
-
-    extend((), room, room, 0)
-    for x in reversed(lengths[: bisect_right(lengths, room)]):  # two pieces that fill the room exactly
-        y = room - x
-        if y > x:
-            break
-        if y in counts and left(x, ()) > 0 and left(y, (x,)) > 0:
-            out.add((x, y))
-            break
-    found = sorted(out, key=lambda t: (room - sum(t), len(t), t))
-    kept: list[tuple[int, ...]] = []
-    for t in found:
-        if not any(len(o) == len(t) and all(a >= b for a, b in zip(o, t, strict=True)) for o in kept):
-            kept.append(t)
-    return kept[:width]
+def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
+    """Best-fit decreasing on the histogram: a piece goes into the fullest bin that has room for it, the largest pieces first."""
+    rooms: list[int] = []  # of open bins, sorted
+    bins: dict[int, list[Pattern]] = {}  # by room
+    for x in sorted(counts, reverse=True):
+        c = counts[x]
+        while c:
+            i = bisect_left(rooms, x)
+            room = rooms[i] if i < len(rooms) else capacity
+            taken, n = bins[room].pop() if i < len(rooms) else ((), c)
+            each = min(room // x, c)
+            times = min(n, c // each)
+            c -= times * each
+            if i < len(rooms) and times < n:
+                bins[room].append((taken, n - times))
+            if i < len(rooms) and not bins[room]:
+                del rooms[i], bins[room]
+            rest = room - each * x
+            if rest not in bins:
+                insort(rooms, rest)
+            bins.setdefault(rest, []).append((taken + (x,) * each, times))
+    return [p for found in bins.values() for p in found]
+
+
+class Search:
+    """The pieces left, and the fillings used so far, of one branch; steps are taken and taken back in place."""
+
+    def __init__(self, counts: dict[int, int], capacity: int):
+        self.left, self.capacity = dict(counts), capacity
+        self.lengths = sorted(counts)  # those that are left
+        self.total, self.bins, self.key = sum(n * c for n, c in counts.items()), 0, 0
+        rnd = random.Random(7)
+        self.turn = {n: rnd.getrandbits(128) for n in self.lengths}  # `key` tells multisets of pieces apart
+
+    def step(self, whole: tuple[int, ...], times: int) -> None:
+        """Fills `times` bins; less than none empties them again."""
+        for x in set(whole):
+            before, n = self.left[x], times * whole.count(x)
+            self.left[x] = before - n
+            if not before:
+                insort(self.lengths, x)
+            elif before == n:
+                del self.lengths[bisect_left(self.lengths, x)]
+            self.total -= n * x
+            self.key -= n * self.turn[x]
+        self.bins += times
+
+    def dominated(self, largest: int, taken: tuple[int, ...], waste: int) -> bool:
+        """Whether a filling can take one piece more, or a piece left over for a smaller one or for two: then that filling is as good."""
+        used = Counter((largest, *taken))
+
+        def any_left(low: int, high: int) -> bool:
+            i = bisect_left(self.lengths, low)
+            while i < len(self.lengths) and self.lengths[i] <= high:
+                if self.left[self.lengths[i]] > used[self.lengths[i]]:
+                    return True
+                i += 1
+            return False
+
+        if any_left(1, waste):
+            return True
+        sizes = sorted(set(taken))
+        if any(any_left(x + 1, x + waste) for x in sizes):
+            return True
+        pairs = {x + y for i, x in enumerate(sizes) for y in sizes[i:] if x != y or taken.count(x) > 1}
+        return any(any_left(s, s + waste) for s in pairs)
+
+    def likely(self, largest: int, room: int, width: int = 4) -> list[tuple[int, ...]]:
+        """Some fillings beside `largest` of large pieces, least waste first: what is tried first."""
+        out: set[tuple[int, ...]] = set()
+        lengths = self.lengths
+
+        def spare(x: int, taken: tuple[int, ...]) -> int:
+            return self.left[x] - taken.count(x) - (x == largest)
+
+        def extend(taken: tuple[int, ...], room: int, most: int, depth: int) -> None:
+            i, tried = bisect_right(lengths, min(room, most)) - 1, 0
+            while i >= 0 and tried < (width if depth < 2 else 1):
+                x = lengths[i]
+                if n := min(spare(x, taken), room // x if depth >= 2 else 1):
+                    tried += 1
+                    extend(taken + (x,) * n, room - n * x, x, depth + 1)
+                i -= 1
+            if not tried:
+                out.add(taken)
+
+        extend((), room, room, 0)
+        for x in reversed(lengths[: bisect_right(lengths, room)]):  # two pieces that fill the room exactly
+            y = room - x
+            if y > x:
+                break
+            if self.left.get(y, 0) and spare(x, ()) > 0 and spare(y, (x,)) > 0:
+                out.add((x, y))
+                break
+        return sorted(out, key=lambda t: (room - sum(t), len(t), t))
+
+    def every(self, lengths: list[int], largest: int, room: int) -> Iterator[tuple[int, ...]]:
+        """Every filling beside `largest` that has no room for a smaller piece, those of large pieces first."""
+
+        def extend(taken: tuple[int, ...], room: int, end: int) -> Iterator[tuple[int, ...]]:
+            i, full = bisect_right(lengths, room, 0, end) - 1, True
+            while i >= 0:
+                x = lengths[i]
+                for n in range(min(self.left[x] - (x == largest), room // x), 0, -1):
+                    full = False
+                    yield from extend(taken + (x,) * n, room - n * x, i)
+                i -= 1
+            if full:
+                yield taken
+
+        yield from extend((), room, len(lengths))
+
+    def options(self) -> Iterator[Pattern | None]:
+        """All steps around the largest piece left: the undominated fillings, each as often as pieces last, and less often.
+
+        None stands for a dominated filling, which costs time as well. The search is as it was whenever it asks for the next option."""
+        largest = self.lengths[-1]
+        room = self.capacity - largest
+
+        def most(taken: tuple[int, ...]) -> int:
+            whole = (largest, *taken)
+            return min(self.left[x] // whole.count(x) for x in set(whole))
+
+        def fewer(taken: tuple[int, ...]) -> Iterator[Pattern]:
+            n = most(taken) // 2
+            while n:
+                yield (largest, *taken), n
+                n //= 2
+
+        first = [t for t in self.likely(largest, room) if not self.dominated(largest, t, room - sum(t))]
+        for t in first:
+            yield (largest, *t), most(t)
+        for t in first:
+            yield from fewer(t)
+        known = set(first)
+        for t in self.every(list(self.lengths), largest, room):
+            if t in known:
+                continue
+            if self.dominated(largest, t, room - sum(t)):
+                yield None
+            else:
+                yield (largest, *t), most(t)
+                yield from fewer(t)
 
 
 def plan(counts: dict[int, int], capacity: int, nodes: int = 4000) -> list[Pattern]:
-    """Fillings and how many bins have each, for all pieces of a histogram {length: pieces}. Searches at most `nodes` nodes after the first incumbent."""
+    """Fillings and how many bins have each, for all pieces of a histogram {length: pieces}. It is optimal if it meets lower_bound or the
+    search ends; the search ends early after `nodes` nodes, or 16 times as many options looked at, from the first
+    incumbent on, which best_fit gives."""
     counts = {n: c for n, c in counts.items() if c > 0}
-    bound, best, best_bins, seen = lower_bound(counts, capacity), [], float("inf"), 0
-    # a node: counts, bins so far, fillings so far
-    stack: list[tuple[dict[int, int], int, list[Pattern]]] = [(counts, 0, [])]
-    while stack and best_bins > bound and (seen < nodes or best_bins == float("inf")):
-        left, bins, so_far = stack.pop()
-        while left:
+    best = best_fit(counts, capacity)
+    bound, best_bins, seen, asked = lower_bound(counts, capacity), sum(n for _, n in best), 0, 0
+    if best_bins <= bound:
+        return best
+    limit, cut = 1, True
+    while cut and best_bins > bound and seen < nodes and asked < 16 * nodes:
+        # a pass leaves a branch that departs more than `limit` times from what is tried first, so the nodes are spread over all depths
+        cut, at, so_far = False, Search(counts, capacity), []
+        reached: dict[int, tuple[int, int]] = {}  # bins and departures left with which a multiset of pieces left was reached
+        stack = [[at.options(), limit, 0]]
+        while stack and best_bins > bound and seen < nodes and asked < 16 * nodes:
+            options, spare, tried = stack[-1]
+            option = next(options, stack) if tried == 0 or spare else None
+            if option is stack or (option is None and not spare):
+                cut |= option is None
+                stack.pop()
+                if so_far:
+                    whole, times = so_far.pop()
+                    at.step(whole, -times)
+                continue
+            asked += 1
+            if option is None:
+                continue
+            spare -= tried > 0
+            stack[-1][2] += 1
+            at.step(*option)
+            if not at.lengths and at.bins < best_bins:
+                best, best_bins = [*so_far, option], at.bins
+            before = reached.get(at.key, (best_bins, 0))
+            if at.bins + -(-at.total // capacity) >= best_bins or (before[0] <= at.bins and before[1] >= spare):
+                at.step(option[0], -option[1])
+                continue
+            reached[at.key] = at.bins, spare
             seen += 1
-            if bins + -(-sum(n * c for n, c in left.items()) // capacity) >= best_bins:
-                break
-            lengths = sorted(left)
-            largest = lengths[-1]
-            options = []
-            for t in fillings(left, lengths, largest, capacity - largest):
-                whole = (largest, *t)
-                times = min(left[x] // whole.count(x) for x in set(whole))
-                after = dict(left)
-                for x in whole:
-                    after[x] -= times
-                options.append(({x: c for x, c in after.items() if c}, bins + times, [*so_far, (whole, times)] if len(so_far) < 64 else so_far + [(whole, times)]))
-            if len(stack) < 256:
-                stack.extend(reversed(options[1:]))
-            left, bins, so_far = options[0]
-        else:
-            if bins < best_bins:
-                best, best_bins = so_far, bins
+            so_far.append(option)
+            stack.append([at.options(), spare, 0])
+        limit *= 2
     return best
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -257,6 +258,19 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert packing.lower_bound(dict(collections.Counter(sizes)), 20) <= sum(n for _, n in made) == best_bins(sizes, 20)
 
 
+def test_bin_completion_is_not_cut():
+    for counts, capacity in (({54: 1, 51: 1, 95: 1, 76: 1, 59: 1, 65: 1, 46: 1, 68: 1, 86: 1}, 200), ({23: 1, 35: 1, 42: 1, 48: 1, 15: 1, 37: 1, 25: 2, 50: 1}, 100)):
+        assert sum(n for _, n in packing.plan(counts, capacity)) == packing.lower_bound(counts, capacity) == 3
+    assert sum(n for _, n in packing.plan({1: 5000}, 2048)) == 3  # many pieces in a filling
+    # every filling that no other is as good as is tried, each once, twice or three times
+    counts = {20: 3, 9: 3, 7: 4, 5: 4, 4: 3, 3: 5}
+    at = packing.Search(counts, 40)
+    got = {o for o in at.options() if o}
+    rooms = {t for k in range(7) for t in itertools.combinations_with_replacement(sorted(counts, reverse=True), k) if sum(t) <= 20 and all(t.count(x) <= counts[x] - (x == 20) for x in t)}
+    undominated = {t for t in rooms if not at.dominated(20, t, 20 - sum(t))}
+    assert {o[0][1:] for o in got} == undominated and {n for t, n in got if t == (20, 9, 7, 4)} == {3, 1}
+
+
 def test_packing(spark, odd):
     from tokenizers import Tokenizer
 
