@@ -23,8 +23,17 @@ BANDS, ROWS = 10, 3
 SLACK = 1e-9
 
 
+def idf(df: np.ndarray, n_docs: int) -> np.ndarray:
+    return np.clip(1 + np.log(max(n_docs, 2) / np.maximum(df, 1)) / np.log(max(n_docs, 2)), 1, 2)
+
+
 def word_weights(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and weights of the words that most documents have, at most `words`. That bounds the table, whatever the corpus."""
+    return word_table(docs, words)[0]
+
+
+def word_table(docs: DataFrame, words: int) -> tuple[tuple[np.ndarray, np.ndarray], DataFrame, int]:
+    """word_weights(); the counts (word, n) of all other words that two or more documents have, as a table; the number of documents."""
 
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -53,9 +62,9 @@ def word_weights(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
         left -= r["n"]
         edge = 2 ** r["power"] if left >= 0 else edge
     top = counts.filter(F.col("n") >= edge).collect() if edge else []
-    df = np.array([r["n"] for r in top], float)
-    weights = 1 + np.log(max(n_docs, 2) / np.maximum(df, 1)) / np.log(max(n_docs, 2))
-    return np.array([r["word"] for r in top], np.int64).view(np.uint64), np.clip(weights, 1, 2)
+    weights = idf(np.array([r["n"] for r in top], float), n_docs)
+    others = counts.filter("n > 1" if edge is None else (F.col("n") > 1) & (F.col("n") < edge))
+    return (np.array([r["word"] for r in top], np.int64).view(np.uint64), weights), others, n_docs
 
 
 _latest: list = [None, None]
@@ -69,32 +78,48 @@ def weigher(shared) -> Weigher:
 
 
 def signatures(docs: DataFrame, shared) -> DataFrame:
-    """uid, doc_id, text_hash, node (of the word sequence), n_chars, samples (null without words), a row per document."""
+    """uid, doc_id, text_hash, node (of the word sequence), n_chars, others (hashes of the distinct words outside the broadcast table; null without words), a row per document."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        weigh, sampler = weigher(shared), Sampler(BANDS * ROWS)
+        weigh = weigher(shared)
         for batch in batches:
             for part in slices(batch, size=600_000):
                 texts = part.column("text").to_pylist()
-                found = [weigh.shingles(x) for x in texts]
-                full = [i for i, x in enumerate(found) if len(x[0])]
-                samples: list = [None] * len(texts)
-                if full:
-                    size = np.array([len(found[i][0]) for i in full])
-                    got = sampler.samples(np.concatenate([found[i][0] for i in full]), np.concatenate([found[i][1] * found[i][2] for i in full]), np.cumsum(size) - size)
-                    for i, row in zip(full, got, strict=True):
-                        samples[i] = row
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(map(text_key, texts), pa.int64()), pa.array(map(len, texts), pa.int64()), pa.array(samples, pa.list_(pa.int32()))], names=["doc_id", "text_hash", "node", "n_chars", "samples"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(map(text_key, texts), pa.int64()), pa.array(map(len, texts), pa.int64()), pa.array(map(weigh.others, texts), pa.list_(pa.int64()))], names=["doc_id", "text_hash", "node", "n_chars", "others"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), text_or_empty().alias("text"))
-    found = rows.mapInArrow(run, "doc_id long, text_hash long, node long, n_chars long, samples array<int>")
+    found = rows.mapInArrow(run, "doc_id long, text_hash long, node long, n_chars long, others array<long>")
     return found.withColumn("uid", F.monotonically_increasing_id())
 
 
-def compared(rows: DataFrame, shared, threshold: float) -> DataFrame:
-    """Links (a, b) that join the classes of each group of rows (bucket, block_a, block_b, node, text, side).
+def rare_weights(words: list[int] | None, dfs: list[int] | None, n_docs: int) -> dict[int, float]:
+    """Weights by hash of a text's words outside the broadcast table; those not among `words` have a df of 1 and weigh 2."""
+    if not words:
+        return {}
+    return dict(zip(np.array(words, np.int64).view(np.uint64).tolist(), idf(np.array(dfs, float), n_docs).tolist(), strict=True))
+
+
+def sampled(texts: DataFrame, shared, n_docs: int) -> DataFrame:
+    """Texts (node, text, words, dfs) and their samples."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        weigh, sampler = weigher(shared), Sampler(BANDS * ROWS)
+        for batch in batches:
+            for part in slices(batch, size=600_000):
+                found = [weigh.shingles(t, rare_weights(w, d, n_docs)) for t, w, d in zip(*(part.column(c).to_pylist() for c in ("text", "words", "dfs")), strict=True)]
+                size = np.array([len(x[0]) for x in found])
+                got = sampler.samples(np.concatenate([x[0] for x in found]), np.concatenate([x[1] * x[2] for x in found]), np.cumsum(size) - size)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(got), pa.list_(pa.int32()))], names=[*part.schema.names, "samples"])
+
+    return texts.mapInArrow(run, "node long, text string, words array<long>, dfs array<long>, samples array<int>")
+
+
+def compared(rows: DataFrame, shared, n_docs: int, threshold: float) -> DataFrame:
+    """Links (a, b) that join the classes of each group of rows (bucket, block_a, block_b, node, text, words, dfs, side).
 
     Rows of side 1 are compared with all, those of side 0 only with side 1. The rows of a group are bounded by whoever made the blocks.
     """
@@ -108,26 +133,26 @@ def compared(rows: DataFrame, shared, threshold: float) -> DataFrame:
             nodes = sorted(held)
             if len(nodes) < 2:
                 return []
-            side = np.array([held[x][1] for x in nodes], bool)
-            linked = similarities([weigh.shingles(held[x][0]) for x in nodes]) >= threshold - SLACK
+            side = np.array([held[x][-1] for x in nodes], bool)
+            linked = similarities([weigh.shingles(held[x][0], rare_weights(*held[x][1:3], n_docs)) for x in nodes]) >= threshold - SLACK
             linked &= side[:, None] | side[None, :]
             return [(nodes[i], nodes[k]) for i, k in enumerate(grouped(linked)) if i != k]
 
         key, held = None, {}
         for batch in batches:
             out = []
-            for *k, node, text, side in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block_a", "block_b", "node", "text", "side")), strict=True):
+            for *k, node, text, words, dfs, side in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block_a", "block_b", "node", "text", "words", "dfs", "side")), strict=True):
                 if k != key:
                     out += links(held)
                     key, held = k, {}
-                held[node] = (text, side or held.get(node, ("", False))[1])
+                held[node] = (text, words, dfs, side or held.get(node, (False,))[-1])
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
         if out := links(held):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
 
     group = ["bucket", "block_a", "block_b"]
-    return rows.repartition(*group).sortWithinPartitions(*group).select(*group, "node", "text", "side").mapInArrow(run, "a long, b long")
+    return rows.repartition(*group).sortWithinPartitions(*group).select(*group, "node", "text", "words", "dfs", "side").mapInArrow(run, "a long, b long")
 
 
 def blocks(n, chars, block_rows: int, block_chars: int):
@@ -146,24 +171,28 @@ def classes(docs: DataFrame, threshold: float = 0.8, words: int = 65_536, block_
     are one class. Equal rows are one class. A class with null doc_ids only has a null class_id. Other columns are ignored.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(word_weights(docs, words))
+    frequent, counts, n_docs = word_table(docs, words)
+    shared = spark.sparkContext.broadcast(frequent)
     found = stored(signatures(docs, shared), "signatures")
-    nodes = found.filter("samples is not null").groupBy("node").agg(F.first("samples").alias("samples"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("rep"), F.max("n_chars").alias("n_chars"))
+    nodes = found.filter("others is not null").groupBy("node").agg(F.first("others").alias("others"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("rep"))
     nodes = stored(nodes, "nodes")
+    # each text brings the df of its words outside the broadcast table; such a word is in few documents, so none is hot here
+    rare = nodes.select("node", F.explode("others").alias("word")).join(counts, "word").groupBy("node").agg(F.collect_list(F.struct("word", "n")).alias("rare"))
+    reps = nodes.join(rare, "node", "left").select("node", F.col("rep.doc_id").alias("rep_doc"), F.col("rep.text_hash").alias("rep_hash"), F.col("rare.word").alias("words"), F.col("rare.n").alias("dfs"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep_doc_2"), F.xxhash64("text").alias("rep_hash_2"), text_or_empty().alias("text"))
+    texts = texts.join(reps, F.col("rep_doc").eqNullSafe(F.col("rep_doc_2")) & (F.col("rep_hash") == F.col("rep_hash_2"))).select("node", "text", "words", "dfs")
+    texts = stored(sampled(texts, shared, n_docs), "texts")
+    nodes = texts.groupBy("node").agg(F.first("samples").alias("samples"), F.max(F.length("text")).cast("long").alias("n_chars"))  # rows may be equal
     bands = F.array(*(F.xxhash64(F.lit(b), *(F.col("samples")[b * ROWS + i] for i in range(ROWS))) for b in range(BANDS)))
     in_bands = nodes.select("node", "n_chars", F.explode(bands).alias("bucket"))
     full = in_bands.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.min("node").alias("center")).filter("n > 1")
     rows = stored(in_bands.join(full, "bucket").select("bucket", "node", "center", blocks(F.col("n"), F.col("chars"), block_rows, block_chars).alias("n_blocks")), "bucket-rows")
-    active = rows.select("node").distinct()
-    reps = nodes.join(active, "node", "left_semi").select("node", F.col("rep.doc_id").alias("rep_doc"), F.col("rep.text_hash").alias("rep_hash"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep_doc_2"), F.xxhash64("text").alias("rep_hash_2"), text_or_empty().alias("text"))
-    texts = texts.join(reps, F.col("rep_doc").eqNullSafe(F.col("rep_doc_2")) & (F.col("rep_hash") == F.col("rep_hash_2"))).select("node", "text")
-    texts = stored(texts, "texts")
+    texts = texts.drop("samples")
     # blocks of each bucket, and the bucket's first text in each
     own = rows.select("bucket", salt(F.col("n_blocks")).alias("block_a"), "node")
     first = rows.filter("node = center and n_blocks > 1").select("bucket", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block_a"), "node")
     within = own.unionByName(first).join(texts, "node").withColumn("block_b", F.lit(0)).withColumn("side", F.lit(True))
-    links = stored(compared(within, shared, threshold), "links-within")
+    links = stored(compared(within, shared, n_docs, threshold), "links-within")
     # what is left: buckets of several blocks and classes
     wide = rows.filter("n_blocks > 1").join(texts.select("node", F.length("text").alias("chars")), "node")
     label = graph.components(links)
@@ -175,7 +204,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, words: int = 65_536, block_
         left = wide.join(few, "bucket")
         a = left.filter("label <> main").select("bucket", "node", salt(F.col("few_blocks")).alias("block_a"), F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block_b"), F.lit(True).alias("side"))
         b = left.select("bucket", "node", F.explode(F.sequence(F.lit(0), F.col("few_blocks") - 1)).alias("block_a"), salt(F.col("n_blocks")).alias("block_b"), F.lit(False).alias("side"))
-        across = compared(a.unionByName(b).join(texts, "node"), shared, threshold)
+        across = compared(a.unionByName(b).join(texts, "node"), shared, n_docs, threshold)
         label = graph.components(links.unionByName(across))
     both = found.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("class", F.coalesce("component", "node"))
     head = both.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "uid")).alias("head"))

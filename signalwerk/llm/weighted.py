@@ -14,26 +14,32 @@ def word_hash(word: str) -> int:
 
 
 class Weigher:
-    """Shingle hashes and weights of texts. A word's weight is 1 + ln(N / df) / ln N, from 1 to 2; words outside the table of the most
-    frequent have 2. A shingle weighs its count in the text times the mean weight of its words."""
+    """Shingle hashes and weights of texts. A word's weight is 1 + ln(N / df) / ln N, from 1 to 2. A text
+    brings the weights of its words outside the table of the most frequent; words in neither have 2. A shingle weighs its count in the text times the mean weight of its words."""
 
     def __init__(self, frequent: dict[int, float], keep: int = 400_000):
         self.frequent, self.keep = frequent, keep
         self.known: dict[str, int] = {}
         self.hash, self.weight = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12)
 
-    def ids(self, words: list[str]) -> np.ndarray:
+    def ids(self, words: list[str], rare: dict[int, float]) -> np.ndarray:
         known = self.known
         for w in set(words).difference(known):
             i = len(known)
             if i == len(self.hash):
                 self.hash, self.weight = np.resize(self.hash, 2 * i), np.resize(self.weight, 2 * i)
             h = word_hash(w)
-            self.hash[i], self.weight[i] = h, self.frequent.get(h, 2.0)
+            self.hash[i], self.weight[i] = h, self.frequent.get(h) or rare.get(h, 2.0)
             known[w] = i
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
-    def shingles(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def others(self, text: str) -> list[int] | None:
+        """Signed hashes of the distinct words outside the table; None without words."""
+        words = set(text.lower().split())
+        found = [h for h in map(word_hash, words) if h not in self.frequent]
+        return np.array(found, np.uint64).view(np.int64).tolist() if words else None
+
+    def shingles(self, text: str, rare: dict[int, float] = {}) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted distinct shingle hashes, the weight of one occurrence of each, and counts.
 
         A text of one to four words is one shingle."""
@@ -42,7 +48,7 @@ class Weigher:
             return np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64)
         if len(self.known) > self.keep:
             self.known = {}
-        ids = self.ids(words)
+        ids = self.ids(words, rare)
         n, width = len(words), min(WIDTH, len(words))
         h, w = np.zeros(n - width + 1, np.uint64), np.zeros(n - width + 1)
         with np.errstate(over="ignore"):
