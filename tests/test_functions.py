@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from signalwerk.functions import dates, geo, text
 from signalwerk.operators import places, versions
 from signalwerk.plans import publish
-from signalwerk.plans.scratch import folder
+from signalwerk.scratch import folder
 from signalwerk.sources import listing
 
 
