@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalwerk.llm import language, lines, minhash, packing, quality
-from signalwerk.llm.common import stored
+from signalwerk.scratch import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
