@@ -1,12 +1,10 @@
-"""What the operators share: the scratch folder, small Column helpers and batch slicing."""
+"""What the operators share: vocabulary files, small Column helpers, batch slicing and joins of hot keys."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PUBLIC_TOKENIZERS = "/opt/tokenizers"
@@ -22,22 +20,6 @@ def tokenizer_path(name: str) -> str:
         return f"{PUBLIC_TOKENIZERS}/{name}"
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name below spark.checkpoint.dir, which driver and executors share; only where it is unset (tests) a temp folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='signalwerk-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet to the shared scratch folder and read again: cuts the lineage and survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -55,3 +37,17 @@ def slices(batch, rows: int = 256, size: int = 2_000_000, by: str = "text") -> I
         held += x
     if start < len(n):
         yield batch.slice(start)
+
+
+def dealt_join(rows: DataFrame, one: DataFrame, key: str, share: int = 10_000, salts: int = 64, how: str = "inner") -> DataFrame:
+    """rows joined with `one`, which has one row per key and in `n_rows` about how many of rows have that key.
+
+    A key of more than a `share`-th of all is hot. There are fewer than `share` hot keys, so they are broadcast; their rows are dealt over
+    `salts` parts, and their row of `one` goes to each. n_rows itself is dropped.
+    """
+    total = one.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n")).first()["n"]
+    hot = one.filter(F.col("n_rows") > max(total / share, 1)).select(F.col(key).alias("_hot_key"))
+    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+    marked = marked.withColumn("_salt", F.when(F.col("_hot_key").isNotNull(), F.floor(F.rand(7) * salts).cast("int")).otherwise(0)).drop("_hot_key")
+    parts = F.when(F.col("n_rows") > max(total / share, 1), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return marked.join(one.withColumn("_salt", F.explode(parts)).drop("n_rows"), [key, "_salt"], how).drop("_salt")

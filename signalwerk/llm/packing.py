@@ -18,7 +18,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, stored, text_or_empty, tokenizer_path
+from ..scratch import stored
+from .common import slices, text_or_empty, tokenizer_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 Pattern = tuple[tuple[int, ...], int]
@@ -231,21 +232,24 @@ def pieces(docs: DataFrame, capacity: int, vocabulary: str, end_id: int) -> Data
     """Token counts and checksums of each document's pieces; a document is its ids and then end_id."""
 
     def cut(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
 
         from .encoding import encoder
 
-        enc, end = encoder(tokenizer_path(vocabulary)), end_id.to_bytes(4, "little")
+        enc = encoder(tokenizer_path(vocabulary))
         for batch in batches:
-            for part in slices(batch):
-                cols: list[list] = [[], [], [], [], []]
-                for doc, raw in zip(part.column("doc_id").to_pylist(), enc.encode(part.column("text").to_pylist()), strict=True):
-                    raw += end
-                    for k, at in enumerate(range(0, len(raw), 4 * capacity)):
-                        one = raw[at : at + 4 * capacity]
-                        for c, x in zip(cols, (doc, k, at // 4, len(one) // 4, zlib.crc32(one)), strict=True):
-                            c.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            for part in slices(batch, rows=8192, size=4_000_000):
+                ids, at = enc.encode_flat(part.column("text"), end_id)
+                raw, size = memoryview(ids.astype("<u4", copy=False)).cast("B"), np.diff(at)
+                n = -(-size // capacity)
+                which = np.repeat(np.arange(len(size)), n)
+                piece = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+                start = piece * capacity
+                length = np.minimum(capacity, size[which] - start)
+                first = 4 * (at[which] + start)
+                crc = [zlib.crc32(raw[a:b]) for a, b in zip(first.tolist(), (first + 4 * length).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(which)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(cut, PIECES)
 
@@ -267,14 +271,20 @@ def pack(docs: DataFrame, capacity: int = 2048, vocabulary: str = "word_bpe_49k.
             used[x] += times
             offset += x
         first += times
-    places = spark.createDataFrame(rows, "length long, rank_from long, rank_to long, sequence_shift long, offset long")
+    # for each length, ranks lie in as many steps as fillings have it, so a step meets few of them
+    step = {x: max(1, -(-counts[x] // n)) for x, n in Counter(r[0] for r in rows).items()}
+    places = spark.createDataFrame([(x, step[x], *r) for x, *r in rows], "length long, step long, rank_from long, rank_to long, sequence_shift long, offset long")
+    places = places.withColumn("nth", F.explode(F.sequence(F.floor(F.col("rank_from") / F.col("step")), F.floor((F.col("rank_to") - 1) / F.col("step")))))
+    steps = F.broadcast(spark.createDataFrame(list(step.items()), "length long, step long"))  # at most `capacity` rows
     salts = max(1, min(4096, sum(counts.values()) // 2000 + 1))
     salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     before = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = before.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
     within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")) - 1
     ranked = salted.withColumn("within", within).join(before, ["length", "salt"]).withColumn("rank", F.col("before") + F.col("within"))
-    p, r = places.alias("p"), ranked.alias("r")
-    # places has a row per filling and length, bounded by the histogram and not by the documents
-    placed = r.join(F.broadcast(p), (F.col("r.length") == F.col("p.length")) & (F.col("rank") >= F.col("rank_from")) & (F.col("rank") < F.col("rank_to")))
+    ranked = ranked.join(steps, "length").withColumn("nth", F.floor(F.col("rank") / F.col("step")))
+    p, r = places.drop("step").alias("p"), ranked.alias("r")
+    # a plan has a row per filling and length, however many documents there are; a long one is joined by a shuffle
+    p = F.broadcast(p) if len(rows) <= 200_000 else p
+    placed = r.join(p, (F.col("r.length") == F.col("p.length")) & (F.col("r.nth") == F.col("p.nth")) & (F.col("rank") >= F.col("rank_from")) & (F.col("rank") < F.col("rank_to")))
     return placed.select("doc_id", "piece", "start", "r.length", "ids_crc32", (F.col("rank") + F.col("sequence_shift")).alias("sequence_id"), "p.offset")

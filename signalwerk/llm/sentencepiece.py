@@ -19,7 +19,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored, text_or_empty, tokenizer_path
+from ..scratch import stored
+from .common import slices, text_or_empty, tokenizer_path
 
 SPACE = "▁"
 NONE = float("-inf")

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, stored
+from ..scratch import folder, stored
 
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 CHUNKED = "Transfer-Encoding: chunked\r\n\r\n"
@@ -189,6 +189,6 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def archive(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
     """Write pages as WARC files and read them back, a row per page. An empty table gives no rows."""
-    path = path or scratch(pages.sparkSession, "warc")
+    path = path or folder(pages.sparkSession, "warc")
     write(pages, path, **options)
     return read(pages.sparkSession, path)

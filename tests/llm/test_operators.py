@@ -10,9 +10,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from signalwerk.llm import chat, graph, language, lines, minhash, packing, quality, queries, sentencepiece, sstable, vectors, warc, weighted
+from signalwerk.llm import chat, language, lines, minhash, packing, quality, queries, sentencepiece, sstable, vectors, warc, weighted
 from signalwerk.llm.common import tokenizer_path
 from signalwerk.llm.encoding import StretchEncoder
+from signalwerk.operators import graph
+from signalwerk.scratch import folder
 
 from ..conftest import SF
 
@@ -325,10 +327,8 @@ def test_chat(spark):
 def test_token_shards(spark, odd):
     from tokenizers import Tokenizer
 
-    from signalwerk.llm.common import scratch
-
-    t, path = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json")), scratch(spark, "shards")
-    rows = sstable.token_shards(odd, path, shard_chars=500).collect()
+    t, path = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json")), folder(spark, "shards")
+    rows = sstable.token_shards(odd, path, range_chars=500, shard_ids=20).collect()
     ids = [(r["doc_id"], [*t.encode(r["text"] or "", add_special_tokens=False).ids, 0]) for r in odd.collect()]
     assert collections.Counter((d, len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for d, i in ids) == collections.Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows)
     at, last = 0, None
@@ -340,6 +340,23 @@ def test_token_shards(spark, odd):
     assert sstable.token_shards(odd.limit(0)).count() == 0
 
 
+def test_token_shards_in_number_order(spark):
+    """Ranges 0 to 11, whose names sort as 0, 1, 10, 11, 2; one doc_id that a third of all rows have; lookups open what they need."""
+    docs = spark.range(900).selectExpr("if(id % 3 = 0, 300, id) as doc_id", "concat('text number ', id, repeat(' word', 40)) as text")
+    path = folder(spark, "shards")
+    rows = sorted(sstable.token_shards(docs, path, range_chars=17_000, shard_ids=1000).collect(), key=lambda r: r["start"])
+    told = sstable.manifest(spark, path).collect()
+    assert len(rows) == 900 and len({r["range_no"] for r in told}) > 11 and sum(r["docs"] for r in told) == 900
+    at = 0
+    for a, b in zip(rows, rows[1:] + [None], strict=True):
+        assert a["start"] == at and (b is None or a["doc_id"] <= b["doc_id"])
+        at += a["n_tokens"]
+    opened = sstable.candidates(spark, path, [7, 5000])
+    assert len(opened) == 1 < len(told) and sstable.lookup(spark, path, [7]).count() == 1 and sstable.lookup(spark, path, [5000]).count() == 0
+    assert len({r["range_no"] for r in told if r["first_id"] == r["last_id"] == 300}) > 1  # a hot doc_id is split
+    assert sstable.lookup(spark, path, [300]).count() == 300
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
