@@ -39,15 +39,14 @@ def slices(batch, rows: int = 256, size: int = 2_000_000, by: str = "text") -> I
         yield batch.slice(start)
 
 
-def dealt_join(rows: DataFrame, one: DataFrame, key: str, share: int = 10_000, salts: int = 64, how: str = "inner") -> DataFrame:
-    """rows joined with `one`, which has one row per key and in `n_rows` about how many of rows have that key.
+def dealt_join(rows: DataFrame, one: DataFrame, key: str, by: str, total: int, share: int = 10_000, salts: int = 64) -> DataFrame:
+    """rows joined with `one`, which has one row per key and in `n_rows` how many of the `total` rows have that key. n_rows is dropped.
 
-    A key of more than a `share`-th of all is hot. There are fewer than `share` hot keys, so they are broadcast; their rows are dealt over
-    `salts` parts, and their row of `one` goes to each. n_rows itself is dropped.
+    A key of more than a `share`-th of all rows is hot. There are fewer than `share` hot keys, so they are broadcast; their rows are dealt
+    by a hash of column `by` over `salts` parts, and their row of `one` goes to each part.
     """
-    total = one.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n")).first()["n"]
-    hot = one.filter(F.col("n_rows") > max(total / share, 1)).select(F.col(key).alias("_hot_key"))
-    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    marked = marked.withColumn("_salt", F.when(F.col("_hot_key").isNotNull(), F.floor(F.rand(7) * salts).cast("int")).otherwise(0)).drop("_hot_key")
-    parts = F.when(F.col("n_rows") > max(total / share, 1), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return marked.join(one.withColumn("_salt", F.explode(parts)).drop("n_rows"), [key, "_salt"], how).drop("_salt")
+    hot = F.col("n_rows") > max(total // share, 1000)
+    marked = rows.join(F.broadcast(one.filter(hot).select(key, F.lit(True).alias("_hot"))), key, "left")
+    marked = marked.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")).otherwise(0)).drop("_hot")
+    parts = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return marked.join(one.withColumn("_salt", F.explode(parts)).drop("n_rows"), [key, "_salt"]).drop("_salt")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import graph
 from ..scratch import stored
-from .common import slices, text_or_empty
+from .common import dealt_join, slices, text_or_empty
 from .weighted import Sampler, Weigher, grouped, similarities, text_key, word_hash
 
 BANDS, ROWS = 10, 3
@@ -68,30 +68,45 @@ def word_table(docs: DataFrame, words: int) -> tuple[tuple[np.ndarray, np.ndarra
     return (np.array([r["word"] for r in top], np.int64).view(np.uint64), weights), others, n_docs
 
 
-_latest: list = [None, None]
+_latest: dict[str, list] = {}
 
 
-def weigher(shared) -> Weigher:
-    """The weigher of a broadcast table; a Python worker keeps the latest, and the table with it, so that no other can take its place."""
-    if _latest[0] is not shared.value:
-        _latest[:] = shared.value, Weigher(dict(zip(*(x.tolist() for x in shared.value), strict=True)))
-    return _latest[1]
+def weigher(shared, use: str) -> Weigher:
+    """The weigher of a broadcast table for a use; a Python worker keeps the latest, and the table with it, so that no other can take its place.
+
+    A weigher keeps the words that it has met with their weights, so sampling, which knows no rare words, has one of its own."""
+    held = _latest.get(use)
+    if held is None or held[0] is not shared.value:
+        held = _latest[use] = [shared.value, Weigher(dict(zip(*(x.tolist() for x in shared.value), strict=True)))]
+    return held[1]
 
 
 def signatures(docs: DataFrame, shared) -> DataFrame:
-    """uid, doc_id, text_hash, node (of the word sequence), n_chars, others (hashes of the distinct words outside the broadcast table; null without words), a row per document."""
+    """uid, doc_id, text_hash, node (of the word sequence), n_chars, samples (null without words), a row per document.
+
+    Words outside the broadcast table are sampled with a weight of 2, which most of them nearly have; what is linked is decided by exact weights.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        weigh = weigher(shared)
+        weigh, sampler = weigher(shared, "sample"), Sampler(BANDS * ROWS)
         for batch in batches:
             for part in slices(batch, size=600_000):
                 texts = part.column("text").to_pylist()
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(map(text_key, texts), pa.int64()), pa.array(map(len, texts), pa.int64()), pa.array(map(weigh.others, texts), pa.list_(pa.int64()))], names=["doc_id", "text_hash", "node", "n_chars", "others"])
+                found = list(map(weigh.shingles, texts))
+                size = np.array([len(x[0]) for x in found])
+                some = np.flatnonzero(size)
+                samples: list = [None] * len(texts)
+                if len(some):
+                    own = size[some]
+                    got = sampler.samples(np.concatenate([x[0] for x in found]), np.concatenate([x[1] * x[2] for x in found]), np.cumsum(own) - own)
+                    for i, x in zip(some.tolist(), got, strict=True):
+                        samples[i] = x
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(map(text_key, texts), pa.int64()), pa.array(map(len, texts), pa.int64()), pa.array(samples, pa.list_(pa.int32()))], names=["doc_id", "text_hash", "node", "n_chars", "samples"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), text_or_empty().alias("text"))
-    found = rows.mapInArrow(run, "doc_id long, text_hash long, node long, n_chars long, others array<long>")
+    found = rows.mapInArrow(run, "doc_id long, text_hash long, node long, n_chars long, samples array<int>")
     return found.withColumn("uid", F.monotonically_increasing_id())
 
 
@@ -102,21 +117,18 @@ def rare_weights(words: list[int] | None, dfs: list[int] | None, n_docs: int) ->
     return dict(zip(np.array(words, np.int64).view(np.uint64).tolist(), idf(np.array(dfs, float), n_docs).tolist(), strict=True))
 
 
-def sampled(texts: DataFrame, shared, n_docs: int) -> DataFrame:
-    """Texts (node, text, words, dfs) and their samples."""
+def with_rare_words(texts: DataFrame, shared) -> DataFrame:
+    """Texts (node, text) and `others`, the hashes of their distinct words outside the broadcast table."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        weigh, sampler = weigher(shared), Sampler(BANDS * ROWS)
+        weigh = weigher(shared, "sample")
         for batch in batches:
             for part in slices(batch, size=600_000):
-                found = [weigh.shingles(t, rare_weights(w, d, n_docs)) for t, w, d in zip(*(part.column(c).to_pylist() for c in ("text", "words", "dfs")), strict=True)]
-                size = np.array([len(x[0]) for x in found])
-                got = sampler.samples(np.concatenate([x[0] for x in found]), np.concatenate([x[1] * x[2] for x in found]), np.cumsum(size) - size)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(got), pa.list_(pa.int32()))], names=[*part.schema.names, "samples"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(map(weigh.others, part.column("text").to_pylist()), pa.list_(pa.int64()))], names=[*part.schema.names, "others"])
 
-    return texts.mapInArrow(run, "node long, text string, words array<long>, dfs array<long>, samples array<int>")
+    return texts.mapInArrow(run, "node long, text string, others array<long>")
 
 
 def compared(rows: DataFrame, shared, n_docs: int, threshold: float) -> DataFrame:
@@ -128,7 +140,7 @@ def compared(rows: DataFrame, shared, n_docs: int, threshold: float) -> DataFram
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        weigh = weigher(shared)
+        weigh = weigher(shared, "exact")
 
         def links(held: dict) -> list[tuple[int, int]]:
             nodes = sorted(held)
@@ -175,45 +187,54 @@ def classes(docs: DataFrame, threshold: float = 0.8, words: int = 65_536, block_
     frequent, counts, n_docs = word_table(docs, words)
     shared = spark.sparkContext.broadcast(frequent)
     found = stored(signatures(docs, shared), "signatures")
-    nodes = found.filter("others is not null").groupBy("node").agg(F.first("others").alias("others"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("rep"))
-    nodes = stored(nodes, "nodes")
-    # each text brings the df of its words outside the broadcast table; such a word is in few documents, so none is hot here
-    rare = nodes.select("node", F.explode("others").alias("word")).join(counts, "word").groupBy("node").agg(F.collect_list(F.struct("word", "n")).alias("rare"))
-    reps = nodes.join(rare, "node", "left").select("node", F.col("rep.doc_id").alias("rep_doc"), F.col("rep.text_hash").alias("rep_hash"), F.col("rare.word").alias("words"), F.col("rare.n").alias("dfs"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep_doc_2"), F.xxhash64("text").alias("rep_hash_2"), text_or_empty().alias("text"))
-    texts = texts.join(reps, F.col("rep_doc").eqNullSafe(F.col("rep_doc_2")) & (F.col("rep_hash") == F.col("rep_hash_2"))).select("node", "text", "words", "dfs")
-    texts = stored(sampled(texts, shared, n_docs), "texts")
-    nodes = texts.groupBy("node").agg(F.first("samples").alias("samples"), F.max(F.length("text")).cast("long").alias("n_chars"))  # rows may be equal
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "uid"))
+    nodes = stored(found.groupBy("node").agg(F.first("samples", ignorenulls=True).alias("samples"), F.max("n_chars").alias("n_chars"), rep.alias("rep"), F.count("*").alias("n_rows")), "nodes")
+    n_nodes = nodes.count()
     bands = F.array(*(F.xxhash64(F.lit(b), *(F.col("samples")[b * ROWS + i] for i in range(ROWS))) for b in range(BANDS)))
-    in_bands = nodes.select("node", "n_chars", F.explode(bands).alias("bucket"))
+    in_bands = nodes.filter("samples is not null").select("node", "n_chars", F.explode(bands).alias("bucket"))
     full = in_bands.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.min("node").alias("center")).filter("n > 1")
-    rows = stored(in_bands.join(full, "bucket").select("bucket", "node", "center", blocks(F.col("n"), F.col("chars"), block_rows, block_chars).alias("n_blocks")), "bucket-rows")
-    texts = texts.drop("samples")
+    full = full.select("bucket", "center", blocks(F.col("n"), F.col("chars"), block_rows, block_chars).alias("n_blocks"), F.col("n").alias("n_rows"))
+    full = stored(full, "buckets")
+    rows = stored(dealt_join(in_bands.drop("n_chars"), full, "bucket", "node", BANDS * n_nodes).select("bucket", "node", "center", "n_blocks"), "bucket-rows")
+    # texts that share a bucket, with the df of their words outside the broadcast table; such a word is in few documents, so none is hot here
+    reps = rows.select("node").distinct().join(nodes, "node").select("node", F.col("rep.doc_id").alias("rep_doc"), F.col("rep.text_hash").alias("rep_hash"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep_doc_2"), F.xxhash64("text").alias("rep_hash_2"), text_or_empty().alias("text"))
+    texts = texts.join(reps, F.col("rep_doc").eqNullSafe(F.col("rep_doc_2")) & (F.col("rep_hash") == F.col("rep_hash_2"))).select("node", "text")
+    texts = stored(with_rare_words(texts, shared), "texts")
+    rare = texts.select("node", F.explode("others").alias("word")).join(counts, "word").groupBy("node").agg(F.collect_list(F.struct("word", "n")).alias("rare"))
+    rare = stored(rare.select("node", F.col("rare.word").alias("words"), F.col("rare.n").alias("dfs")), "rare-words")
+    texts = texts.drop("others").join(rare, "node", "left")
     # blocks of each bucket, and the bucket's first text in each
     own = rows.select("bucket", salt(F.col("n_blocks")).alias("block_a"), "node")
     first = rows.filter("node = center and n_blocks > 1").select("bucket", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block_a"), "node")
     within = own.unionByName(first).join(texts, "node").withColumn("block_b", F.lit(0)).withColumn("side", F.lit(True))
     links = stored(compared(within, shared, n_docs, threshold), "links-within")
-    # what is left: buckets of several blocks and classes
-    wide = rows.filter("n_blocks > 1").join(texts.select("node", F.length("text").alias("chars")), "node")
     label = graph.components(links)
+    # what is left: buckets of several blocks and classes
+    wide = rows.filter("n_blocks > 1").join(nodes.select("node", F.col("n_chars").alias("chars")), "node")
     wide = stored(wide.join(label.withColumnRenamed("id", "node"), "node", "left").select("bucket", "node", "chars", "n_blocks", F.coalesce("component", "node").alias("label")), "wide-rows")
-    if not wide.isEmpty():
+    n_wide = wide.count()
+    if n_wide:
         sizes = wide.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
-        largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1")
-        few = sizes.join(largest, "bucket").filter("label <> main").groupBy("bucket", "main").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars")).select("bucket", "main", blocks(F.col("n"), F.col("chars"), block_rows, block_chars).alias("few_blocks"))
-        left = wide.join(few, "bucket")
+        # the largest class of each bucket, what the others have, and all of it
+        largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label", "chars")).alias("main"), F.sum("n").alias("n_rows"), F.sum("chars").alias("chars"))
+        few = largest.filter("n_rows > main.n").select("bucket", F.col("main.label").alias("main"), blocks(F.col("n_rows") - F.col("main.n"), F.col("chars") - F.col("main.chars"), block_rows, block_chars).alias("few_blocks"), "n_rows")
+        left = stored(dealt_join(wide, few, "bucket", "node", n_wide), "wide-classes")
         a = left.filter("label <> main").select("bucket", "node", salt(F.col("few_blocks")).alias("block_a"), F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block_b"), F.lit(True).alias("side"))
         b = left.select("bucket", "node", F.explode(F.sequence(F.lit(0), F.col("few_blocks") - 1)).alias("block_a"), salt(F.col("n_blocks")).alias("block_b"), F.lit(False).alias("side"))
         across = compared(a.unionByName(b).join(texts, "node"), shared, n_docs, threshold)
         label = graph.components(links.unionByName(across))
-    both = found.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("class", F.coalesce("component", "node"))
-    head = both.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "uid")).alias("head"))
-    return both.join(head, "class").select("doc_id", F.col("head.doc_id").alias("class_id"), (F.col("uid") == F.col("head.uid")).alias("kept"), "text_hash")
+    # heads by class, then by node, then by row; a class of many nodes and a node of many copies are dealt over parts
+    classed = stored(nodes.select("node", "rep", "n_rows").join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component"), "classes")
+    heads = classed.groupBy("class").agg(F.min("rep").alias("head"), F.count("*").alias("n_rows"))
+    of_node = dealt_join(classed.withColumnRenamed("n_rows", "copies"), heads, "class", "node", n_nodes).select("node", "head", F.col("copies").alias("n_rows"))
+    both = dealt_join(found.select("uid", "doc_id", "text_hash", "node"), stored(of_node, "heads"), "node", "uid", n_docs)
+    return both.select("doc_id", F.col("head.doc_id").alias("class_id"), (F.col("uid") == F.col("head.uid")).alias("kept"), "text_hash")
 
 
 def distinct_documents(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """One document of each class, with its columns."""
+    """One document of each class, with its columns: the first row of classes(), which tells how nulls, ties and repeated rows are taken.
+    A text of any length is compared whole. An empty table stays empty."""
     kept = classes(docs, threshold).filter("kept").select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
     # in structs, no column of the documents can clash with those of the classes
     rows, one = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row")), kept.select(F.struct("_doc", "_hash").alias("one"))

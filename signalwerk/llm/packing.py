@@ -239,7 +239,7 @@ def pieces(docs: DataFrame, capacity: int, vocabulary: str, end_id: int) -> Data
 
         enc = encoder(tokenizer_path(vocabulary))
         for batch in batches:
-            for part in slices(batch, rows=8192, size=4_000_000):
+            for part in slices(batch, rows=8192, size=2_000_000):
                 ids, at = enc.encode_flat(part.column("text"), end_id)
                 raw, size = memoryview(ids.astype("<u4", copy=False)).cast("B"), np.diff(at)
                 n = -(-size // capacity)

@@ -160,7 +160,7 @@ def range_edges(docs: DataFrame, range_chars: int, most_ranges: int) -> list[int
     return docs.select(F.percentile_approx(key, [i / n for i in range(1, n)], max(10_000, 20 * n)).alias("e")).first()["e"]
 
 
-def write(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50k.json", end_id: int = 0, range_chars: int = 32_000_000, shard_ids: int = 32_000_000, most_ranges: int = 100_000) -> None:
+def write(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50k.json", end_id: int = 0, range_chars: int = 32_000_000, shard_ids: int = 16_000_000, most_ranges: int = 100_000) -> None:
     """Encode documents (doc_id, text) and write shards below `path`, one after another in ascending doc_id order (null first, then equal ids by a hash of the text).
 
     A task writes a range of about range_chars characters, in shards of about shard_ids ids, and at least one document each. Texts are
@@ -177,7 +177,7 @@ def write(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50k.json", end
 
         enc, ends = encoder(tokenizer_path(vocabulary)), np.array(shared.value, np.int64)
         for batch in batches:
-            for part in slices(batch, rows=8192, size=4_000_000):
+            for part in slices(batch, rows=8192, size=2_000_000):
                 ids, at = enc.encode_flat(part.column("text"), end_id)
                 key, tie = np.asarray(part.column("doc_id").fill_null(LEAST)), np.asarray(part.column("tie"))
                 low, high = np.searchsorted(ends, key, "left"), np.searchsorted(ends, key, "right")

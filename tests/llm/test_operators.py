@@ -161,6 +161,27 @@ def test_vectors(spark):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_of_many_lists(spark):
+    """Both levels of centers, probing, recall against all pairs, two lengths, repeated ids."""
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(2500, 64))
+    near = base[rng.integers(0, 2500, 1500)] + rng.uniform(0.05, 0.4, (1500, 1)) * rng.normal(size=(1500, 64))
+    v = np.float32(np.concatenate([base, near]))
+    short = [[1.0, 2.0, 3.0], [1.0, 2.0, 3.1], [-1.0, 0.0, 0.5]]
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(5000 + i, x) for i, x in enumerate(short)] + [(5000, short[0])]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), sample=320, per_list=32).collect()
+    u = v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    linked = u @ u.T >= 0.9
+    np.fill_diagonal(linked, False)
+    links = {r["vec_id"]: r["n_links"] for r in got if r["vec_id"] < 5000}
+    assert len(got) == len(rows) and all(links[i] <= linked[i].sum() for i in links)
+    found = sum(links.values())
+    assert 0.97 * linked.sum() <= found <= linked.sum() and linked.sum() > 2000
+    index = vectors.train(u[:320], 4000, 0.9, 32, 8)
+    assert len(index.coarse) == 20 and len(index.fine) == 7 and index.probes != (1, 1)
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got if r["vec_id"] >= 5000) == [(5000, 2, 5000), (5000, 2, 5000), (5001, 2, 5000), (5002, 0, 5002)]
+
+
 def test_components(spark):
     rnd = random.Random(3)
     links = [(i, i + 1) for i in range(60) if i % 13] + [(rnd.randint(100, 140), rnd.randint(100, 140)) for _ in range(25)] + [(200, 200 + i) for i in range(1, 80)]
