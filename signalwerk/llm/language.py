@@ -17,7 +17,9 @@ from .common import slices, text_or_empty
 
 ORDER = 5
 START, END = 2, 3
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Runs of letters, general category L: word characters but digits, the low line and other numbers such as fractions and Roman numerals.
+NUMBERS = "".join(chr(c) for c in range(0x20000) if chr(c).isnumeric() and not chr(c).isdecimal() and not chr(c).isalpha())
+LETTERS = re.compile(rf"[^\W\d_{re.escape(NUMBERS)}]+")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -108,7 +110,7 @@ class Classifier:
 
     def __init__(self, langs: list[str], models: list[KneserNey], sharpness: float = 10.0, limits: np.ndarray | None = None):
         self.langs, self.models, self.sharpness = langs, models, sharpness
-        self.limits = np.full(len(langs), np.inf) if limits is None else limits
+        self.limits = np.full((len(langs), STEPS), np.inf) if limits is None else limits
         self.known: dict[str, int] = {}
         self.table = np.zeros((0, len(langs) + 1))
 
@@ -117,8 +119,8 @@ class Classifier:
         g, c, which = grams(words)
         return np.column_stack([*(m.word_scores(g, c, which, len(words)) for m in self.models), np.fromiter(map(len, words), np.float64, len(words)) + 1])
 
-    def entropies(self, texts: list[str], limit: int = 400_000) -> np.ndarray:
-        """Cross-entropy a letter of each text in each language; nan where a text has no letters."""
+    def entropies(self, texts: list[str], limit: int = 400_000) -> tuple[np.ndarray, np.ndarray]:
+        """Cross-entropy a letter of each text in each language, nan where a text has no letters; letters and words of each."""
         parts = [LETTERS.findall(x.lower()) for x in texts]
         if len(self.known) > limit:
             self.known, self.table = {}, self.table[:0]
@@ -128,14 +130,14 @@ class Classifier:
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
             fresh = [self.rows(new[i : i + 20_000]) for i in range(0, len(new), 20_000)]
             self.table = np.concatenate([self.table, *fresh])
-        out = np.full((len(texts), len(self.langs)), np.nan)
+        out, size = np.full((len(texts), len(self.langs)), np.nan), np.zeros(len(texts))
         for i, words in enumerate(parts):
             if words:
                 total = self.table[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))].sum(0)
-                out[i] = -total[:-1] / total[-1]
+                out[i], size[i] = -total[:-1] / total[-1], total[-1]
         if len(self.known) > 4 * limit:  # a batch of very many long words
             self.known, self.table = {}, self.table[:0]
-        return out
+        return out, size
 
     def posterior(self, entropies: np.ndarray) -> np.ndarray:
         x = -self.sharpness * (entropies - entropies.min(1, keepdims=True))
@@ -143,32 +145,44 @@ class Classifier:
         return e / e.sum(1, keepdims=True)
 
     def predict(self, texts: list[str]) -> list[tuple[str, float, bool]]:
-        """Language, score and whether it is rejected, for each text."""
+        """Language, score and whether it is rejected, for each text. What lies above its language's limit scores less, the further the less."""
         if not self.langs:
             return [("und", 0.0, True)] * len(texts)
-        h = self.entropies(texts)
+        h, n = self.entropies(texts)
         some = ~np.isnan(h[:, 0])
         out = [("und", 0.0, True)] * len(texts)
         if some.any():
             p, best = self.posterior(h[some]), h[some].argmin(1)
-            for i, k, row, e in zip(np.flatnonzero(some), best, p, h[some], strict=True):
-                out[i] = (self.langs[k], float(row[k]), bool(e[k] > self.limits[k]))
+            for i, k, row, e, size in zip(np.flatnonzero(some), best, p, h[some], n[some], strict=True):
+                over = e[k] - self.limits[k, step(size)]
+                out[i] = (self.langs[k], float(row[k] * np.exp(-max(over, 0.0))), bool(over > 0))
         return out
 
 
+STEPS = 6
+
+
+def step(size):
+    """Texts of about 1, 2, 4, 8, 16, and 32 words of six letters and more have limits of their own."""
+    return np.clip(np.log2(np.maximum(size, 1) / 7), 0, STEPS - 1).astype(int)
+
+
 def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
-def training_words(docs: DataFrame, per_language: int, longest: int) -> DataFrame:
-    """Word counts by language and half: (lang, half, word, n). At most per_language documents of a language, the first by a hash of doc_id,
-    of at most `longest` characters each: so the table's size is bounded, whatever the corpus. Half 1 calibrates."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
-    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= longest) & F.coalesce(~held_out(), F.lit(True)))
-    rows = rows.withColumn("h", F.xxhash64("doc_id"))
-    chosen = rows.select("lang", "h", "doc_id").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("r") <= per_language)
-    edge = chosen.groupBy("lang").agg(F.max("h").alias("edge"))  # a row per language
-    kept = rows.join(F.broadcast(edge), "lang").filter(F.col("h") <= F.col("edge"))
+def training_words(docs: DataFrame, per_language: int, longest: int, languages: int) -> DataFrame:
+    """Word counts by language: (lang, doc, word, n), doc being -1 but for the fifth of the documents that calibrates. At most per_language
+    documents of a language, the first by a hash of doc_id and text, of at most `longest` characters each, and the `languages` languages
+    that have most: so the table's size is bounded, whatever the corpus."""
+    rows = docs.select("text", F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id", "text").alias("h"), F.coalesce(~held_out(), F.lit(True)).alias("free"))
+    rows = rows.filter(F.col("free") & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= longest)).select("lang", "h", "text")
+    # hashes only, in two steps, so that a large language is dealt over many tasks
+    least = lambda df, *by: df.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("h"))).filter(F.col("r") <= per_language)
+    chosen = least(least(rows.select("lang", "h", F.pmod("h", F.lit(64)).alias("part")), "lang", "part"), "lang")
+    edge = chosen.groupBy("lang").agg(F.max("h").alias("edge"), F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).drop("n")
+    # repeated rows have one hash, so the rows up to the edge are counted again
+    kept = least(rows.join(F.broadcast(edge), "lang").filter(F.col("h") <= F.col("edge")), "lang")
 
     def run(batches: Iterator) -> Iterator:
         import collections
@@ -179,7 +193,7 @@ def training_words(docs: DataFrame, per_language: int, longest: int) -> DataFram
             counts: collections.Counter = collections.Counter()
             for lang, h, text in zip(*(batch.column(x).to_pylist() for x in ("lang", "h", "text")), strict=True):
                 words = LETTERS.findall(text.lower())
-                doc = h if h % 5 == 1 else -1  # a calibration document stays whole
+                doc = abs(h) if h % 5 == 1 else -1  # a calibration document stays whole
                 counts.update((lang, doc, w) for w in words)
             cols = list(zip(*((*k, n) for k, n in counts.items()), strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True)], names=["lang", "doc", "word", "n"])
@@ -188,11 +202,12 @@ def training_words(docs: DataFrame, per_language: int, longest: int) -> DataFram
     return found.groupBy("lang", "doc", "word").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, per_language: int = 300, longest: int = 20_000, spread: float = 8.0) -> Classifier:
-    """A classifier of the languages in docs.lang. It learns from at most per_language documents of a language and `longest` characters of
-    each, so what reaches the driver is bounded. A text is rejected if its cross-entropy exceeds its language's calibration mean by `spread`
-    standard deviations, and by 1 nat at least."""
-    table = training_words(docs, per_language, longest).toPandas()
+def fit(docs: DataFrame, per_language: int = 300, longest: int = 20_000, languages: int = 64, rate: float = 0.0005) -> Classifier:
+    """A classifier of the languages in docs.lang. It learns from at most per_language documents of each of at most `languages` languages
+    and `longest` characters of each, so what reaches the driver is bounded. Rejection is calibrated to a false-rejection rate: a text is
+    rejected if its cross-entropy exceeds what all but a share `rate` of random draws of as many words from calibration documents of its
+    language reach (32 words for longer texts, whose cross-entropy varies less)."""
+    table = training_words(docs, per_language, longest, languages).toPandas()
     langs = sorted(table["lang"].unique())
     models = []
     for lang in langs:
@@ -202,15 +217,19 @@ def fit(docs: DataFrame, per_language: int = 300, longest: int = 20_000, spread:
         models.append(KneserNey(list(own.index), own.to_numpy()) if len(own) else None)
     langs, models = [x for x, m in zip(langs, models, strict=True) if m], [m for m in models if m]
     out = Classifier(langs, models)
-    probe = table[(table["doc"] != -1) & table["lang"].isin(langs)]
+    probe = table[(table["doc"] != -1) & table["lang"].isin(langs)].sort_values(["lang", "doc", "word"])
     if len(probe):
-        truth, h = [], []
+        truth, h, rng = [], [], np.random.default_rng(3)
         words = sorted(set(probe["word"]))
-        rows = dict(zip(words, out.rows(words), strict=True))
+        scored = out.rows(words)
+        place = dict(zip(words, range(len(words)), strict=True))
+        draws: dict[int, list] = {k: [] for k in range(len(langs))}
         for (lang, _), own in probe.groupby(["lang", "doc"]):
-            total = sum(rows[w] * n for w, n in zip(own["word"], own["n"], strict=True))
+            rows, n = scored[[place[w] for w in own["word"]]], own["n"].to_numpy()
+            total = n @ rows
             truth.append(langs.index(lang))
             h.append(-total[:-1] / total[-1])
+            draws[truth[-1]].append((rows, n / n.sum()))
         h, truth = np.array(h), np.array(truth)
         loss = []
         grid = [0.5, 1, 2, 4, 8, 16, 32]
@@ -218,10 +237,13 @@ def fit(docs: DataFrame, per_language: int = 300, longest: int = 20_000, spread:
             out.sharpness = s
             loss.append(-np.log(np.clip(out.posterior(h)[np.arange(len(h)), truth], 1e-9, 1)).mean())
         out.sharpness = float(grid[int(np.argmin(loss))])
-        for k in range(len(langs)):
-            own = h[truth == k, k]
+        for k, own in draws.items():
             if len(own) >= 5:
-                out.limits[k] = own.mean() + max(spread * own.std(), 1.0)
+                each = -(-8000 // len(own))
+                for s in range(STEPS):
+                    at = [(rows[:, [k, -1]], rng.choice(len(n), (each, 1 << s), p=n)) for rows, n in own]
+                    sums = np.concatenate([rows[i].sum(1) for rows, i in at])
+                    out.limits[k, s] = np.quantile(-sums[:, 0] / sums[:, 1], 1 - rate)
     return out
 
 
@@ -229,7 +251,8 @@ def identified(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
     """Every document's language: doc_id, held_out, lang_pred, score, rejected.
 
     A null text, or one without letters, is `und` with score 0 and rejected, as is everything if no document has a language. A null doc_id
-    is not held out. Rows are taken one by one; other columns are ignored.
+    is not held out. Of languages that fit equally well the first by name is taken. Rows, repeated ones too, are taken one by one, and whole
+    texts of any length; an empty table gives no rows; other columns are ignored.
     """
     model = model or fit(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by fit()
@@ -247,7 +270,7 @@ def identified(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
-    """Documents whose language is told and not rejected, with their columns."""
+    """Documents whose language is told and not rejected, with their columns; identified() tells how odd rows are taken."""
     model = model or fit(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -6,8 +6,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import slices, text_or_empty
 
@@ -66,26 +67,42 @@ def measure(text: str) -> tuple[int, ...]:
     return len(words), sum(map(len, words)), len(SYMBOL.findall(text)), dups, len(lines), repeated_words(words)
 
 
-def ledger(docs: DataFrame) -> DataFrame:
-    """A row per document: doc_id, the measures, and failed, the bits of the rules that it fails. Null text has no words; rows are taken one by one."""
+def measured(rows: DataFrame, keep: str) -> DataFrame:
+    """rows (a column `keep`, and text, or a struct with one in `keep`) with text replaced by the measures and by failed, the bits of the rules that a document fails."""
+    inside = "text" not in rows.columns
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            for part in slices(batch, rows=2048):
-                found = list(zip(*map(measure, part.column("text").to_pylist()), strict=True))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c, pa.int64()) for c in found)], names=["doc_id", *MEASURES])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    found = rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES))
+            text = batch.column(keep).field("text").cast(pa.string()) if inside else batch.column("text")
+            for part in slices(pa.RecordBatch.from_arrays([batch.column(keep), text], names=[keep, "text"]), rows=2048):
+                found = list(zip(*(measure(x or "") for x in part.column("text").to_pylist()), strict=True))
+                yield pa.RecordBatch.from_arrays([part.column(keep), *(pa.array(c, pa.int64()) for c in found)], names=[keep, *MEASURES])
+
+    kept = rows.select(keep).schema.fields[0]
+    schema = T.StructType([kept, *(T.StructField(m, T.LongType()) for m in MEASURES)])
+    found = rows.mapInArrow(run, schema)
     return found.withColumn("failed", sum((F.when(F.expr(sql), 1 << i).otherwise(0) for i, (_, sql) in enumerate(RULES)), F.lit(0)).cast("long"))
 
 
+def passes(policy: str) -> Column:
+    """Whether a document passes the base rules and a policy, by its failure bits alone."""
+    return F.col("failed").bitwiseAND(F.lit(mask("base") | mask(policy)).cast("long")) == 0
+
+
+def ledger(docs: DataFrame) -> DataFrame:
+    """A row per document: doc_id, the measures, and failed, the bits of the rules that it fails.
+
+    Null text has no words, as empty text; a text of any length is measured whole; rows, repeated ones too, are taken one by one; an empty
+    table gives no rows. Other columns are ignored."""
+    return measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")), "doc_id")
+
+
 def judged(entries: DataFrame, policy: str = "v1") -> DataFrame:
     """A ledger with base_failed and, under a policy, kept."""
-    fails = lambda p: F.col("failed").bitwiseAND(F.lit(mask(p)).cast("long")) != 0
-    return entries.withColumn("base_failed", fails("base")).withColumn("kept", ~(fails("base") | fails(policy)))
+    base = F.col("failed").bitwiseAND(F.lit(mask("base")).cast("long")) != 0
+    return entries.withColumn("base_failed", base).withColumn("kept", passes(policy))
 
 
 def ablations(entries: DataFrame, policy: str = "v1") -> DataFrame:
@@ -101,28 +118,26 @@ def ablations(entries: DataFrame, policy: str = "v1") -> DataFrame:
 
 
 def filtered(docs: DataFrame, policy: str = "v1") -> DataFrame:
-    """Documents that a policy keeps, with their columns. The rules run inside the scan; nothing is joined back."""
-    schema = docs.schema
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            for part in slices(batch, rows=2048):
-                found = list(zip(*map(measure, (x or "" for x in part.column("text").to_pylist())), strict=True))
-                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(c, pa.int64()) for c in found)], names=[*part.schema.names, *(f"_rule_{m}" for m in MEASURES)])
-
-    measured = docs.mapInArrow(run, _extended(schema))
-    inner = measured
-    wanted = [sql for name, sql in RULES if name in set(POLICIES["base"]) | set(POLICIES[policy])]
-    for sql in wanted:
-        for m in sorted(MEASURES, key=len, reverse=True):
-            sql = re.sub(rf"(?<!_)\b{m}\b", f"_rule_{m}", sql)
-        inner = inner.filter(~F.expr(sql))
-    return inner.select(*[f"`{c}`" for c in schema.names])
-
-
-def _extended(schema):
-    from pyspark.sql import types as T
-
-    return T.StructType([*schema.fields, *(T.StructField(f"_rule_{m}", T.LongType()) for m in MEASURES)])
+    """Documents that a policy keeps, with their columns, by the ledger's bits; nothing is joined back. ledger() tells how odd rows are taken.
+
+    A document's columns travel in a struct, so none can clash with the measures."""
+    return measured(docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row")), "row").filter(passes(policy)).select("row.*")
+
+
+MEASURES_SQL = r"""
+docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+split AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM docs),
+grams AS (SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM split WHERE len(w) > 4)),
+again AS (SELECT doc_id, i FROM grams JOIN (SELECT doc_id, gram FROM grams GROUP BY ALL HAVING count(*) > 1) USING (doc_id, gram)),
+cover AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, range(5) r(k) GROUP BY 1),
+measured AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines, coalesce(n, 0) AS n_repeat_words
+  FROM split LEFT JOIN cover USING (doc_id)),
+bits AS (
+  SELECT *, ((n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT + 8 * (word_chars < 2 * n_words)::INT
+    + 16 * (word_chars > 20 * n_words)::INT + 32 * (10 * n_dup_lines > 3 * n_lines)::INT)::BIGINT AS failed FROM measured)
+"""
+ORACLE = f"WITH {MEASURES_SQL} SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM bits"
+ABLATIONS_ORACLE = f"""WITH {MEASURES_SQL}, rules AS (SELECT unnest(['few_words', 'repeated_words', 'symbols', 'short_words', 'long_words', 'repeated_lines']) AS rule, unnest([1, 2, 4, 8, 16, 32]) AS bit)
+SELECT rule, count_if(failed & bit <> 0)::BIGINT AS n_failed, count_if(failed = bit)::BIGINT AS n_failed_alone, count_if(failed & ~bit = 0)::BIGINT AS n_kept_without FROM bits, rules GROUP BY rule"""

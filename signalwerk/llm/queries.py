@@ -26,6 +26,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(quality.ledger(table(spark, sf_dir, "documents")))
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the latest policy does, from the failure bits of all documents."""
+    return quality.ablations(quality.ledger(table(spark, sf_dir, "documents")))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encoded(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,6 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.token_shards(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_line_dedup, op2_language_id, op3_quality_rules, op4_sentencepiece, op5_embedding_near_dedup, op6_warc, op7_minhash_near_dedup, op8_best_fit_packing, op9_chat_formatting, op10_token_shards)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_line_dedup, op2_language_id, op3_quality_rules, op4_sentencepiece, op5_embedding_near_dedup, op6_warc, op7_minhash_near_dedup, op8_best_fit_packing, op9_chat_formatting, op10_token_shards, quality_ablations)}
 
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": lines.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": lines.ORACLE, "op3_quality_rules": quality.ORACLE, "quality_ablations": quality.ABLATIONS_ORACLE}

@@ -311,12 +311,12 @@ def model_at(path: str, kind: str | None = None) -> Model:
     return _models[path, kind]
 
 
-def chosen(matrices: list[np.ndarray]) -> list[tuple[int, int]]:
-    """For each chunk, the states at its edges on the best way through all of them, from prefix products and one way back."""
-    ahead = [np.zeros((1, matrices[0].shape[0]))]
+def chosen(matrices: list[np.ndarray], enter: int | None = 0, leave: int | None = 0) -> list[tuple[int, int]]:
+    """For each of a few neighbouring chunks, the states at its edges on the best way from a state at the left to one at the right."""
+    ahead = [np.where(np.arange(matrices[0].shape[0]) == enter, 0.0, NONE)[None, :]]
     for m in matrices:
         ahead.append(product(ahead[-1], m))
-    state, out = int(ahead[-1][0].argmax()), []
+    state, out = leave, []
     for before, m in zip(ahead[-2::-1], matrices[::-1], strict=True):
         left = int((before[0] + m[:, state]).argmax())
         out.append((left, state))
@@ -324,6 +324,28 @@ def chosen(matrices: list[np.ndarray]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def crc32_combine(first: int, second: int, size: int) -> int:
+    """The CRC-32 of two stretches of bytes one after another, from theirs and the second's length: zeros are appended by squaring a bit matrix."""
+
+    def times(matrix: list[int], vector: int) -> int:
+        out = 0
+        for row in matrix:
+            if vector & 1:
+                out ^= row
+            vector >>= 1
+        return out
+
+    matrix = [0xEDB88320] + [1 << i for i in range(31)]  # one zero bit
+    for _ in range(3):
+        matrix = [times(matrix, row) for row in matrix]  # one zero byte
+    while size:
+        if size & 1:
+            first = times(matrix, first)
+        matrix = [times(matrix, row) for row in matrix]
+        size >>= 1
+    return first ^ second
+
+
 def digest_columns(pa, idents, counts, crcs, trips):
     return pa.RecordBatch.from_arrays([pa.array(idents, pa.int64()), pa.array(counts, pa.int64()), pa.array(crcs, pa.int64()), pa.array(trips, pa.bool_())], names=["doc_id", "n_tokens", "ids_crc32", "round_trip"])
 
@@ -354,12 +376,75 @@ def encoded(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", kind: str
     return short.unionByName(_giants(rows.filter(F.length("text") > chunk), vocabulary, kind, chunk, result))
 
 
+FAN = 32
+MATRIX = "uid long, k int, states int, weights array<double>"
+
+
+def _rows(pa, schema: dict, rows: list[tuple]):
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.values(), strict=True)], names=list(schema))
+
+
+def grouped(rows: DataFrame, key: str, order: str, of, result: str) -> DataFrame:
+    """`of` (a list of rows as dicts to a list of tuples) applied to the rows of each (uid, key) in order; a group has FAN rows at most."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        schema = to_arrow_schema(kinds)
+        held, at = [], None
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                if at is not None and (row["uid"], row[key]) != at:
+                    out += of(held)
+                    held = []
+                at = row["uid"], row[key]
+                held.append(row)
+            if out:
+                yield _rows(pa, dict(zip(schema.names, schema.types, strict=True)), out)
+        if held:
+            yield _rows(pa, dict(zip(schema.names, schema.types, strict=True)), of(held))
+
+    kinds = rows.sparkSession.createDataFrame([], result).schema
+    return rows.repartition("uid", key).sortWithinPartitions("uid", key, order).mapInArrow(run, result)
+
+
+def as_matrix(row: dict) -> np.ndarray:
+    return np.array(row["weights"]).reshape(row["states"], -1)
+
+
+def combined(rows: list[dict]) -> list[tuple]:
+    """The product of a group's matrices, in order."""
+    whole = as_matrix(rows[0])
+    for row in rows[1:]:
+        whole = product(whole, as_matrix(row))
+    return [(rows[0]["uid"], rows[0]["g"], whole.shape[0], whole.ravel().tolist())]
+
+
+def ways(rows: list[dict]) -> list[tuple]:
+    """States at the edges of each of a group's members, given those of the group."""
+    both = chosen([as_matrix(r) for r in rows], rows[0]["enter"], rows[0]["leave"])
+    return [(r["uid"], r["k"], a, b) for r, (a, b) in zip(rows, both, strict=True)]
+
+
 def _giants(rows: DataFrame, vocabulary: str, kind: str | None, size: int, result: str) -> DataFrame:
+    """Chunks, their matrices, products of FAN neighbours in a tree up to one for each document, states back down the tree, ids of each chunk."""
     around = 64  # characters kept on each side of a chunk
-    numbered = rows.withColumn("uid", F.monotonically_increasing_id()).withColumn("text", F.concat(F.lit(" "), F.col("text")))
-    cut = numbered.select("uid", "doc_id", F.length("text").alias("n"), "text", F.explode(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / size).cast("int"))).alias("k"))
-    low = F.greatest(F.col("k") * size - around, F.lit(0))
-    table = stored(cut.select("uid", "doc_id", "k", (F.col("k") * size - low).cast("int").alias("begin"), (F.least((F.col("k") + 1) * size, F.col("n")) - low).cast("int").alias("end"), F.substring(F.col("text"), low.cast("int") + 1, F.lit(size + 2 * around)).alias("text")).repartition("uid", "k"), "chunks")
+
+    def cut(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        schema = {"uid": pa.int64(), "doc_id": pa.int64(), "k": pa.int32(), "begin": pa.int32(), "end": pa.int32(), "text": pa.string()}
+        for batch in batches:
+            for uid, doc, text in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id", "text")), strict=True):
+                text = " " + text
+                for k, at in enumerate(range(0, len(text), size)):
+                    low = max(0, at - around)
+                    yield _rows(pa, schema, [(uid, doc, k, at - low, min(at + size, len(text)) - low, text[low : at + size + around])])
+
+    numbered = rows.withColumn("uid", F.monotonically_increasing_id()).select("uid", "doc_id", "text")
+    table = stored(numbered.mapInArrow(cut, "uid long, doc_id long, k int, begin int, end int, text string").repartition("uid", "k"), "chunks")
 
     def chunk_of(model: Model, text: str, begin: int, end: int) -> Chunk:
         assert model.longest <= around and model.prefix
@@ -374,58 +459,67 @@ def _giants(rows: DataFrame, vocabulary: str, kind: str | None, size: int, resul
             found = [chunk_of(model, *x).matrix() for x in zip(cols["text"], cols["begin"], cols["end"], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("k"), pa.array([m.shape[0] for m in found], pa.int32()), pa.array([m.ravel().tolist() for m in found], pa.list_(pa.float64()))], names=["uid", "k", "states", "weights"])
 
-    def ways(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        # a document's matrices in order; each is a few numbers
-        held, uid = [], None
-
-        def close():
-            both = chosen([m for _, m in held])
-            return pa.RecordBatch.from_arrays([pa.array([uid] * len(held), pa.int64()), pa.array([k for k, _ in held], pa.int32()), pa.array([a for a, _ in both], pa.int32()), pa.array([b for _, b in both], pa.int32())], names=["uid", "k", "enter", "leave"])
-
-        for batch in batches:
-            for u, k, n, w in zip(*(batch.column(c).to_pylist() for c in ("uid", "k", "states", "weights")), strict=True):
-                if u != uid and held:
-                    yield close()
-                    held = []
-                uid = u
-                held.append((k, np.array(w).reshape(n, -1)))
-        if held:
-            yield close()
-
     def trace(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         model = model_at(tokenizer_path(vocabulary), kind)
         for batch in batches:
-            cols, raws, trips = batch.to_pydict(), [], []
+            cols, out = batch.to_pydict(), []
             for text, begin, end, a, b in zip(*(cols[c] for c in ("text", "begin", "end", "enter", "leave")), strict=True):
                 c = chunk_of(model, text, begin, end)
                 raw = c.ids(a, b)
                 said = b"".join(map(model.raw.__getitem__, np.frombuffer(raw, "<u4").tolist()))
-                raws.append(raw)
-                trips.append(said.decode("utf-8", "replace").replace(SPACE, " ") == text[begin + c.enter[a][0] : end + c.leave[b][0]])
-            yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("doc_id"), batch.column("k"), pa.array(raws, pa.binary()), pa.array(trips, pa.bool_())], names=["uid", "doc_id", "k", "ids", "same"])
+                out.append((len(raw) // 4, zlib.crc32(raw), said.decode("utf-8", "replace").replace(SPACE, " ") == text[begin + c.enter[a][0] : end + c.leave[b][0]]))
+            n, crc, same = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("doc_id"), batch.column("k"), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())], names=["uid", "doc_id", "k", "n", "crc", "same"])
+
+    def sums(rows: list[dict]) -> list[tuple]:
+        n, crc = 0, 0
+        for r in rows:
+            n, crc = n + r["n"], crc32_combine(crc, r["crc"], 4 * r["n"])
+        return [(rows[0]["uid"], rows[0]["doc_id"], rows[0]["g"], n, crc, all(r["same"] for r in rows))]
+
+    parent = F.floor(F.col("k") / FAN).cast("int").alias("g")
+    most = table.agg(F.max("k").alias("k")).first()["k"]
+    levels = [stored(table.select("uid", "k", "begin", "end", "text").mapInArrow(matrices, MATRIX), "matrices")]
+    while most:
+        levels.append(stored(grouped(levels[-1].select("*", parent), "g", "k", combined, MATRIX), "products"))
+        most //= FAN
+    # one matrix is left of each document, with one state at either end
+    way = levels.pop().select("uid", "k", F.lit(0).alias("enter"), F.lit(0).alias("leave"))
+    while levels:
+        members = levels.pop().select("*", parent).join(way.withColumnRenamed("k", "g"), ["uid", "g"])
+        way = stored(grouped(members, "g", "k", ways, "uid long, k int, enter int, leave int"), "ways")
+    parts = table.join(way, ["uid", "k"]).select("uid", "doc_id", "k", "begin", "end", "text", "enter", "leave").mapInArrow(trace, "uid long, doc_id long, k int, n long, crc long, same boolean")
+    parts, left = stored(parts, "chunk-sums"), table.agg(F.max("k").alias("k")).first()["k"]
+    while left:
+        parts, left = grouped(parts.select("*", parent), "g", "k", sums, "uid long, doc_id long, k int, n long, crc long, same boolean"), left // FAN
+    return parts.select("doc_id", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"), F.col("same").alias("round_trip"))
+
+
+def token_ids(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", kind: str | None = None) -> DataFrame:
+    """doc_id and ids of each document. encoded() does without the ids of giant documents in one row; here a row holds them. Null text has no ids."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        model = model_at(tokenizer_path(vocabulary), kind)
+        for batch in batches:
+            for part in slices(batch):
+                found = [np.frombuffer(model.encode(x), "<u4").astype("i4") for x in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
-    def sums(batches: Iterator) -> Iterator:
+
+def decoded(tokens: DataFrame, vocabulary: str = "piece_bpe_32k.model", kind: str | None = None) -> DataFrame:
+    """Texts of rows (doc_id, ids). Null ids are none; bytes that are no UTF-8 become U+FFFD. Ids outside the vocabulary raise an error."""
+
+    def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        uid, row = None, None
+        model = model_at(tokenizer_path(vocabulary), kind)
         for batch in batches:
-            out = []
-            for u, doc, raw, same in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id", "ids", "same")), strict=True):
-                if u != uid:
-                    out += [row] if row else []
-                    uid, row = u, [doc, 0, 0, True]
-                row[1:] = row[1] + len(raw) // 4, zlib.crc32(raw, row[2]), row[3] and same
-            if out:
-                yield digest_columns(pa, *zip(*out, strict=True))
-        if row:
-            yield digest_columns(pa, *([x] for x in row))
-
-    found = table.select("uid", "k", "begin", "end", "text").mapInArrow(matrices, "uid long, k int, states int, weights array<double>")
-    ordered = found.repartition("uid").sortWithinPartitions("uid", "k")
-    way = ordered.mapInArrow(ways, "uid long, k int, enter int, leave int")
-    ids = table.join(way, ["uid", "k"]).select("uid", "doc_id", "k", "begin", "end", "text", "enter", "leave").mapInArrow(trace, "uid long, doc_id long, k int, ids binary, same boolean")
-    return ids.repartition("uid").sortWithinPartitions("uid", "k").mapInArrow(sums, result)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([model.decode(x or []) for x in batch.column("ids").to_pylist()], pa.string())], names=["doc_id", "text"])
+
+    return tokens.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, "doc_id long, text string")

@@ -76,6 +76,16 @@ def test_quality(spark, odd):
     one = {r["rule"]: r for r in quality.ablations(quality.ledger(docs)).collect()}
     assert one["few_words"]["n_failed"] == sum(r["n_words"] < 10 for r in found)
     assert quality.filtered(odd).columns == odd.columns and quality.ledger(odd.limit(0)).count() == 0
+    clash = odd.withColumn("n_words", F.lit("x")).withColumn("failed", F.lit(1)).withColumn("_rule_n_words", F.lit(1)).withColumn("row", F.lit(1))
+    assert quality.filtered(clash).columns == clash.columns and quality.filtered(clash).count() == quality.filtered(odd).count()
+
+
+@pytest.mark.parametrize("name", ["op3_quality_rules", "quality_ablations"])
+def test_quality_sql(spark, duck, name):
+    got, want = queries.QUERIES[name](spark, SF).toPandas(), duck.execute(queries.ORACLE_SQL[name]).fetchdf()
+    key = want.columns[0]
+    got, want = (x.sort_values(key).reset_index(drop=True)[sorted(want.columns)] for x in (got, want))
+    assert len(got) == len(want) and all((got[c] == want[c]).all() for c in want.columns)
 
 
 def test_language(spark, odd):
@@ -88,6 +98,21 @@ def test_language(spark, odd):
     assert {r["lang_pred"] for r in language.identified(odd.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_language_rejects_what_it_does_not_know(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(docs)
+    strange = ["W Szczebrzeszynie chrząszcz brzmi w trzcinie i Szczebrzeszyn z tego słynie, wół go pyta: panie chrząszczu, po co pan tak brzęczy w gąszczu", "今天天气很好我们一起去公园散步吧", "zxqj vvkq wpxz qqjx kzvw xjqz pfkw zzqv qxkj wvzq kjxq", "Πόσο μακριά είναι η θάλασσα από εδώ, ρώτησε ο ταξιδιώτης"]
+    assert all(rejected and score < 0.6 for _, score, rejected in model.predict(strange))
+    assert model.predict(["½ ² ①", "Ⅷ 12 _", "", "٣"]) == [("und", 0.0, True)] * 4
+    found = language.identified(docs.filter("lang is not null and length(text) > 200"), model).agg(F.avg(F.col("rejected").cast("int"))).first()[0]
+    assert found < 0.01
+    # equal and null ids count once each for the bound of training rows
+    same = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("two words").alias("text"), F.lit("en").alias("lang"))
+    assert language.training_words(same, 300, 20_000, 64).agg(F.sum("n")).first()[0] == 600
+    many = spark.range(3000).select("id", F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id")).alias("text"), F.concat(F.lit("l"), F.col("id") % 100).alias("lang"))
+    assert len(language.fit(many).langs) == 64
+
+
 def test_kneser_ney_sums_to_one():
     m = language.KneserNey(["ab", "abc", "ba"], np.array([3, 2, 1]))
     g, c, which = language.grams(["a" + x for x in "abcz"])
@@ -98,6 +123,37 @@ def test_kneser_ney_sums_to_one():
     assert abs(sum(p) - 1) < 1e-9
 
 
+def test_kneser_ney_is_brute_force():
+    """Against dictionaries over the n-grams of words, for words seen and not."""
+    words = {"abab": 3, "abc": 2, "bca": 1, "cab": 1, "abba": 2, "b": 4}
+    n, pad = language.ORDER, "<" * (language.ORDER - 1)
+    counts = [collections.Counter() for _ in range(n + 1)]
+    for w, c in words.items():
+        x = pad + w + ">"
+        for i in range(n - 1, len(x)):
+            for k in range(1, n + 1):
+                counts[k][x[i - k + 1 : i + 1]] += c
+    used = [None] + [collections.Counter(g[1:] for g in counts[k + 1]) for k in range(1, n)] + [counts[n]]
+    letters = len(used[1]) + 1
+
+    def p(context, letter):
+        below = 1 / letters
+        for k in range(1, n + 1):
+            head = context[len(context) - k + 1 :] if k > 1 else ""
+            own = {g: c for g, c in used[k].items() if g[:-1] == head}
+            n1, n2 = (sum(v == i for v in used[k].values()) for i in (1, 2))
+            d, total = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5, sum(own.values())
+            below = max(own.get(head + letter, 0) - d, 0) / total + d * len(own) / total * below if total else below
+        return below
+
+    m = language.KneserNey(list(words), np.array(list(words.values())))
+    for w in [*words, "aaa", "xyz", "abcab"]:
+        x = pad + w + ">"
+        want = sum(np.log(p(x[i - n + 1 : i], x[i])) for i in range(n - 1, len(x)))
+        g, c, which = language.grams([w])
+        assert abs(m.word_scores(g, c, which, 1)[0] - want) < 1e-9
+
+
 def test_encoder_is_the_library():
     from tokenizers import Tokenizer
 
@@ -138,6 +194,15 @@ def test_sentencepiece_is_the_library(spark, odd):
             assert got == ids if kind == "merge" else abs(weight(got) - weight(ids)) < 1e-3
     want = collections.Counter((r["doc_id"], len(i := merge.encode(r["text"] or "")), zlib.crc32(np.array(i, "<u4").tobytes()), True) for r in odd.collect())
     assert want == collections.Counter(tuple(r) for r in sentencepiece.encoded(odd, chunk=5000).collect())
+    # two levels of the tree: more than FAN chunks
+    assert want == collections.Counter(tuple(r) for r in sentencepiece.encoded(odd, chunk=1500).collect()) and len(LONG) > 1500 * sentencepiece.FAN
+    assert sentencepiece.encoded(odd.limit(0)).count() == 0
+    texts = spark.createDataFrame([(i, x) for i, x in enumerate(texts)] + [(None, None)], "doc_id long, text string").filter("not contains(text, '▁') or text is null")
+    back = sentencepiece.decoded(sentencepiece.token_ids(texts)).collect()
+    assert collections.Counter((r["doc_id"], r["text"]) for r in back) == collections.Counter((r["doc_id"], r["text"] or "") for r in texts.collect())
+    for n in (0, 1, 7, 5000):
+        x, y = b"abc" * 9, bytes(range(256)) * 20
+        assert sentencepiece.crc32_combine(zlib.crc32(x), zlib.crc32(y[:n]), n) == zlib.crc32(x + y[:n])
     a, b, c = (np.random.default_rng(i).normal(size=(3, 3)) for i in range(3))
     assert np.allclose(sentencepiece.product(sentencepiece.product(a, b), c), sentencepiece.product(a, sentencepiece.product(b, c)))
 
@@ -211,7 +276,12 @@ def test_warc(spark):
         raw, own = (h or "").encode(), first[h or ""]
         want[i, len(raw), warc.base32_sha1(hashlib.sha1(raw).digest()), "response" if own == i else "revisit", None if own == i else own] += 1
     for size in (3, 7, 1 << 18):
-        assert collections.Counter(tuple(r) for r in warc.archive(df, size=size).collect()) == want
+        got = warc.archive(df, size=size).collect()
+        assert collections.Counter(tuple(r)[:5] for r in got) == want
+        page = {r["record_id"]: r["page_id"] for r in got}
+        assert all(page[r["target"]] == r["refers_to"] for r in got if r["record_type"] == "revisit")  # ids resolve
+    long = spark.createDataFrame([(1, "u", "x" * 700_000 + "é"), (2, "u", "x" * 700_000 + "é")], "page_id long, url string, html string")
+    assert [(r["payload_bytes"], r["record_type"]) for r in warc.archive(long).orderBy("page_id").collect()] == [(700_002, "response"), (700_002, "revisit")]
     assert warc.archive(df.limit(0)).count() == 0
 
 
