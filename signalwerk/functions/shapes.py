@@ -1,23 +1,31 @@
 """Lines and rings as arrays of points struct<x double, y double>: lengths, cuts, clipping, circles, geodesic distances.
 
-All are column expressions but simplified(), whose recursion has no such form.
+All are column expressions but simplified() and geodesic(), which run in numpy on Arrow batches.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .geo import haversine
+
 LINE = T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
 # WGS84
 AXIS, FLAT = 6378137.0, 1 / 298.257223563
 MINOR = AXIS * (1 - FLAT)
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with the value computed once: lambdas would repeat an expression wherever they name it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
@@ -116,35 +124,42 @@ def crossing(a: Column, b: Column, c: Column, d: Column) -> Column:
 
 def clipped(a: Column, b: Column, ring: Column) -> Column:
     """The piece of segment ab inside a convex ring (counter-clockwise, first = last) as a struct a, b; null where nothing longer than a point is left."""
-    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
     whole = F.struct(F.lit(0.0).alias("t0"), F.lit(1.0).alias("t1"))
 
-    def edge(acc: Column, e: Column) -> Column:
-        ex, ey = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
-        num = ex * (a["y"] - e["a"]["y"]) - ey * (a["x"] - e["a"]["x"])
-        den = ex * dy - ey * dx
-        t = -num / F.nullif(den, F.lit(0.0))
-        t0 = F.when(den > 0, F.greatest(acc["t0"], t)).when((den == 0) & (num < 0), F.lit(2.0)).otherwise(acc["t0"])
-        t1 = F.when(den < 0, F.least(acc["t1"], t)).otherwise(acc["t1"])
-        return F.struct(t0.alias("t0"), t1.alias("t1"))
+    def piece(s: Column) -> Column:
+        a, b = s["a"], s["b"]
+        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+
+        def edge(acc: Column, e: Column) -> Column:
+            ex, ey = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
+            num = ex * (a["y"] - e["a"]["y"]) - ey * (a["x"] - e["a"]["x"])
+            den = ex * dy - ey * dx
+            t = -num / F.nullif(den, F.lit(0.0))
+            t0 = F.when(den > 0, F.greatest(acc["t0"], t)).when((den == 0) & (num < 0), F.lit(2.0)).otherwise(acc["t0"])
+            t1 = F.when(den < 0, F.least(acc["t1"], t)).otherwise(acc["t1"])
+            return F.struct(t0.alias("t0"), t1.alias("t1"))
 
-    t = F.aggregate(steps(ring), whole, edge)
-    return F.when(t["t0"] < t["t1"], F.struct(point(a["x"] + dx * t["t0"], a["y"] + dy * t["t0"]).alias("a"), point(a["x"] + dx * t["t1"], a["y"] + dy * t["t1"]).alias("b")))
+        at = lambda t: point(a["x"] + dx * t, a["y"] + dy * t)
+        return let(F.aggregate(steps(ring), whole, edge), lambda t: F.when(t["t0"] < t["t1"], F.struct(at(t["t0"]).alias("a"), at(t["t1"]).alias("b"))))
+
+    return let(F.struct(a.alias("a"), b.alias("b")), piece)
 
 
 def circle(center: Column, radius: Column, vertices: int = 32) -> Column:
     """A closed ring of vertices + 1 points, from the north clockwise."""
-    turn = lambda k: k * (2 * math.pi / vertices)
-    ring = F.transform(F.sequence(F.lit(0), F.lit(vertices - 1)), lambda k: point(center["x"] + radius * F.sin(turn(k)), center["y"] + radius * F.cos(turn(k))))
-    return F.concat(ring, F.slice(ring, 1, 1))
+    turns = [(math.sin(k * 2 * math.pi / vertices), math.cos(k * 2 * math.pi / vertices)) for k in (*range(vertices), 0)]
+    return let(F.struct(center.alias("c"), radius.cast("double").alias("r")), lambda v: F.array(*(point(v["c"]["x"] + v["r"] * s, v["c"]["y"] + v["r"] * c) for s, c in turns)))
+
+
+def as_circle(ring: Column, center: Column, radius: Column, tolerance: float = 0.35, vertices: int = 33) -> Column:
+    """Center, radius and error of a closed ring (longitude and latitude, first = last, so many vertices) whose vertices all lie at that radius in metres of
+    the given center, within a tolerance; null for other rings, which must stay as they are."""
 
+    def judged(v: Column) -> Column:
+        off = F.array_max(F.transform(v["ring"], lambda p: F.abs(haversine(p["x"], p["y"], v["c"]["x"], v["c"]["y"]) - v["r"])))
+        return let(off, lambda e: F.when((F.size(v["ring"]) == vertices) & (F.element_at(v["ring"], 1) == F.element_at(v["ring"], -1)) & (e <= tolerance), F.struct(v["c"].alias("center"), v["r"].alias("radius"), e.alias("error"))))
 
-def as_circle(ring: Column, radius: Column, tolerance: float = 0.35) -> Column:
-    """Center and radius of a closed ring whose vertices all lie at that radius, within a tolerance, of their mean; null for other rings."""
-    own = F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(1)))
-    mean = lambda k: F.aggregate(own, F.lit(0.0), lambda acc, p: acc + p[k]) / F.size(own)
-    center = point(mean("x"), mean("y"))
-    return F.when((F.size(ring) >= 4) & F.forall(own, lambda p: F.abs(between(p, center) - radius) <= tolerance), F.struct(center.alias("center"), radius.cast("double").alias("radius")))
+    return let(F.struct(ring.alias("ring"), center.alias("c"), radius.cast("double").alias("r")), judged)
 
 
 def valid_line(line: Column) -> Column:
@@ -177,65 +192,59 @@ def rounded(line: Column, digits: int = 6) -> Column:
     return F.transform(line, lambda p: F.struct(F.bround(p["x"], digits).alias("x"), F.bround(p["y"], digits).alias("y")))
 
 
-def geodesic(lon_a: Column, lat_a: Column, lon_b: Column, lat_b: Column, rounds: int = 12) -> Column:
-    """Metres between two places on the ellipsoid, by Vincenty's inverse series. Null where it does not settle, as it may for antipodes."""
-    u1, u2 = (F.atan(F.tan(F.radians(x)) * (1 - FLAT)) for x in (lat_a, lat_b))
-    big = F.radians(lon_b - lon_a)
-    s1, c1, s2, c2 = F.sin(u1), F.cos(u1), F.sin(u2), F.cos(u2)
-    names = ("lam", "was", "s", "c", "sigma", "c2a", "c2m")
-
-    def state(*values: Column) -> Column:
-        return F.struct(*(v.cast("double").alias(n) for n, v in zip(names, values, strict=True)))
-
-    def turn(acc: Column, _: Column) -> Column:
-        lam = acc["lam"]
-        s = F.sqrt(F.pow(c2 * F.sin(lam), F.lit(2.0)) + F.pow(c1 * s2 - s1 * c2 * F.cos(lam), F.lit(2.0)))
-        c = s1 * s2 + c1 * c2 * F.cos(lam)
-        sigma = F.atan2(s, c)
-        sa = F.when(s == 0, 0.0).otherwise(c1 * c2 * F.sin(lam) / F.nullif(s, F.lit(0.0)))
-        c2a = 1 - sa * sa
-        c2m = F.when(c2a <= 1e-15, 0.0).otherwise(c - 2 * s1 * s2 / F.nullif(c2a, F.lit(0.0)))
-        k = FLAT / 16 * c2a * (4 + FLAT * (4 - 3 * c2a))
-        new = big + (1 - k) * FLAT * sa * (sigma + k * s * (c2m + k * c * (2 * c2m * c2m - 1)))
-        return state(new, lam, s, c, sigma, c2a, c2m)
-
-    def metres(acc: Column) -> Column:
-        q = acc["c2a"] * ((AXIS**2 - MINOR**2) / MINOR**2)
+@F.pandas_udf(T.DoubleType())
+def geodesic(lon_a: pd.Series, lat_a: pd.Series, lon_b: pd.Series, lat_b: pd.Series) -> pd.Series:
+    """Metres between two places on the ellipsoid, by Vincenty's inverse series. Null where a place is null or it does not settle, as it may for antipodes."""
+    u1, u2 = (np.arctan(np.tan(np.radians(x.to_numpy(float))) * (1 - FLAT)) for x in (lat_a, lat_b))
+    big = np.radians(lon_b.to_numpy(float) - lon_a.to_numpy(float))
+    s1, c1, s2, c2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
+    lam, was = big, big + 1
+    with np.errstate(all="ignore"):
+        for _ in range(30):
+            s = np.hypot(c2 * np.sin(lam), c1 * s2 - s1 * c2 * np.cos(lam))
+            c = s1 * s2 + c1 * c2 * np.cos(lam)
+            sigma = np.arctan2(s, c)
+            sa = np.where(s == 0, 0.0, c1 * c2 * np.sin(lam) / s)
+            c2a = 1 - sa * sa
+            m = np.where(c2a <= 1e-15, 0.0, c - 2 * s1 * s2 / c2a)
+            k = FLAT / 16 * c2a * (4 + FLAT * (4 - 3 * c2a))
+            lam, was = big + (1 - k) * FLAT * sa * (sigma + k * s * (m + k * c * (2 * m * m - 1))), lam
+            if not (np.abs(lam - was) > 1e-12).any():
+                break
+        q = c2a * ((AXIS**2 - MINOR**2) / MINOR**2)
         big_a = 1 + q / 16384 * (4096 + q * (-768 + q * (320 - 175 * q)))
         big_b = q / 1024 * (256 + q * (-128 + q * (74 - 47 * q)))
-        s, c, m = acc["s"], acc["c"], acc["c2m"]
         d = big_b * s * (m + big_b / 4 * (c * (2 * m * m - 1) - big_b / 6 * m * (4 * s * s - 3) * (4 * m * m - 3)))
-        return F.when(F.abs(acc["lam"] - acc["was"]) < 1e-9, MINOR * big_a * (acc["sigma"] - d))
+        out = np.where(np.abs(lam - was) < 1e-9, MINOR * big_a * (sigma - d), np.nan)
+    return pd.Series(out).where(~np.isnan(out), None)
 
-    zero = F.lit(0.0)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), state(big, big, zero, zero, zero, zero, zero), turn, metres)
 
-
-def tile_pixels(lat: Column, metres: float) -> Column:
-    """A radius in pixels of the world's single tile of 256 pixels at a latitude."""
-    return F.lit(metres * 256) / (2 * math.pi * AXIS * F.cos(F.radians(lat)))
+def tile_pixels(lat: Column, metres: float = 50.0) -> Column:
+    """A radius in pixels of the world's single tile of 512 pixels at a latitude; null beyond 85 degrees."""
+    return F.when(F.abs(lat) < 85, F.lit(metres * 512) / (F.lit(2 * math.pi * AXIS) * F.cos(F.radians(lat))))
 
 
 @F.pandas_udf(LINE)
 def simplified(lines: pd.Series, tolerance: pd.Series) -> pd.Series:
     """Lines without the points that lie within a tolerance of the line through their neighbours (Douglas and Peucker)."""
 
-    def off(p: dict, a: dict, b: dict) -> float:
-        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
-        d = dx * dx + dy * dy
-        t = min(max(((p["x"] - a["x"]) * dx + (p["y"] - a["y"]) * dy) / d, 0.0), 1.0) if d else 0.0
-        return math.hypot(p["x"] - a["x"] - dx * t, p["y"] - a["y"] - dy * t)
-
     def thin(line, limit: float):
         if line is None or len(line) < 3:
             return line
+        xy = np.array([(p["x"], p["y"]) for p in line])
         keep, todo = {0, len(line) - 1}, [(0, len(line) - 1)]
         while todo:
             i, j = todo.pop()
-            far, at = max(((off(line[k], line[i], line[j]), -k) for k in range(i + 1, j)), default=(0.0, 0))
-            if far > limit:
-                keep.add(-at)
-                todo += [(i, -at), (-at, j)]
+            if j - i < 2:
+                continue
+            d, rest = xy[j] - xy[i], xy[i + 1 : j] - xy[i]
+            size = d @ d
+            t = np.clip(rest @ d / size, 0.0, 1.0) if size else np.zeros(len(rest))
+            off = np.hypot(*(rest - t[:, None] * d).T)
+            k = int(off.argmax())  # the first of equals
+            if off[k] > limit:
+                keep.add(i + 1 + k)
+                todo += [(i, i + 1 + k), (i + 1 + k, j)]
         return [line[k] for k in sorted(keep)]
 
     return pd.Series([thin(a, b) for a, b in zip(lines, tolerance, strict=True)])

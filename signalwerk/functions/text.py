@@ -41,14 +41,48 @@ def nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x).casefold())
 
 
-def street_name(text: Column) -> Column:
-    """A German name for comparison: ss for ß, one kind of dash, no space around it, strasse for str., no genitive s at Bahnhof."""
-    x = F.translate(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), "‐‑‒–—−", "------")
-    for pattern, to in ((r"\bs-\s*(?:und\s+|/\s*)u-bahnhof(?:s)?\b", "s+u-bahnhof"), (r"\b([us](?:\+u)?-bahnhof|bahnhof)s\b", "$1"), (r"\s*-\s*", "-"), (r"(?U)(?<=\w)str\.(?=\s|$|[,;/])", "strasse"), (r"\bstr\.(?=\s|$|[,;/])", "strasse")):
+@F.pandas_udf(StringType())
+def nfkc_only(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+
+
+def unusual(text: Column) -> Column:
+    """Whether a text has letters outside ASCII and the German alphabet; only such texts need Python."""
+    return text.rlike("[^\\x00-\\x7FäöüÄÖÜß‐‑‒–—−]")
+
+
+def compatible(text: Column) -> Column:
+    """A text with compatibility forms (ligatures, wide letters) as plain ones."""
+    return F.when(unusual(text), nfkc_only(text)).otherwise(text)
+
+
+def lowered(text: Column) -> Column:
+    return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
+
+
+# What a name's spellings become, in this order.
+SPELLINGS = (
+    (r"\bs-\s*(?:und\s+|/\s*)u-bahnhof(?:s)?\b", "s+u-bahnhof"),
+    (r"\b([us](?:\+u)?-bahnhof|bahnhof)s\b", "$1"),
+    (r"\s*-\s*", "-"),
+    (r"(?U)(?<=\w)str\.(?=\s|$|[,;/])", "strasse"),
+    (r"\bstr\.(?=\s|$|[,;/])", "strasse"),
+)
+
+
+def spelled(folded: Column) -> Column:
+    """One kind of dash, no space around it, strasse for str., no genitive s at Bahnhof."""
+    x = F.translate(folded, "‐‑‒–—−", "------")
+    for pattern, to in SPELLINGS:
         x = F.regexp_replace(x, pattern, to)
     return collapsed(x)
 
 
+def street_name(text: Column) -> Column:
+    """A German name for comparison: compatibility forms and case folded (ß is ss), spelled() in one way."""
+    return spelled(F.when(unusual(text), nfkc(text)).otherwise(lowered(text)))
+
+
 def sentences(text: Column) -> Column:
     """Sentences of a text; full stops in dates and after a few short forms end none."""
     guarded = F.regexp_replace(text, r"(\b(?:St|Dr|Nr|bzw|ca|Str)|\d)\.(?=\s)", "$1\u0001")

@@ -59,9 +59,9 @@ def scene_parts(events: DataFrame) -> DataFrame:
     return rows.select("id", "scene_index", F.concat_ws("/", F.col("id").cast("string"), F.col("scene_index").cast("string")).alias("scene_id"), F.col("s.label").alias("label"), kind.alias("kind"), (F.col("s.primary") & ~reference).alias("counted"))
 
 
-def refiltered(cells: DataFrame, ids: DataFrame) -> DataFrame:
-    """Counts of cells (cell_id, event_ids) under a filter (id): an id counts in its first cell only."""
-    each = cells.select("cell_id", F.explode("event_ids").alias("id")).join(ids.select("id").distinct(), "id", "left_semi")
+def refiltered(members: DataFrame, ids: DataFrame) -> DataFrame:
+    """Counts of cells, from members (cell_id, id), under a filter (id): an id counts in its first cell only."""
+    each = members.join(ids.select("id").distinct(), "id", "left_semi")
     return each.groupBy("id").agg(F.min("cell_id").alias("cell_id")).groupBy("cell_id").agg(F.count("*").alias("n"))
 
 
@@ -126,12 +126,6 @@ def matched(audit: DataFrame, official: DataFrame) -> DataFrame:
     return both.select("id", F.coalesce("_u", "_a").alias("report_id"), F.when(F.col("_u").isNotNull(), "url").when(F.col("_a").isNotNull(), "article").otherwise("unmatched").alias("basis"))
 
 
-def collapsed_nodes(nodes: DataFrame, areas: DataFrame) -> DataFrame:
-    """Nodes (id, name, kind, x, y) in a box (area_id, name, kind, x_min, y_min, x_max, y_max) of the same name and kind: id, area_id (the smallest)."""
-    both = nodes.join(areas, ["name", "kind"]).filter("x between x_min and x_max and y between y_min and y_max")
-    return both.groupBy("id").agg(F.min("area_id").alias("area_id"))
-
-
 def page(rows: DataFrame, *order: Column, offset: int, size: int) -> DataFrame:
     """One page of a listing for people, 1 to 200 rows."""
     return rows.orderBy(*order).offset(offset).limit(min(max(size, 1), 200))

@@ -10,23 +10,26 @@ from ..functions import geo
 SIZES = (1100, 275)
 
 
-def hexagons(points: DataFrame, sizes: tuple[int, ...] = SIZES, by: tuple[str, ...] = ("month",)) -> DataFrame:
-    """Counts by cell: points (id, x, y, category, precision, *by) to by, cell_id, n, event_ids, categories, n_approximate.
-
-    Points without coordinates count nowhere, nor do rows without a month. A first aggregation by category combines before the shuffle; the
-    ids of a cell are its result and are sorted.
-    """
+def celled(points: DataFrame, sizes: tuple[int, ...] = SIZES, by: tuple[str, ...] = ("month",)) -> DataFrame:
+    """points (x, y, *by) with cell_id, a row per size. Points without coordinates lie in no cell, nor do rows without a month."""
     placed = points.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
     for c in by:
         placed = placed.filter(F.col(c).isNotNull())
     placed = placed.withColumn("size", F.explode(F.array(*(F.lit(float(s)) for s in sizes))))
-    placed = placed.withColumn("cell_id", geo.hex_cell(F.col("x"), F.col("y"), F.col("size")))
-    each = placed.groupBy(*by, "cell_id", "category").agg(F.count("*").alias("n"), F.collect_list("id").alias("ids"), F.sum(F.when(F.col("precision") != "point", 1).otherwise(0)).alias("approximate"))
+    return placed.withColumn("cell_id", geo.hex_cell(F.col("x"), F.col("y"), F.col("size")))
+
+
+def hexagons(points: DataFrame, sizes: tuple[int, ...] = SIZES, by: tuple[str, ...] = ("month",), sums: tuple[str, ...] = ()) -> DataFrame:
+    """Counts by cell: points (x, y, category, precision, *by) to by, cell_id, n, categories, n_approximate, and sums of further columns.
+
+    A first aggregation by category combines before the shuffle. Which ids lie in a cell is told by celled(), as rows.
+    """
+    each = celled(points, sizes, by).groupBy(*by, "cell_id", "category").agg(F.count("*").alias("n"), F.sum(F.when(F.col("precision") != "point", 1).otherwise(0)).alias("approximate"), *(F.sum(c).alias(c) for c in sums))
     return each.groupBy(*by, "cell_id").agg(
         F.sum("n").alias("n"),
-        F.array_sort(F.flatten(F.collect_list("ids"))).alias("event_ids"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "n")))).alias("categories"),
         F.sum("approximate").alias("n_approximate"),
+        *(F.sum(c).alias(c) for c in sums),
     )
 
 

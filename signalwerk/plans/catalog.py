@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, geo, text
+from ..functions import dates, geo, rules, text
 from ..operators import places, reviews, versions
 from ..sources import listing
 from ..streaming import accept
@@ -41,7 +41,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     e = e.select(F.col("event_id").alias("id"), "user_id", "ts", F.col("event_type").alias("category"), "value", F.expr(f"cast({LON} as double)").alias("lon"), F.expr(f"cast({LAT} as double)").alias("lat"), dates.month(F.col("ts")).alias("month"))
-    return e.withColumn("x", F.expr(EAST)).withColumn("y", F.expr(NORTH)).withColumn("precision", F.when(F.col("value") > 10, "street").otherwise("point"))
+    # a generator computes the projection once a row; a projection would repeat it wherever x and y are used
+    e = e.select("*", F.inline(F.array(F.struct(F.expr(EAST).alias("x"), F.expr(NORTH).alias("y")))))
+    return e.withColumn("precision", F.when(F.col("value") > 10, "street").otherwise("point"))
 
 
 @query(f"""WITH {POINTS_SQL},
@@ -52,8 +54,8 @@ best AS (SELECT id, month, category, value, size, min(((x - size * 1.5 * i) * (x
 SELECT month, concat(size::INT, ':', b[2]::BIGINT, ':', b[3]::BIGINT) AS cell_id, count(*) AS n, sum(CASE WHEN value > 10 THEN 1 ELSE 0 END)::BIGINT AS n_approximate, sum(id)::BIGINT AS id_sum, count(DISTINCT category) AS n_categories
 FROM best GROUP BY month, cell_id""".replace("b[2]", "struct_extract(b, 2)").replace("b[3]", "struct_extract(b, 3)"))
 def hex_month(spark, sf_dir):
-    cells = places.hexagons(announcements(spark, sf_dir))
-    return cells.select("month", "cell_id", "n", "n_approximate", F.aggregate("event_ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("id_sum"), F.size("categories").cast("long").alias("n_categories"))
+    cells = places.hexagons(announcements(spark, sf_dir).withColumn("id_sum", F.col("id")), sums=("id_sum",))
+    return cells.select("month", "cell_id", "n", "n_approximate", "id_sum", F.size("categories").cast("long").alias("n_categories"))
 
 
 @query(f"WITH {POINTS_SQL} SELECT concat(floor(lon / 0.04)::BIGINT, '_', floor(lat / 0.025)::BIGINT) AS tile_key, count(*) AS n, min(id) AS first_id FROM points GROUP BY 1")
@@ -68,11 +70,11 @@ def viewport(spark, sf_dir):
     return places.viewport(a, ["335_2100", "334_2100", "335_2101"]).select("id")
 
 
-@query(f"""WITH {POINTS_SQL}, stops AS (SELECT id AS place_id, x AS px, y AS py FROM points WHERE category = 'signup' AND value > 20)
+@query(f"""WITH {POINTS_SQL}, stops AS (SELECT id AS place_id, x AS px, y AS py FROM points WHERE category = 'signup')
 SELECT place_id, count(*) AS n, min(id) AS first_id FROM points JOIN stops ON sqrt((x - px) * (x - px) + (y - py) * (y - py)) <= 250 GROUP BY place_id""")
 def near_places(spark, sf_dir):
     a = announcements(spark, sf_dir)
-    stops = a.filter("category = 'signup' and value > 20").select(F.col("id").alias("place_id"), F.col("x").alias("px"), F.col("y").alias("py"))
+    stops = a.filter("category = 'signup'").select(F.col("id").alias("place_id"), F.col("x").alias("px"), F.col("y").alias("py"))
     return places.within(a.select("id", "x", "y"), stops, 250.0).groupBy("place_id").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
 
 
@@ -103,11 +105,11 @@ def fetch_queue(spark, sf_dir):
     return versions.due(rows, 915148800.0, 1500).select("id")
 
 
-@query("SELECT coalesce(a.user_id, b.user_id) AS id, coalesce(b.t, a.t) AS content, b.user_id IS NOT NULL AS active, CASE WHEN a.user_id IS NULL THEN 'added' WHEN b.user_id IS NULL THEN 'removed' WHEN a.t = b.t THEN 'same' ELSE 'changed' END AS status FROM (SELECT user_id, max(event_type) AS t FROM events WHERE day(ts) <= 2 GROUP BY 1) a FULL JOIN (SELECT user_id, max(event_type) AS t FROM events WHERE day(ts) > 28 GROUP BY 1) b ON a.user_id = b.user_id")
+@query("SELECT coalesce(a.user_id, b.user_id) AS id, coalesce(b.t, a.t) AS content, b.user_id IS NOT NULL AS active, CASE WHEN a.user_id IS NULL THEN 'added' WHEN b.user_id IS NULL THEN 'removed' WHEN a.t = b.t THEN 'same' ELSE 'changed' END AS status FROM (SELECT user_id, max(event_type) AS t FROM events WHERE day(ts) <= 15 GROUP BY 1) a FULL JOIN (SELECT user_id, max(event_type) AS t FROM events WHERE day(ts) > 15 GROUP BY 1) b ON a.user_id = b.user_id")
 def snapshot_diff(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     at = lambda c: e.filter(c).groupBy(F.col("user_id").alias("id")).agg(F.max("event_type").alias("content"))
-    return versions.snapshot_merged(at(F.dayofmonth("ts") <= 2), at(F.dayofmonth("ts") > 28), "id", "content")
+    return versions.snapshot_merged(at(F.dayofmonth("ts") <= 15), at(F.dayofmonth("ts") > 15), "id", "content")
 
 
 @query("SELECT a.event_id, b.event_id AS earlier FROM events a JOIN events b ON b.event_id = CAST(json_extract_string(a.props, '$.k') AS BIGINT) WHERE b.ts < a.ts AND a.event_id <> b.event_id")
@@ -151,10 +153,11 @@ def exact_copies(spark, sf_dir):
     return d.groupBy("sha").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1")
 
 
-@query("SELECT lang, label, count(*) AS n FROM (SELECT lang, CASE WHEN regexp_matches(text, '(?i)license|lizenz') THEN 'license' WHEN regexp_matches(text, '[A-Za-z0-9.]+@[a-z]+') THEN 'contact' WHEN length(text) < 100 THEN 'short' ELSE 'other' END AS label FROM documents) GROUP BY 1, 2")
+@query("SELECT lang, label, count(*) AS n FROM (SELECT lang, CASE WHEN regexp_matches(text, '(?i)license|lizenz') THEN 'license' WHEN regexp_matches(text, '(?i)[A-Za-z0-9.]+@[a-z]+') THEN 'contact' WHEN length(text) < 100 THEN 'short' ELSE 'other' END AS label FROM documents) GROUP BY 1, 2")
 def ordered_rules(spark, sf_dir):
     t = F.col("text")
-    label = F.when(t.rlike("(?i)license|lizenz"), "license").when(t.rlike("[A-Za-z0-9.]+@[a-z]+"), "contact").when(F.length(t) < 100, "short").otherwise("other")
+    said = (rules.Rule("license", (("text", "license|lizenz"),)), rules.Rule("contact", (("text", "[A-Za-z0-9.]+@[a-z]+"),)), rules.Rule("short", (("size", "^s$"),)))
+    label = rules.first_match(said, {"text": t, "size": F.when(F.length(t) < 100, "s").otherwise("")}, "other")
     return table(spark, sf_dir, "documents").groupBy("lang", label.alias("label")).agg(F.count("*").alias("n"))
 
 
@@ -241,9 +244,10 @@ def nearest_parts(spark, sf_dir):
     return places.nearest_parts_selected(pairs, table(spark, sf_dir, "part").filter("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("part_id")))
 
 
-@query()
+@query("""WITH h AS (SELECT sha256(concat_ws(chr(31), o_orderkey, o_custkey, o_orderstatus)) AS h FROM orders)
+SELECT count(*) AS n, CAST(sum(CAST('0x' || h[1:8] AS BIGINT)) AS BIGINT) AS part_0, CAST(sum(CAST('0x' || h[9:16] AS BIGINT)) AS BIGINT) AS part_1, CAST(sum(CAST('0x' || h[17:24] AS BIGINT)) AS BIGINT) AS part_2, CAST(sum(CAST('0x' || h[25:32] AS BIGINT)) AS BIGINT) AS part_3 FROM h""")
 def table_digest(spark, sf_dir):
-    return reviews.digest(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey", "o_orderstatus")
+    return reviews.digest(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey", "o_orderstatus").drop("digest")
 
 
 @query("SELECT user_id AS id, revision, change FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS revision, CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1 THEN 'new' ELSE 'revised' END AS change FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) WHERE p IS DISTINCT FROM event_type)")
@@ -263,5 +267,4 @@ def published_months(spark, sf_dir):
 
 @query("SELECT doc_id, list_sort(list_filter([CASE WHEN regexp_matches(text, '(?i)license') THEN 'license' END, CASE WHEN regexp_matches(text, '[|]') THEN 'bar' END, CASE WHEN regexp_matches(text, '@') THEN 'mail' END], lambda x: x IS NOT NULL)) AS kinds FROM documents")
 def mention_kinds(spark, sf_dir):
-    t = F.col("text")
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_sort(F.array_compact(F.array(F.when(t.rlike("(?i)license"), "license"), F.when(t.rlike("[|]"), "bar"), F.when(t.rlike("@"), "mail")))).alias("kinds"))
+    return table(spark, sf_dir, "documents").select("doc_id", rules.all_matches({"license": "license", "bar": "[|]", "mail": "@"}, F.col("text")).alias("kinds"))
