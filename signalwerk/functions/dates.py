@@ -35,3 +35,9 @@ def local_is_clear(local: Column, zone: str) -> Column:
     hour = F.expr("interval 1 hour")
     twice = (F.from_utc_timestamp(utc - hour, zone) == local) | (F.from_utc_timestamp(utc + hour, zone) == local)
     return (F.from_utc_timestamp(utc, zone) == local) & ~twice
+
+
+def publication_month(stated: Column, published: Column) -> Column:
+    """The month of publication (yyyy-MM): the stated one if it is a month, else that of a time as it is written, without zones; null if neither is."""
+    month, day = r"^\d{4}-(0[1-9]|1[0-2])$", r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])(T|\s|$)"
+    return F.when(stated.rlike(month), stated).when(published.rlike(day), F.substring(published, 1, 7))

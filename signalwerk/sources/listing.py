@@ -34,6 +34,18 @@ def numbered_items(text: Column) -> Column:
     return F.transform(parts, lambda p: F.struct(F.regexp_extract(p, r"^(\d+)\.", 1).cast("int").alias("number"), F.trim(F.regexp_extract(p, r"^\d+\.\s([^\n]*)", 1)).alias("title"), F.regexp_replace(F.regexp_extract(p, r"(?s)^[^\n]*\n(.*)$", 1), r"^\s+|\s+$", "").alias("body")))
 
 
+def bulletin(contents: Column, body: Column) -> Column:
+    """struct(items, problems): the items of a bulletin, whose titles must be those of its contents in the same order and whose numbers are different.
+
+    With contents that differ there are no items."""
+    listed, found = numbered_items(contents), numbered_items(body)
+    heads = lambda xs: F.transform(xs, lambda x: F.struct(x["number"].alias("number"), x["title"].alias("title")))
+    same = heads(listed) == heads(found)
+    numbers = F.transform(found, lambda x: x["number"])
+    problems = F.array_compact(F.array(F.when(~same, "contents and items differ"), F.when(F.size(F.array_distinct(numbers)) < F.size(numbers), "a number repeats")))
+    return F.struct(F.when(same, found).otherwise(F.slice(found, 1, 0)).alias("items"), problems.alias("problems"))
+
+
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Records of line-wise JSON with a fixed schema; a broken line stops the read, blank lines are skipped."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

@@ -39,3 +39,17 @@ def drained(out: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run an append stream over what is there now into a table, and read it."""
     out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return out.sparkSession.read.schema(out.schema).parquet(path)
+
+
+def closed(out: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Run windowed counts over what is there now and read them: each batch replaces the counts of the windows that it touched.
+
+    Windows that no later row closes come out as they stand, as each batch's changes are written with its number and the latest count of a
+    window is read."""
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(path)
+
+    out.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    keys = [c for c in out.columns if c != "n"]
+    return out.sparkSession.read.parquet(path).groupBy(*keys).agg(F.max_by("n", "batch").alias("n"))
