@@ -11,7 +11,9 @@ from .conftest import SF
 
 def shown(v):
     if hasattr(v, "tolist"):
-        return repr(list(v))
+        v = v.tolist()
+    if isinstance(v, list):
+        return repr(v)
     if isinstance(v, float):
         return "nan" if math.isnan(v) else repr(v)
     return str(v)
