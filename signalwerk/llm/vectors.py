@@ -148,10 +148,18 @@ def compared(rows: DataFrame, shared, threshold: float) -> DataFrame:
         if not len(i):
             return None
         count = np.ones(len(i), bool)  # whether no smaller list that both have finds the pair
-        for p in range(la.shape[1]):
-            other = np.flatnonzero(count & (la[i, p] < lst) & (la[i, p, None] == lb[k]).any(1))
-            if len(other):
-                count[other] = index.pair_distances(la[i[other], p], xa[i[other]], xb[k[other]]) > limit
+        for other in np.intersect1d(la[i], lb[k]):
+            if other >= lst:
+                break
+            a, b = np.flatnonzero((la == other).any(1)), np.flatnonzero((lb == other).any(1))
+            a, b = np.intersect1d(a, i), np.intersect1d(b, k)
+            at, to = np.full(len(la), -1), np.full(len(lb), -1)
+            at[a], to[b] = np.arange(len(a)), np.arange(len(b))
+            both = np.flatnonzero((at[i] >= 0) & (to[k] >= 0))
+            if len(both):
+                x, y = xa[a] - index.centers(np.array([other])), xb[b] - index.centers(np.array([other]))
+                seen = (index.distances(x, index.codes(y)) <= limit) | (index.distances(y, index.codes(x)).T <= limit)
+                count[both] &= ~seen[at[i[both]], to[k[both]]]
         nodes = np.unique(np.concatenate([ia[i], ib[k]]))
         a, b = np.searchsorted(nodes, ia[i]), np.searchsorted(nodes, ib[k])
         degree = np.bincount(a[count], mb[k][count], len(nodes)) + np.bincount(b[count], ma[i][count], len(nodes))
