@@ -98,7 +98,7 @@ def decided(spark, sf_dir):
 
 
 @query(f"""WITH {DECIDED_SQL}, n AS (SELECT city, count(*) AS records FROM records GROUP BY 1), tags AS (SELECT unnest(['community_safety', 'hate_discrimination', 'political_motivation', 'extremism_terrorism', 'domestic_partner_violence', 'gender_based_violence', 'organized_crime', 'trafficking_exploitation', 'anti_lgbt', 'racism', 'xenophobia', 'religious_bias']) AS tag),
-c AS (SELECT n.city, tags.tag, records, count_if(verdict = 'supported') AS supported, count_if(verdict = 'no_support') AS no_support, count_if(verdict = 'uncertain') AS uncertain, count_if(basis = 'police_category_stated') AS stated, count_if(basis = 'narrative_lead') AS lead FROM n CROSS JOIN tags LEFT JOIN decided d ON d.city = n.city AND d.tag = tags.tag GROUP BY ALL),
+c AS (SELECT n.city, tags.tag, records, count(*) FILTER (verdict = 'supported') AS supported, count(*) FILTER (verdict = 'no_support') AS no_support, count(*) FILTER (verdict = 'uncertain') AS uncertain, count(*) FILTER (basis = 'police_category_stated') AS stated, count(*) FILTER (basis = 'narrative_lead') AS lead FROM n CROSS JOIN tags LEFT JOIN decided d ON d.city = n.city AND d.tag = tags.tag GROUP BY ALL),
 a AS (SELECT * FROM c UNION ALL SELECT 'all', tag, sum(records), sum(supported), sum(no_support), sum(uncertain), sum(stated), sum(lead) FROM c GROUP BY tag)
 SELECT city, tag, records::BIGINT AS records, supported::BIGINT AS supported, no_support::BIGINT AS no_support, uncertain::BIGINT AS uncertain, (records - supported - no_support - uncertain)::BIGINT AS not_evaluated, stated::BIGINT AS police_category_stated, lead::BIGINT AS narrative_lead, 100.0::DOUBLE * supported / records AS index_pct, (supported + no_support + uncertain)::DOUBLE / records AS evaluated FROM a""")
 def tag_statistics(spark, sf_dir):
