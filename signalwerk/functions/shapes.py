@@ -99,10 +99,13 @@ def to_segment(p: Column, a: Column, b: Column) -> Column:
 
 def part(line: Column, start: Column, end: Column) -> Column:
     """The piece of a line from one distance along it to another, in the line's direction."""
-    low, high = F.least(start, end), F.greatest(start, end)
-    sums = F.aggregate(steps(line), F.array(F.lit(0.0)), lambda acc, s: F.concat(acc, F.array(F.element_at(acc, -1) + between(s["a"], s["b"]))))
-    inner = F.filter(F.zip_with(line, sums, lambda p, d: F.struct(p.alias("p"), d.alias("d"))), lambda e: (e["d"] > low) & (e["d"] < high))
-    return F.concat(F.array(at_distance(line, low)), F.transform(inner, lambda e: e["p"]), F.array(at_distance(line, high)))
+
+    def of(v: Column) -> Column:
+        sums = F.aggregate(steps(v["line"]), F.array(F.lit(0.0)), lambda acc, s: F.concat(acc, F.array(F.element_at(acc, -1) + between(s["a"], s["b"]))))
+        inner = F.filter(F.zip_with(v["line"], sums, lambda p, d: F.struct(p.alias("p"), d.alias("d"))), lambda e: (e["d"] > v["low"]) & (e["d"] < v["high"]))
+        return F.concat(F.array(at_distance(v["line"], v["low"])), F.transform(inner, lambda e: e["p"]), F.array(at_distance(v["line"], v["high"])))
+
+    return let(F.struct(line.alias("line"), F.least(start, end).alias("low"), F.greatest(start, end).alias("high")), of)
 
 
 def cut(line: Column, a: Column, b: Column) -> Column:
@@ -147,8 +150,8 @@ def clipped(a: Column, b: Column, ring: Column) -> Column:
 
 def circle(center: Column, radius: Column, vertices: int = 32) -> Column:
     """A closed ring of vertices + 1 points, from the north clockwise."""
-    turns = [(math.sin(k * 2 * math.pi / vertices), math.cos(k * 2 * math.pi / vertices)) for k in (*range(vertices), 0)]
-    return let(F.struct(center.alias("c"), radius.cast("double").alias("r")), lambda v: F.array(*(point(v["c"]["x"] + v["r"] * s, v["c"]["y"] + v["r"] * c) for s, c in turns)))
+    turn = lambda k: F.pmod(k, F.lit(vertices)) * (2 * math.pi / vertices)
+    return let(F.struct(center.alias("c"), radius.cast("double").alias("r")), lambda v: F.transform(F.sequence(F.lit(0), F.lit(vertices)), lambda k: point(v["c"]["x"] + v["r"] * F.sin(turn(k)), v["c"]["y"] + v["r"] * F.cos(turn(k)))))
 
 
 def as_circle(ring: Column, center: Column, radius: Column, tolerance: float = 0.35, vertices: int = 33) -> Column:
@@ -219,6 +222,32 @@ def geodesic(lon_a: pd.Series, lat_a: pd.Series, lon_b: pd.Series, lat_b: pd.Ser
     return pd.Series(out).where(~np.isnan(out), None)
 
 
+@F.pandas_udf(LINE)
+def geodesic_circle(lon: pd.Series, lat: pd.Series, metres: pd.Series) -> pd.Series:
+    """A closed ring of 720 places at a geodesic distance around each place, from the north clockwise, by Vincenty's direct series."""
+    turn = np.radians(np.arange(720) / 2)
+    u1 = np.arctan(np.tan(np.radians(lat.to_numpy(float))) * (1 - FLAT))[:, None]
+    sin_turn, cos_turn = np.sin(turn)[None], np.cos(turn)[None]
+    s1 = np.arctan2(np.tan(u1), cos_turn)
+    sa = np.cos(u1) * sin_turn
+    c2a = 1 - sa * sa
+    q = c2a * ((AXIS**2 - MINOR**2) / MINOR**2)
+    big_a = 1 + q / 16384 * (4096 + q * (-768 + q * (320 - 175 * q)))
+    big_b = q / 1024 * (256 + q * (-128 + q * (74 - 47 * q)))
+    first = metres.to_numpy(float)[:, None] / (MINOR * big_a)
+    sigma = first
+    for _ in range(20):
+        m, s, c = np.cos(2 * s1 + sigma), np.sin(sigma), np.cos(sigma)
+        sigma = first + big_b * s * (m + big_b / 4 * (c * (2 * m * m - 1) - big_b / 6 * m * (4 * s * s - 3) * (4 * m * m - 3)))
+    m, s, c = np.cos(2 * s1 + sigma), np.sin(sigma), np.cos(sigma)
+    y = np.arctan2(np.sin(u1) * c + np.cos(u1) * s * cos_turn, (1 - FLAT) * np.hypot(sa, np.sin(u1) * s - np.cos(u1) * c * cos_turn))
+    lam = np.arctan2(s * sin_turn, np.cos(u1) * c - np.sin(u1) * s * cos_turn)
+    k = FLAT / 16 * c2a * (4 + FLAT * (4 - 3 * c2a))
+    x = lam - (1 - k) * FLAT * sa * (sigma + k * s * (m + k * c * (2 * m * m - 1)))
+    xs, ys = lon.to_numpy(float)[:, None] + np.degrees(x), np.degrees(y)
+    return pd.Series([[{"x": a, "y": b} for a, b in zip([*p, p[0]], [*q, q[0]], strict=True)] for p, q in zip(xs.tolist(), ys.tolist(), strict=True)])
+
+
 def tile_pixels(lat: Column, metres: float = 50.0) -> Column:
     """A radius in pixels of the world's single tile of 512 pixels at a latitude; null beyond 85 degrees."""
     return F.when(F.abs(lat) < 85, F.lit(metres * 512) / (F.lit(2 * math.pi * AXIS) * F.cos(F.radians(lat))))

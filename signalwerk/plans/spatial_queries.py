@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geo, shapes
-from ..operators import places, roads, spatial
+from ..operators import geometry_decisions, places, roads, spatial
 from ..plans import publish
 from ..scratch import folder
 from .catalog import POINTS_SQL, announcements, query, table
@@ -121,3 +121,41 @@ def road_overview(spark, sf_dir):
     middle = shapes.point((F.col("a.x") + F.col("b.x")) / 2, (F.col("a.y") + F.col("b.y")) / 2)
     lines = roads.overview(s.select("class", F.array("a", middle, "b").alias("line")), 5.0)
     return lines.groupBy("class").agg(F.count("*").alias("n"), F.round(F.sum(shapes.length(F.col("line")))).cast("long").alias("metres"))
+
+
+METHODS_SQL = "[" + ", ".join(f"'{m}'" for m in (*geometry_decisions.METHODS, "guessed")) + "]"
+FAMILY_SQL = "CASE " + " ".join(f"WHEN method IN ({', '.join(repr(m) for m in methods)}) THEN '{name}'" for name, methods in geometry_decisions.FAMILIES.items()) + " END"
+
+
+@query(f"""WITH d AS (SELECT o_orderkey AS id, ({METHODS_SQL})[o_orderkey % 37 + 1] AS method FROM orders), f AS (SELECT *, {FAMILY_SQL} AS family FROM d),
+o AS (SELECT f.*, CASE WHEN family IN ('point', 'points', 'circle') THEN 0 WHEN family = 'polygons' THEN 2 WHEN family = 'none' THEN -1 ELSE 1 END AS dim, CASE WHEN family IN ('points', 'polygons', 'lines') THEN 2 WHEN family = 'none' THEN 0 WHEN family IN ('clip', 'crossing') THEN 2 ELSE 1 END AS n FROM f)
+SELECT id, method, CASE WHEN family IS NULL THEN 'unknown method' WHEN id % 5 = 0 AND family <> 'none' THEN 'missing object' WHEN id % 7 = 0 AND family <> 'none' THEN 'wrong dimension' WHEN id % 11 = 0 AND family IN ('point', 'segment', 'crossing', 'clip', 'circle') THEN 'wrong number of objects' END AS problem,
+method LIKE '%\\_reference%' ESCAPE '\\' AS reference,
+CASE WHEN family IS NULL OR family = 'none' OR (id % 5 = 0) OR (id % 7 = 0) OR (id % 11 = 0 AND family IN ('point', 'segment', 'crossing', 'clip', 'circle')) THEN -1 WHEN family IN ('points', 'polygons', 'lines') THEN 2 WHEN family = 'segment' THEN 1 ELSE 1 END AS parts,
+CASE WHEN family IS NULL OR family = 'none' OR (id % 5 = 0) OR (id % 7 = 0) OR (id % 11 = 0 AND family IN ('point', 'segment', 'crossing', 'clip', 'circle')) THEN -1 WHEN family = 'point' THEN id % 100 WHEN family = 'points' THEN 2 * (id % 100) + 1 WHEN family = 'polygons' THEN 10 * (id % 100) + 13 WHEN family = 'lines' THEN 4 * (id % 100) + 22
+WHEN family = 'segment' THEN 2 * (id % 100) + 10 WHEN family = 'clip' THEN 2 * (id % 100) + 2 WHEN family = 'crossing' THEN (id % 100) + 5 WHEN family = 'circle' THEN 721 * (id % 100) END::DOUBLE AS x_sum FROM o""")
+def geometry_decisions_compiled(spark, sf_dir):
+    """Every method on objects that its number makes: points, lines of ten metres, rings of two; some miss an object, have one of another kind or one too many."""
+    o = F.col("o_orderkey")
+    method = F.element_at(F.array(*map(F.lit, (*geometry_decisions.METHODS, "guessed"))), (o % 37 + 1).cast("int"))
+    rows = table(spark, sf_dir, "orders").select(o.alias("id"), method.alias("method")).withColumn("family", geometry_decisions.family(F.col("method")))
+    fam, i = F.col("family"), F.col("id")
+    kind = F.when(fam.isin("point", "points", "circle"), 0).when(fam == "polygons", 2).when(fam == "crossing", 3).when(fam == "clip", 4).otherwise(1)
+    n = F.when(fam == "none", 0).when(fam.isin("points", "polygons", "lines", "clip", "crossing"), 2).otherwise(1)
+    # an object too many of the right kind, or one too few where two are asked for
+    n = F.when((i % 11 == 0) & fam.isin("point", "segment", "circle"), 2).when((i % 11 == 0) & fam.isin("clip", "crossing"), 1).otherwise(n)
+    rows = rows.withColumn("kind", kind).withColumn("n", n)
+    base = (i % 100).cast("double")
+    p = lambda dx, y: shapes.point(base + dx, F.lit(float(y)))
+    dims = {0: (0, 0), 1: (1, 1), 2: (2, 2), 3: (1, 1), 4: (1, 2)}
+    line = F.array(p(0, 0), p(10, 0))
+    ring = F.array(p(0, -1), p(2, -1), p(2, 1), p(0, 1), p(0, -1))
+    shape = {0: (F.array(p(0, 0)), F.array(p(1, 0))), 1: (line, F.array(p(1, 5), p(11, 5))), 2: (ring, F.array(p(1, -1), p(3, -1), p(3, 1), p(1, 1), p(1, -1))), 3: (line, F.array(p(5, -5), p(5, 5))), 4: (line, ring)}
+    of = lambda k: F.coalesce(*(F.when(F.col("kind") == c, F.struct(F.lit(k).alias("k"), F.when(i % 7 == 0, (dims[c][k] + 1) % 3 if c != 4 else 0).otherwise(dims[c][k]).alias("dimension"), shape[c][k].alias("points"))) for c in dims))
+    each = rows.select("id", "n", F.inline(F.array(of(0), of(1)))).filter(F.col("k") < F.col("n"))
+    objects = each.filter("id % 5 <> 0 or k > 0").select((F.col("id") * 2 + F.col("k")).alias("object_id"), "dimension", "points")
+    asked = F.when(F.col("n") == 0, F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: i * 2 + k))
+    made = rows.select("id", "method", asked.alias("object_ids"), p(0, 0).alias("start"), p(10, 0).alias("end"), F.lit(50.0).alias("radius"))
+    out = geometry_decisions.compiled(made, objects)
+    total = F.aggregate(F.flatten("parts"), F.lit(0.0), lambda a, q: a + q["x"])
+    return out.select("id", "method", "problem", (F.col("usage") == "reference_only").alias("reference"), F.coalesce(F.size("parts"), F.lit(-1)).alias("parts"), F.round(F.coalesce(total, F.lit(-1.0)), 3).alias("x_sum"))

@@ -79,3 +79,17 @@ def test_components_and_tags(spark):
     assert [(r["k"], r["c"]) for r in got] == [(k, c) for _, k, c in rows]
     one = lambda t, m: spark.createDataFrame([(t,)], "tags map<string,string>").select(tags.operational(F.col("tags"), m)).first()[0]
     assert one({"railway": "subway", "tunnel": "yes"}, "tram") and not one({"railway": "subway"}, "tram") and not one({"railway": "rail", "disused:railway": "rail"}, "train") and one({"highway": "primary"}, "bus")
+
+
+def test_geodesic_circle(spark):
+    """All places of the ring lie at the distance, by the inverse series."""
+    row = spark.range(1).select(shapes.geodesic_circle(F.lit(13.4), F.lit(52.5), F.lit(1852.0)).alias("r"))
+    p = row.select(F.posexplode("r").alias("i", "p")).select("i", "p.x", "p.y", shapes.geodesic(F.lit(13.4), F.lit(52.5), F.col("p.x"), F.col("p.y")).alias("d")).collect()
+    assert len(p) == 721 and all(abs(r["d"] - 1852.0) < 1e-3 for r in p) and p[0]["x"] == p[720]["x"]
+    assert abs(p[0]["x"] - 13.4) < 1e-12 and p[0]["y"] > 52.5 and p[180]["x"] > 13.4
+
+
+def test_as_circle(spark):
+    ring = F.array(*(shapes.point(F.lit(13.4) + 0.000737 * math.sin(k * math.pi / 16), F.lit(52.5) + 0.0004497 * math.cos(k * math.pi / 16)) for k in (*range(32), 0)))
+    near, far = (spark.range(1).select(shapes.as_circle(ring, shapes.point(F.lit(13.4 + d), F.lit(52.5)), F.lit(50.0)).alias("c")).first()["c"] for d in (0.0, 0.0001))
+    assert near["radius"] == 50 and near["error"] < 0.35 and far is None
