@@ -461,6 +461,32 @@ def test_pipeline(spark):
     assert kept and kept <= {r["doc_id"] for r in want.collect()}
 
 
+def test_pipeline_on_odd_tables(spark, odd):
+    """Each stage on nulls, empty and long texts, repeated rows, clashing names and on an empty table."""
+    import corpus_pipeline
+
+    more = odd.withColumn("row", F.lit(1)).withColumn("failed", F.lit("x")).withColumn("n_words", F.lit(None).cast("string"))
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        found, none = stage(spark, more, SF), stage(spark, more.limit(0), SF)
+        assert none.count() == 0, name
+        kept[name] = found.count()
+        if name != "best_fit_packing":
+            assert found.columns == more.columns, name
+    assert kept["line_dedup"] == 9 and kept["minhash_near_dedup"] == 6 and kept["best_fit_packing"] > 9
+    assert kept["language_id"] <= 6 and kept["quality_rules"] <= 2  # texts without letters; texts of less than ten words
+
+
+def test_a_hot_key_is_dealt_over_parts(spark):
+    from signalwerk.llm.common import dealt_join
+
+    rows = spark.range(6000).selectExpr("id", "if(id % 2 = 0, 7, id) as k")
+    one = rows.groupBy("k").agg(F.count("*").alias("n_rows"), F.min("id").alias("least"))
+    found = dealt_join(rows, one, "k", "id", 6000, salts=8)
+    assert found.columns == ["k", "id", "least"] and found.count() == 6000 and found.filter("k = 7").select("least").distinct().collect() == [(0,)]
+    assert dealt_join(rows.limit(0), one.limit(0), "k", "id", 0).count() == 0
+
+
 def test_clashing_names(spark):
     """Columns named like those that operators add inside."""
     rows = [(i, "\n".join(["the same long line of many words in all of these texts", f"own words {i} " * 3]), "en", f"s{i}", 0, 0, 0, 0, 0) for i in range(12)]
