@@ -11,8 +11,6 @@ from ..streaming import accept
 from . import publish
 from .catalog import POINTS_SQL, announcements, query, table
 
-E = F.col("event_id")
-
 
 def events(spark, sf_dir):
     return table(spark, sf_dir, "events")
@@ -27,61 +25,61 @@ def pick(values, number):
 SELECT id, epoch(ts)::BIGINT AS seconds, NOT (month(ts) IN (3, 10) AND dayofweek(ts) = 0 AND day(ts) >= 25 AND hour(ts) = 2) AS clear FROM t""")
 def wall_clock_times(spark, sf_dir):
     """Times in two years as an archive writes them, and whether they exist once in Berlin."""
-    made = F.timestamp_seconds(F.lit(1735689600) + E * 37 % 1051200 * 60)
+    made = F.timestamp_seconds(F.lit(1735689600) + F.col("event_id") * 37 % 1051200 * 60)
     ts = dates.archive_timestamp(F.date_format(made, "dd.MM.yyyy HH:mm"))
-    return events(spark, sf_dir).select(E.alias("id"), F.unix_timestamp(ts).alias("seconds"), dates.local_is_clear(ts, "Europe/Berlin").alias("clear"))
+    return events(spark, sf_dir).select(F.col("event_id").alias("id"), F.unix_timestamp(ts).alias("seconds"), dates.local_is_clear(ts, "Europe/Berlin").alias("clear"))
 
 
 @query("SELECT event_id AS id, CASE WHEN event_id % 7 <> 0 THEN strftime(DATE '2020-01-01' + (event_id % 3000)::INT, '%Y-%m-%d') END AS day FROM events")
 def german_days(spark, sf_dir):
-    day = F.date_add(F.lit("2020-01-01").cast("date"), (E % 3000).cast("int"))
-    month = F.when(E % 7 == 0, "Brumaire").otherwise(F.element_at(F.array(*map(F.lit, dates.MONTHS)), F.month(day)))
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("event_id") % 3000).cast("int"))
+    month = F.when(F.col("event_id") % 7 == 0, "Brumaire").otherwise(F.element_at(F.array(*map(F.lit, dates.MONTHS)), F.month(day)))
     said = F.concat(F.lit("Montag, "), F.dayofmonth(day), F.lit(". "), month, F.lit(" "), F.year(day))
-    return events(spark, sf_dir).select(E.alias("id"), F.date_format(dates.german_day(said), "yyyy-MM-dd").alias("day"))
+    return events(spark, sf_dir).select(F.col("event_id").alias("id"), F.date_format(dates.german_day(said), "yyyy-MM-dd").alias("day"))
 
 
 @query("SELECT event_id AS id, CASE WHEN event_id % 5 = 0 THEN '' ELSE strftime(ts, '%d.%m.%Y, %H:%M') || CASE WHEN event_id % 3 = 0 THEN ';' || strftime(ts + INTERVAL 1 HOUR, '%d.%m.%Y %H:%M') ELSE '' END END AS times FROM events")
 def header_times(spark, sf_dir):
     """Times in the first 500 characters of a body, each once; every fifth body names its time later."""
     when = F.date_format("ts", "dd.MM.yyyy, HH:mm")
-    body = F.concat(F.when(E % 5 == 0, F.repeat(F.lit("x "), 300)).otherwise(""), F.lit("Am "), when, F.lit(" Uhr, auch "), when, F.when(E % 3 == 0, F.concat(F.lit(" und "), F.date_format(F.col("ts") + F.expr("interval 1 hour"), "dd.MM.yyyy HH:mm"))).otherwise(""))
-    return events(spark, sf_dir).select(E.alias("id"), F.array_join(reports.header_times(body), ";").alias("times"))
+    body = F.concat(F.when(F.col("event_id") % 5 == 0, F.repeat(F.lit("x "), 300)).otherwise(""), F.lit("Am "), when, F.lit(" Uhr, auch "), when, F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(" und "), F.date_format(F.col("ts") + F.expr("interval 1 hour"), "dd.MM.yyyy HH:mm"))).otherwise(""))
+    return events(spark, sf_dir).select(F.col("event_id").alias("id"), F.array_join(reports.header_times(body), ";").alias("times"))
 
 
 @query("SELECT event_id AS id, CASE WHEN event_id % 4 <> 3 THEN epoch(date_trunc('second', ts))::BIGINT - CASE WHEN event_id % 4 = 2 THEN 7200 ELSE 0 END ELSE -1 END AS seconds, event_id % 4 <> 3 AS zoned FROM events")
 def zoned_times(spark, sf_dir):
     """Times with and without `$D` and a zone."""
-    said = F.concat(F.when(E % 4 == 1, "$D").otherwise(""), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), pick(("Z", "Z", "+02:00", ""), E))
-    return events(spark, sf_dir).select(E.alias("id"), F.coalesce(F.unix_timestamp(reports.occurred_at(said)), F.lit(-1)).alias("seconds"), reports.has_zone(said).alias("zoned"))
+    said = F.concat(F.when(F.col("event_id") % 4 == 1, "$D").otherwise(""), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), pick(("Z", "Z", "+02:00", ""), F.col("event_id")))
+    return events(spark, sf_dir).select(F.col("event_id").alias("id"), F.coalesce(F.unix_timestamp(reports.occurred_at(said)), F.lit(-1)).alias("seconds"), reports.has_zone(said).alias("zoned"))
 
 
 @query("""WITH t AS (SELECT event_id AS id, ts, ts + to_hours(event_id % 200) AS now FROM events)
 SELECT id, id % 11 = 0 OR id % 200 >= 72 AS check_due, id % 13 = 0 OR strftime(ts, '%Y-%m') <> strftime(now + INTERVAL 1 HOUR, '%Y-%m') AS refresh_due FROM t""")
 def due_dates(spark, sf_dir):
     """Two separate dates: 72 hours since the last check, and another calendar month in Berlin (in January and February an hour ahead) than that of the last refresh."""
-    now = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + E % 200 * 3_600_000_000)
-    check = reports.source_check_due(F.when(E % 11 != 0, F.col("ts").cast("timestamp")), now)
-    refresh = reports.refresh_due(F.when(E % 13 != 0, F.date_format("ts", "yyyy-MM")), now)
-    return events(spark, sf_dir).select(E.alias("id"), check.alias("check_due"), refresh.alias("refresh_due"))
+    now = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 200 * 3_600_000_000)
+    check = reports.source_check_due(F.when(F.col("event_id") % 11 != 0, F.col("ts").cast("timestamp")), now)
+    refresh = reports.refresh_due(F.when(F.col("event_id") % 13 != 0, F.date_format("ts", "yyyy-MM")), now)
+    return events(spark, sf_dir).select(F.col("event_id").alias("id"), check.alias("check_due"), refresh.alias("refresh_due"))
 
 
 @query("""SELECT event_id AS id, concat_ws(',', CASE WHEN event_id % 5 = 0 THEN 'nothing to display' END, CASE WHEN event_id % 7 = 5 THEN 'unknown precision' WHEN event_id % 7 = 6 THEN 'unknown precision' END,
 CASE WHEN event_id % 3 = 1 THEN 'no such date' END, CASE WHEN event_id % 2 = 1 THEN 'quote is not in the body' END) AS problems FROM events""")
 def reviewed_times(spark, sf_dir):
     """Reviewed times, right and wrong: a precision that does not exist or is missing, 30 February, a quote that is too short."""
-    precision = F.when(E % 7 < 6, pick((*reports.TIME_PRECISIONS, "day"), E % 7))
-    date = pick(("2026-03-01", "2026-02-30", None), E)
-    quote = F.when(E % 2 == 0, F.lit("gegen  Mitternacht in der Gasse")).otherwise("Mitternacht")
-    found = reports.event_time_problems(F.when(E % 5 == 0, "  ").otherwise("nachts"), date, precision, quote, F.lit("Es geschah gegen Mitternacht in der Gasse."))
-    return events(spark, sf_dir).select(E.alias("id"), F.array_join(found, ",").alias("problems"))
+    precision = F.when(F.col("event_id") % 7 < 6, pick((*reports.TIME_PRECISIONS, "day"), F.col("event_id") % 7))
+    date = pick(("2026-03-01", "2026-02-30", None), F.col("event_id"))
+    quote = F.when(F.col("event_id") % 2 == 0, F.lit("gegen  Mitternacht in der Gasse")).otherwise("Mitternacht")
+    found = reports.event_time_problems(F.when(F.col("event_id") % 5 == 0, "  ").otherwise("nachts"), date, precision, quote, F.lit("Es geschah gegen Mitternacht in der Gasse."))
+    return events(spark, sf_dir).select(F.col("event_id").alias("id"), F.array_join(found, ",").alias("problems"))
 
 
 @query("SELECT event_id AS id, CASE WHEN event_id % 4 = 0 THEN '2024-01' WHEN event_id % 4 = 1 THEN '2023-12' END AS month FROM events")
 def publication_months(spark, sf_dir):
     """A stated month, else that of a time as it is written, else none."""
-    stated = pick(("2024-01", None, "2024-13", "1/2024"), E)
-    published = pick(("2023-11-30T10:00:00Z", "2023-12-31 23:59", "2023-12-32", None), E)
-    return events(spark, sf_dir).select(E.alias("id"), dates.publication_month(stated, published).alias("month"))
+    stated = pick(("2024-01", None, "2024-13", "1/2024"), F.col("event_id"))
+    published = pick(("2023-11-30T10:00:00Z", "2023-12-31 23:59", "2023-12-32", None), F.col("event_id"))
+    return events(spark, sf_dir).select(F.col("event_id").alias("id"), dates.publication_month(stated, published).alias("month"))
 
 
 @query(f"""WITH {POINTS_SQL}, p AS (SELECT id, CASE id % 6 WHEN 0 THEN 181.0 WHEN 1 THEN 'nan'::DOUBLE ELSE lon END AS lon, CASE id % 6 WHEN 2 THEN 90.0 WHEN 3 THEN NULL ELSE lat END AS lat FROM points)

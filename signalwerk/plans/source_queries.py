@@ -12,15 +12,14 @@ from .catalog import query, table
 from .function_queries import pick
 
 SITE = sites.PRESS_PORTAL
-O = F.col("o_orderkey")  # noqa: E741
 
 
 def listings(spark, sf_dir):
     """A page for each customer with an entry for each order; an order's entry comes twice if its number is odd, and every seventh leads to another site."""
     at = F.date_format(F.col("o_orderdate"), "dd.MM.yyyy – HH:mm")
-    link = F.concat(F.when(O % 7 == 0, "https://elsewhere.example").otherwise(""), F.lit("/blaulicht/pm/1/"), O)
-    entry = lambda t: F.concat(F.lit('<article class="news x"><a href="'), link, F.lit('">more</a><h3>'), F.lit(t), O, F.lit(' &amp; <b>on</b></h3>\n<div class="date">'), at, F.lit("</div></article>"))
-    rows = table(spark, sf_dir, "orders").withColumn("e", F.concat(F.when(O % 2 == 1, entry("old ")).otherwise(""), entry("new ")))
+    link = F.concat(F.when(F.col("o_orderkey") % 7 == 0, "https://elsewhere.example").otherwise(""), F.lit("/blaulicht/pm/1/"), F.col("o_orderkey"))
+    entry = lambda t: F.concat(F.lit('<article class="news x"><a href="'), link, F.lit('">more</a><h3>'), F.lit(t), F.col("o_orderkey"), F.lit(' &amp; <b>on</b></h3>\n<div class="date">'), at, F.lit("</div></article>"))
+    rows = table(spark, sf_dir, "orders").withColumn("e", F.concat(F.when(F.col("o_orderkey") % 2 == 1, entry("old ")).otherwise(""), entry("new ")))
     return rows.groupBy(F.col("o_custkey").alias("page_id")).agg(F.array_join(F.array_sort(F.collect_list(F.struct("o_orderkey", "e")))["e"], "\n").alias("html"))  # a page's entries
 
 
@@ -56,11 +55,11 @@ def linked_data(spark, sf_dir):
 @query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 2 THEN -1 ELSE 2 END AS n, CASE WHEN o_orderkey % 3 = 2 THEN -1 ELSE o_orderkey + 1 END AS last, CASE WHEN o_orderkey % 3 = 2 THEN 'ambiguous' END AS problem FROM orders")
 def flight_payloads(spark, sf_dir):
     """Events in a text that scripts push piece by piece; every third page has two arrays of them."""
-    body = F.concat(F.lit('{\\"a\\":1,\\"events\\":[{\\"id\\":'), O, F.lit(',\\"category\\":\\"x\\"},{\\"id\\":'))
-    rest = F.concat(O + 1, F.lit(',\\"category\\":\\"y\\"}]}'))
-    more = F.when(O % 3 == 2, F.lit('<script>self.__next_f.push([1,"{\\"events\\":[{\\"id\\":1,\\"category\\":\\"z\\"}]}"])</script>')).when(O % 3 == 1, F.lit('<script>self.__next_f.push([1,"{\\"events\\":[]}"])</script>')).otherwise("")
+    body = F.concat(F.lit('{\\"a\\":1,\\"events\\":[{\\"id\\":'), F.col("o_orderkey"), F.lit(',\\"category\\":\\"x\\"},{\\"id\\":'))
+    rest = F.concat(F.col("o_orderkey") + 1, F.lit(',\\"category\\":\\"y\\"}]}'))
+    more = F.when(F.col("o_orderkey") % 3 == 2, F.lit('<script>self.__next_f.push([1,"{\\"events\\":[{\\"id\\":1,\\"category\\":\\"z\\"}]}"])</script>')).when(F.col("o_orderkey") % 3 == 1, F.lit('<script>self.__next_f.push([1,"{\\"events\\":[]}"])</script>')).otherwise("")
     html = F.concat(F.lit('<script>other()</script><script>self.__next_f.push([0])</script><script>self.__next_f.push([1,"'), body, F.lit('"])</script><script> self.__next_f.push([1,"'), rest, F.lit('"]) </script>'), more)
-    rows = table(spark, sf_dir, "orders").select(O.alias("id"), sites.flight_events(html, "id:long,category:string").alias("f"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), sites.flight_events(html, "id:long,category:string").alias("f"))
     return rows.select("id", F.when(F.col("f.events").isNotNull(), F.size("f.events")).otherwise(-1).alias("n"), F.coalesce(F.element_at("f.events", -1)["id"], F.lit(-1)).alias("last"), "f.problem")
 
 
@@ -82,7 +81,7 @@ def resumed_ingest(spark, sf_dir):
     from pyspark.sql import Window
 
     no = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
-    lines = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("file"), F.lit("a").alias("sha"), no.alias("line_no"), F.when(O % 4 == 0, "  ").otherwise(F.concat(F.lit('{"k":'), O, F.lit("}"))).alias("value"))
+    lines = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("file"), F.lit("a").alias("sha"), no.alias("line_no"), F.when(F.col("o_orderkey") % 4 == 0, "  ").otherwise(F.concat(F.lit('{"k":'), F.col("o_orderkey"), F.lit("}"))).alias("value"))
     cursors = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("file"), F.when(F.col("c_custkey") % 3 == 0, "a").otherwise("b").alias("sha"), F.lit(2).alias("done"))
     taken = sites.resumed(lines, cursors, 5)
     return sites.cursors_after(taken).join(taken.groupBy("file").agg(F.count("*").alias("n")), "file").select("file", "done", "n")
@@ -108,7 +107,7 @@ VIEWS_SQL = "SELECT o_custkey % 10 AS path_id, strftime(o_orderdate, '%Y-%m-%d')
 
 
 def exported(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 10).alias("path_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.when(O % 6 == 0, "").when(O % 6 == 1, "DE-BE").otherwise(pick(("AT", "DE", "FR"), O)).alias("location"), F.col("o_orderdate").alias("hour"))
+    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 10).alias("path_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.when(F.col("o_orderkey") % 6 == 0, "").when(F.col("o_orderkey") % 6 == 1, "DE-BE").otherwise(pick(("AT", "DE", "FR"), F.col("o_orderkey"))).alias("location"), F.col("o_orderdate").alias("hour"))
     stats = o.groupBy("path_id", "day", "location").agg(F.count("*").alias("count"))
     hits = o.groupBy("path_id", "hour").agg(F.count("*").alias("count"))
     paths = o.select("path_id").distinct().select("path_id", F.concat(F.lit("/city/"), F.col("path_id")).alias("path"), (F.col("path_id") > 5).alias("event"))
