@@ -20,6 +20,8 @@ START, END = 2, 3
 #: Runs of letters, general category L: word characters but digits, the low line and other numbers such as fractions and Roman numerals.
 NUMBERS = "".join(chr(c) for c in range(0x20000) if chr(c).isnumeric() and not chr(c).isdecimal() and not chr(c).isalpha())
 LETTERS = re.compile(rf"[^\W\d_{re.escape(NUMBERS)}]+")
+#: The same but for other numbers, and several times faster; isalpha() tells the runs that have any.
+NEARLY_LETTERS = re.compile(r"[^\W\d_]+")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -121,12 +123,16 @@ class Classifier:
 
     def entropies(self, texts: list[str], limit: int = 400_000) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy a letter of each text in each language, nan where a text has no letters; letters and words of each."""
-        parts = [LETTERS.findall(x.lower()) for x in texts]
+        parts = [NEARLY_LETTERS.findall(x.lower()) for x in texts]
         if len(self.known) > limit:
             self.known, self.table = {}, self.table[:0]
         distinct: set[str] = set()
         distinct.update(*parts)
-        if new := [w for w in distinct if w not in self.known]:
+        new = [w for w in distinct if w not in self.known]
+        if odd := {w for w in new if not w.isalpha()}:
+            parts = [p if odd.isdisjoint(p) else LETTERS.findall(x.lower()) for p, x in zip(parts, texts, strict=True)]
+            new = [w for w in distinct.union(*parts) - odd if w not in self.known]
+        if new:
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
             fresh = [self.rows(new[i : i + 20_000]) for i in range(0, len(new), 20_000)]
             self.table = np.concatenate([self.table, *fresh])

@@ -280,6 +280,15 @@ def test_warc(spark):
         assert collections.Counter(tuple(r)[:5] for r in got) == want
         page = {r["record_id"]: r["page_id"] for r in got}
         assert all(page[r["target"]] == r["refers_to"] for r in got if r["record_type"] == "revisit")  # ids resolve
+    # with partitions kept apart, a record's chunks still lie together
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for most in ("-1", "10m"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+            assert collections.Counter(tuple(r)[:5] for r in warc.archive(df, size=3).collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     long = spark.createDataFrame([(1, "u", "x" * 700_000 + "é"), (2, "u", "x" * 700_000 + "é")], "page_id long, url string, html string")
     assert [(r["payload_bytes"], r["record_type"]) for r in warc.archive(long).orderBy("page_id").collect()] == [(700_002, "response"), (700_002, "revisit")]
     assert warc.archive(df.limit(0)).count() == 0
