@@ -89,15 +89,15 @@ def record_rows(pages: DataFrame, decided: DataFrame, size: int, date: str) -> D
     n_chunks = F.ceil(F.col("n") / size).cast("int")
     body = body.select("page_id", "row_key", "url", "n", "body", F.explode(F.sequence(F.lit(-1), n_chunks)).alias("k"), n_chunks.alias("n_chunks"))
     piece = F.when((F.col("k") >= 0) & (F.col("k") < F.col("n_chunks")), F.substring(F.col("body"), F.col("k") * size + 1, F.lit(size)))
-    # a record's chunks stay together: both the join and the numbering of equal rows need no other partitioning than this
     key = lambda: F.coalesce("page_id", F.lit(-(1 << 63))).alias("key")
-    c = body.select("page_id", "row_key", key(), F.when(F.col("k") < 0, F.col("url")).alias("url"), "n", "k", piece.alias("piece")).repartition("key", "row_key")
+    c = body.select("page_id", "row_key", key(), F.when(F.col("k") < 0, F.col("url")).alias("url"), "n", "k", piece.alias("piece"))
     rows = c.join(decided.select(key(), "row_key", "payload_digest", "record_type", "refers_to", "target"), ["key", "row_key"])
     # a revisit has no body in the file
     is_response = F.col("record_type") == "response"
     rows = rows.filter(is_response | (F.col("k") < 0))
-    # equal rows are records one after another
-    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("key", "row_key", "k").orderBy("k"))).sortWithinPartitions("key", "row_key", "copy", "k")
+    # equal rows are records one after another; the window's partitioning, the join's as well, keeps all chunks of a record in one task
+    w = Window.partitionBy("key", "row_key").orderBy("k")
+    rows = rows.withColumn("copy", F.row_number().over(w) - F.rank().over(w)).sortWithinPartitions("key", "row_key", "copy", "k")
     number = lambda x: F.coalesce(F.col(x).cast("string"), F.lit("none"))
     full, rest = F.floor(F.col("n") / size), F.col("n") % size
     coded = full * (len(f"{size:x}") + size + 4) + F.when(rest > 0, F.length(F.hex(rest)) + rest + 4).otherwise(0) + 5
