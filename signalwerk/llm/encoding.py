@@ -127,7 +127,7 @@ def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, some: int
 class StretchEncoder:
     """Keeps the ids of about `limit` stretches of up to `longest` characters."""
 
-    def __init__(self, path: str, limit: int = 450_000, longest: int = 48):
+    def __init__(self, path: str, limit: int = 300_000, longest: int = 48):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -121,7 +121,7 @@ class Classifier:
         g, c, which = grams(words)
         return np.column_stack([*(m.word_scores(g, c, which, len(words)) for m in self.models), np.fromiter(map(len, words), np.float64, len(words)) + 1])
 
-    def entropies(self, texts: list[str], limit: int = 400_000) -> tuple[np.ndarray, np.ndarray]:
+    def entropies(self, texts: list[str], limit: int = 250_000) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy a letter of each text in each language, nan where a text has no letters; letters and words of each."""
         parts = [NEARLY_LETTERS.findall(x.lower()) for x in texts]
         if len(self.known) > limit:

@@ -17,7 +17,7 @@ class Weigher:
     """Shingle hashes and weights of texts. A word's weight is 1 + ln(N / df) / ln N, from 1 to 2. A text
     brings the weights of its words outside the table of the most frequent; words in neither have 2. A shingle weighs its count in the text times the mean weight of its words."""
 
-    def __init__(self, frequent: dict[int, float], keep: int = 400_000):
+    def __init__(self, frequent: dict[int, float], keep: int = 200_000):
         self.frequent, self.keep = frequent, keep
         self.known: dict[str, int] = {}
         self.hash, self.weight = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12)
