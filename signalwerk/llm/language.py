@@ -98,14 +98,26 @@ class KneserNey:
 
     def word_scores(self, g: list[np.ndarray], c: list[np.ndarray], which: np.ndarray, n: int) -> np.ndarray:
         """Log-probability of each of n words, from grams()."""
-        at, seen = self._find(self.keys[0], g[0])
-        p = np.where(seen, self.alpha[0][at], 0) + self.back[0][0] / self.size
-        for k in range(1, ORDER):
-            at, seen = self._find(self.keys[k], g[k])
-            ctx, known = self._find(self.context_keys[k], c[k - 1])
-            p = np.where(seen, self.alpha[k][at], 0) + np.where(known, self.back[k][ctx], 1.0) * p
+        return self.scored(distinct(g), distinct(c), which, n)
+
+    def scored(self, g: list, c: list, which: np.ndarray, n: int) -> np.ndarray:
+        """word_scores() from distinct() n-grams: sorted keys are found fast, and several models can share them."""
+        p = self.back[0][0] / self.size
+        for k in range(ORDER):
+            at, seen = self._find(self.keys[k], g[k][0])
+            p = p if not k else self._weights(k, *c[k - 1]) * p
+            p = np.where(seen, self.alpha[k][at], 0)[g[k][1]] + p
         return np.bincount(which, np.log(p), n)
 
+    def _weights(self, k: int, keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+        at, known = self._find(self.context_keys[k], keys)
+        return np.where(known, self.back[k][at], 1.0)[places]
+
+
+def distinct(hashed: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted different hashes of each list, and where in them each hash lies."""
+    return [(keys, places.reshape(-1)) for keys, places in (np.unique(h, return_inverse=True) for h in hashed)]
+
 
 class Classifier:
     """Models by language, the softmax's sharpness and each language's rejection threshold, both from words that no model has learned."""
@@ -119,7 +131,8 @@ class Classifier:
     def rows(self, words: list[str]) -> np.ndarray:
         """For each word, its log-probability in each language and its length with the end mark."""
         g, c, which = grams(words)
-        return np.column_stack([*(m.word_scores(g, c, which, len(words)) for m in self.models), np.fromiter(map(len, words), np.float64, len(words)) + 1])
+        g, c = distinct(g), distinct(c)
+        return np.column_stack([*(m.scored(g, c, which, len(words)) for m in self.models), np.fromiter(map(len, words), np.float64, len(words)) + 1])
 
     def entropies(self, texts: list[str], limit: int = 250_000) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy a letter of each text in each language, nan where a text has no letters; letters and words of each."""
