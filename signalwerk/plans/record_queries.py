@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import reports, shapes, text
 from ..operators import ledgers, locating, roads
-from ..scratch import stored
+from ..scratch import spread, stored
 from .catalog import POINTS_SQL, announcements, query, table
 
 
@@ -66,7 +66,7 @@ def located_reports(spark, sf_dir):
 @query()
 def spelling_suggestions(spark, sf_dir):
     """Long words of documents close to a word of the benchmark; tests hold it against all pairs."""
-    words = lambda t: table(spark, sf_dir, t).select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("token")).filter("length(token) >= 10").distinct()
+    words = lambda t: spread(table(spark, sf_dir, t)).select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("token")).filter("length(token) >= 10").distinct()
     known = words("benchmark")
     return locating.suggestions(words("documents").join(known, "token", "left_anti"), known.withColumnRenamed("token", "name"))
 

@@ -29,6 +29,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores before costly work on each row, where it comes in fewer parts than there are, as a small file does; else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def clear(spark: SparkSession) -> int:
     """Remove the folders that this process has made; for when its results are written, as they read these tables. Returns how many there were."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
