@@ -48,7 +48,7 @@ def municipal_scopes(spark, sf_dir):
     """Verdicts on another text or with a quote that nobody wrote count for nothing."""
     docs = table(spark, sf_dir, "documents").filter("text is not null and length(text) >= 20").select(F.col("doc_id").alias("id"), F.lit("a").alias("sha"), F.col("text").alias("body"))
     i = F.col("id")
-    made = docs.select("id", F.when(i % 4 == 0, "b").otherwise("a").alias("sha"), F.when(i % 2 == 0, "in_city").otherwise("out_of_city").alias("verdict"), F.when(i % 5 == 0, "\u0001no").otherwise(F.upper(F.substring("body", 3, 10))).alias("quote"))
+    made = docs.select("id", F.when(i % 4 == 0, "b").otherwise("a").alias("sha"), F.when(i % 2 == 0, "in_city").otherwise("out_of_city").alias("verdict"), F.when(i % 5 == 0, "\u0001no").otherwise(F.substring("body", 3, 10)).alias("quote"))
     return decisions.scoped(docs, made).select("id", "scope")
 
 

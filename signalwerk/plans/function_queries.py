@@ -86,14 +86,14 @@ def publication_months(spark, sf_dir):
 SELECT id, coalesce(NOT isnan(lon) AND abs(lon) <= 180 AND lat > -90 AND lat < 90, false) AS is_valid,
 CASE WHEN id % 6 > 3 THEN round(2 * 6371008.8 * asin(sqrt(sin(radians(52.5 - lat) / 2) ^ 2 + cos(radians(lat)) * cos(radians(52.5)) * sin(radians(13.4 - lon) / 2) ^ 2)), 3) END AS metres,
 CASE WHEN id % 6 > 3 THEN round(50.0 * 512 / (2 * pi() * 6378137.0 * cos(radians(lat))), 6) END AS pixels,
-CASE WHEN id % 6 > 3 THEN round_even(lon, 3) END AS short FROM p""")
+CASE WHEN id % 6 > 3 THEN round_even(lon / 7, 6) END AS short FROM p""")
 def measured_points(spark, sf_dir):
     """Validity, distance to a place, radius in pixels and rounded longitude of points, some of which are none."""
     i = F.col("id") % 6
     lon = F.when(i == 0, 181.0).when(i == 1, float("nan")).otherwise(F.col("lon"))
     lat = F.when(i == 2, 90.0).when(i == 3, None).otherwise(F.col("lat"))
     only = lambda c: F.when(i > 3, c)
-    return announcements(spark, sf_dir).select("id", geo.valid_point(lon, lat).alias("is_valid"), only(F.round(geo.haversine(lon, lat, F.lit(13.4), F.lit(52.5)), 3)).alias("metres"), only(F.round(shapes.tile_pixels(lat), 6)).alias("pixels"), only(shapes.rounded(F.array(shapes.point(lon, lat)), 3)[0]["x"]).alias("short"))
+    return announcements(spark, sf_dir).select("id", geo.valid_point(lon, lat).alias("is_valid"), only(F.round(geo.haversine(lon, lat, F.lit(13.4), F.lit(52.5)), 3)).alias("metres"), only(F.round(shapes.tile_pixels(lat), 6)).alias("pixels"), only(shapes.rounded(F.array(shapes.point(lon / 7, lat)), 6)[0]["x"]).alias("short"))
 
 
 @query("""SELECT l_orderkey AS id, CASE WHEN l_orderkey % 3 = 0 THEN CASE WHEN count(*) = 1 THEN 'Point' END WHEN l_orderkey % 3 = 1 AND count(*) >= 3 THEN 'Polygon' WHEN count(DISTINCT (l_linenumber, l_quantity)) >= 2 THEN 'LineString' END AS shape,
