@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, importance, language, lines, minhash, packing, quality, repeats, sentencepiece, sstable, vectors, warc
+from . import chat, importance, language, lines, minhash, packing, quality, repeats, sentencepiece, sstable, trie, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.token_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(table(spark, sf_dir, "conversations"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -70,6 +74,6 @@ def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_line_dedup, op2_language_id, op3_quality_rules, op4_sentencepiece, op5_embedding_near_dedup, op6_warc, op7_minhash_near_dedup, op8_best_fit_packing, op9_chat_formatting, op10_token_shards, op12_importance_resampling, op13_suffix_dedup, quality_ablations)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_line_dedup, op2_language_id, op3_quality_rules, op4_sentencepiece, op5_embedding_near_dedup, op6_warc, op7_minhash_near_dedup, op8_best_fit_packing, op9_chat_formatting, op10_token_shards, op11_prefix_trie, op12_importance_resampling, op13_suffix_dedup, quality_ablations)}
 
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": lines.ORACLE, "op3_quality_rules": quality.ORACLE, "op12_importance_resampling": importance.ORACLE, "op13_suffix_dedup": repeats.ORACLE, "quality_ablations": quality.ABLATIONS_ORACLE}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": lines.ORACLE, "op3_quality_rules": quality.ORACLE, "op11_prefix_trie": trie.ORACLE, "op12_importance_resampling": importance.ORACLE, "op13_suffix_dedup": repeats.ORACLE, "quality_ablations": quality.ABLATIONS_ORACLE}
