@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import stored
+from .common import dealt_join
 
 LOG_BUCKETS = 12
 SPACE = r"[ \t\r]+"
@@ -28,23 +29,26 @@ def line_table(docs: DataFrame) -> DataFrame:
 
 
 def spread_lines(by_site: DataFrame, min_sites: int) -> DataFrame:
-    """Lines of at least min_sites sites, from a row per line and site with its first place: h1, h2, first."""
+    """Lines of at least min_sites sites, from a row per line and site with its first place and number of rows: h1, h2, first, n_rows."""
     margin = 4 * 1.04 / 2 ** (LOG_BUCKETS / 2)  # four standard errors of the sketch
     low, high = min_sites * (1 - margin) - 1, min_sites * (1 + margin) + 1
-    sketched = by_site.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", F.lit(LOG_BUCKETS)).alias("sketch"), F.min("first").alias("first"))
-    sketched = sketched.select("h1", "h2", "first", F.hll_sketch_estimate("sketch").alias("about")).filter(F.col("about") >= low)
+    sketched = by_site.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", F.lit(LOG_BUCKETS)).alias("sketch"), F.min("first").alias("first"), F.sum("n_rows").alias("n_rows"))
+    sketched = sketched.select("h1", "h2", "first", "n_rows", F.hll_sketch_estimate("sketch").alias("about")).filter(F.col("about") >= low)
     near = sketched.filter(F.col("about") <= high)
     exact = by_site.join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.count("*").alias("n_sites")).filter(F.col("n_sites") >= min_sites)
-    return sketched.filter(F.col("about") > high).select("h1", "h2", "first").unionByName(near.join(exact, ["h1", "h2"], "left_semi").select("h1", "h2", "first"))
+    return sketched.filter(F.col("about") > high).drop("about").unionByName(near.join(exact, ["h1", "h2"], "left_semi").drop("about"))
 
 
 def removals(docs: DataFrame, min_sites: int) -> DataFrame:
     """Line numbers to remove, ascending, of each document that loses any: doc_id, text_key, gone."""
     lines = line_table(docs)
     # partial aggregation leaves a row per line, site and task before the shuffle; a line of a third of all rows stays small
-    by_site = lines.groupBy("h1", "h2", "site").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "line_no")).alias("first"))
-    spread = spread_lines(stored(by_site, "line-sites"), min_sites)
-    found = lines.join(stored(spread, "spread-lines"), ["h1", "h2"])
+    by_site = lines.groupBy("h1", "h2", "site").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "line_no")).alias("first"), F.count("*").alias("n_rows"))
+    by_site = stored(by_site, "line-sites")
+    line = F.struct("h1", "h2").alias("line")
+    spread = stored(spread_lines(by_site, min_sites).select(line, "first", "n_rows"), "spread-lines")
+    # copies of a text have different ids, so these deal out a line of a third of all rows
+    found = dealt_join(lines.select(line, "doc_id", "text_key", "line_no"), spread, "line", "doc_id", by_site.agg(F.sum("n_rows")).first()[0] or 0)
     first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")) & (F.col("line_no") == F.col("first.line_no"))
     return found.filter(~first).groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
 
@@ -64,15 +68,17 @@ def deduplicated(docs: DataFrame, min_sites: int = 10) -> DataFrame:
     are treated alike, so both keep a line whose first place they are. Null doc_ids come last. Other columns pass through; own n_lines and n_removed are replaced.
     """
     gone = removals(docs, min_sites).select(F.struct("doc_id", "text_key", "gone").alias("loses"))
-    # in structs, no column of the documents can clash with those of the removals
+    # in structs, no column of the documents can clash with those of the removals; what is computed has a struct of its own
     rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
     both = rows.join(gone, F.col("row.doc_id").cast("long").eqNullSafe(F.col("loses.doc_id")) & (F.xxhash64("row.text") == F.col("loses.text_key")), "left")
     text, gone_here = F.col("row.text"), F.col("loses.gone")
     lines = F.split(text, "\n")
     kept = F.when(gone_here.isNull(), text).otherwise(F.array_join(without(lines, gone_here), "\n"))
-    n = F.coalesce(F.size(F.filter(lines, lambda x: normal(x) != "")), F.lit(0))
-    others = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
-    return both.select(*others, kept.alias("text"), F.when(text.isNull(), 0).otherwise(n).alias("n_lines"), F.coalesce(F.size(gone_here), F.lit(0)).alias("n_removed"))
+    n = F.when(text.isNull(), 0).otherwise(F.coalesce(F.size(F.filter(lines, lambda x: normal(x) != "")), F.lit(0)))
+    both = both.select("row", F.struct(kept.alias("text"), n.alias("n_lines"), F.coalesce(F.size(gone_here), F.lit(0)).alias("n_removed")).alias("new"))
+    # no expression but column names from here on: an alias that is a struct's name would be taken for the struct
+    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
+    return both.selectExpr(*[f"row.`{c}` AS `_{i}`" for i, c in enumerate(others)], "new.text AS _text", "new.n_lines AS _n_lines", "new.n_removed AS _n_removed").toDF(*others, "text", "n_lines", "n_removed")
 
 
 ORACLE = """

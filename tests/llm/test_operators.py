@@ -504,3 +504,20 @@ def test_clashing_names(spark):
     assert sorted(got.columns) == sorted({*docs.columns, "n_removed"}) and got.filter("n_removed = 1").count() == 11
     assert minhash.distinct_documents(docs).columns == docs.columns
     assert quality.filtered(docs).columns == docs.columns
+
+
+INNER = "row loses one new failed gone first line lines site n_rows h1 h2 text_key line_no bucket node class head heads label component samples words dfs rest uid _salt _hot _text _0 _1 rejected lang_pred score held_out n_words base_failed kept piece start length sequence_id offset".split()
+
+
+def test_every_inner_name_may_be_a_column(spark):
+    import corpus_pipeline
+
+    text = "\n".join(["the same long line of many words in all of these texts and more of it", "own words of this text and not of any other one in the table"])
+    docs = spark.createDataFrame([(i, f"{text} {i}", "en", f"s{i}", 9) for i in range(12)], "doc_id long, text string, lang string, source string, n_chars long")
+    wide = docs.select("*", *[F.lit(7).alias(c) for c in INNER])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, wide, SF)
+        assert found.columns == wide.columns, name
+        assert found.filter("`row` <> 7 or `line` <> 7 or `_0` <> 7 or `first` <> 7").count() == 0, name
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, SF).count() == 12
+    assert lines.deduplicated(wide, min_sites=10).filter("n_removed = 1").count() == 11
