@@ -190,16 +190,21 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
-def training_words(docs: DataFrame, per_language: int, longest: int, languages: int) -> DataFrame:
+def training_words(docs: DataFrame, per_language: int, longest: int, documents: int) -> DataFrame:
     """Word counts by language: (lang, doc, word, n), doc being -1 but for the fifth of the documents that calibrates. At most per_language
-    documents of a language, the first by a hash of doc_id and text, of at most `longest` characters each, and the `languages` languages
-    that have most: so the table's size is bounded, whatever the corpus."""
+    documents of a language, the first by a hash of doc_id and text, of at most `longest` characters each, and
+    at most `documents` documents in all, dealt evenly: so the table's size is bounded, whatever the corpus, and no language is left out.
+    More languages than documents are an error."""
     rows = docs.select("text", F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id", "text").alias("h"), F.coalesce(~held_out(), F.lit(True)).alias("free"))
     rows = rows.filter(F.col("free") & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= longest)).select("lang", "h", "text")
+    n_langs = rows.select(F.count_distinct("lang")).first()[0]
+    if n_langs > documents:
+        raise ValueError(f"{n_langs} languages to learn from {documents} documents")
+    per_language = min(per_language, documents // max(n_langs, 1))
     # hashes only, in two steps, so that a large language is dealt over many tasks
     least = lambda df, *by: df.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("h"))).filter(F.col("r") <= per_language)
     chosen = least(least(rows.select("lang", "h", F.pmod("h", F.lit(64)).alias("part")), "lang", "part"), "lang")
-    edge = chosen.groupBy("lang").agg(F.max("h").alias("edge"), F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).drop("n")
+    edge = chosen.groupBy("lang").agg(F.max("h").alias("edge"))  # as many rows as languages
     # repeated rows have one hash, so the rows up to the edge are counted again
     kept = least(rows.join(F.broadcast(edge), "lang").filter(F.col("h") <= F.col("edge")), "lang")
 
@@ -221,12 +226,12 @@ def training_words(docs: DataFrame, per_language: int, longest: int, languages:
     return found.groupBy("lang", "doc", "word").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, per_language: int = 300, longest: int = 20_000, languages: int = 64, rate: float = 0.0005) -> Classifier:
-    """A classifier of the languages in docs.lang. It learns from at most per_language documents of each of at most `languages` languages
-    and `longest` characters of each, so what reaches the driver is bounded. Rejection is calibrated to a false-rejection rate: a text is
+def fit(docs: DataFrame, per_language: int = 300, longest: int = 20_000, documents: int = 19_200, rate: float = 0.0005) -> Classifier:
+    """A classifier of the languages in docs.lang. It learns from at most per_language documents of each language, `documents` in all,
+    and `longest` characters of each, so what reaches the driver is bounded (at most 384 million characters, as distinct words with counts). Rejection is calibrated to a false-rejection rate: a text is
     rejected if its cross-entropy exceeds what all but a share `rate` of random draws of as many words from calibration documents of its
     language reach (32 words for longer texts, whose cross-entropy varies less)."""
-    table = training_words(docs, per_language, longest, languages).toPandas()
+    table = training_words(docs, per_language, longest, documents).toPandas()
     langs = sorted(table["lang"].unique())
     models = []
     for lang in langs:

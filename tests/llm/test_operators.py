@@ -521,3 +521,13 @@ def test_every_inner_name_may_be_a_column(spark):
         assert found.filter("`row` <> 7 or `line` <> 7 or `_0` <> 7 or `first` <> 7").count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, wide, SF).count() == 12
     assert lines.deduplicated(wide, min_sites=10).filter("n_removed = 1").count() == 11
+
+
+def test_no_language_is_left_out(spark):
+    rows = [(i, f"wort{i % 90}a wort{i % 90}b " * 20, f"l{i % 90:02}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    table = language.training_words(docs, 300, 20_000, 180)
+    assert table.select("lang").distinct().count() == 90
+    assert table.groupBy("lang").agg(F.sum("n").alias("n")).filter("n > 160").count() == 0  # two documents, in which digits part 40 words into 80
+    with pytest.raises(ValueError):
+        language.training_words(docs, 300, 20_000, 89)
