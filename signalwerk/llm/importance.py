@@ -80,22 +80,34 @@ def line_features(texts: DataFrame, longest: int, buckets: int) -> DataFrame:
     return distinct.mapInArrow(run, "line struct<h1:long,h2:long>, n_rows long, n_words long, features array<int>")
 
 
-def counted(rows: DataFrame, buckets: int) -> DataFrame:
-    """Features of each bucket over rows (n_rows, features): bucket, n. A task sends one row per bucket at most."""
+def counted(rows: DataFrame, buckets: int, together: int = 100) -> DataFrame:
+    """Features of each bucket over rows (n_rows, features): bucket, n. A task sends a row for every `together` buckets."""
 
-    def run(batches: Iterator) -> Iterator:
+    def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        total = np.zeros(buckets, np.int64)
+        total = np.zeros(-(-buckets // together) * together, np.int64)
         for batch in batches:
             held = batch.column("features")
             size = np.diff(held.offsets.to_numpy()) if batch.num_rows else np.zeros(0, np.int64)
             # weights as whole numbers below 2**53
-            total += np.bincount(held.flatten().to_numpy(zero_copy_only=False), np.repeat(batch.column("n_rows").to_numpy(zero_copy_only=False).astype(float), size), buckets).astype(np.int64)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
+            total += np.bincount(held.flatten().to_numpy(zero_copy_only=False), np.repeat(batch.column("n_rows").to_numpy(zero_copy_only=False).astype(float), size), len(total)).astype(np.int64)
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(total) // together), pa.int32()), pa.FixedSizeListArray.from_arrays(pa.array(total), together).cast(pa.list_(pa.int64()))], names=["part", "counts"])
+
+    def add(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    return rows.select("n_rows", "features").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            counts = batch.column("counts").flatten().to_numpy().reshape(-1, together)
+            for part, own in zip(batch.column("part").to_pylist(), counts, strict=True):
+                held[part] = held.get(part, 0) + own
+        for part, own in held.items():
+            some = np.flatnonzero(own)
+            yield pa.RecordBatch.from_arrays([pa.array(some + part * together), pa.array(own[some])], names=["bucket", "n"])
+
+    return rows.select("n_rows", "features").mapInArrow(count, "part int, counts array<long>").repartition("part").mapInArrow(add, "bucket long, n long")
 
 
 def gains(corpus: DataFrame, target: DataFrame, spark, buckets: int) -> np.ndarray:
