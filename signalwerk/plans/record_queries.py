@@ -10,19 +10,81 @@ from ..scratch import spread, stored
 from .catalog import POINTS_SQL, announcements, query, table
 
 
-TITLES = ("Raub auf Spätkauf", "Mann beim Einbruch gestellt", "Radfahrerin bei Unfall verletzt", "Unfallflucht nach Zusammenstoß", "Polizist mit Messer angegriffen", "Auto in Brand gesetzt", "Drogen im Park gefunden", "Betrüger am Telefon", "Scheibe beschädigt", "Frau bedroht", "Versammlung am Samstag", "Illegales Straßenrennen", "Sexuelle Belästigung im Zug", "Geldautomat gesprengt", "Verstoß gegen Waffengesetz", "Freiheitsberaubung in Wohnung")
-TITLES_SQL = "[" + ", ".join(f"'{t}'" for t in TITLES) + "]"
-
-
-@query(f"""WITH said AS (SELECT doc_id, lower(({TITLES_SQL})[doc_id % {len(TITLES)} + 1]) AS t FROM documents), found AS (SELECT t, CASE doc_id % {len(TITLES)}
-WHEN 0 THEN 'Raub' WHEN 1 THEN 'Diebstahl' WHEN 2 THEN 'Verkehr / sonstige Meldung' WHEN 3 THEN 'Verkehr / sonstige Meldung' WHEN 4 THEN 'Gewalt' WHEN 5 THEN 'Sachbeschädigung' WHEN 6 THEN 'Betäubungsmittel' WHEN 7 THEN 'Betrug'
-WHEN 8 THEN 'Sachbeschädigung' WHEN 9 THEN 'Bedrohung' WHEN 10 THEN 'Unklassifiziert' WHEN 11 THEN 'Verkehr / sonstige Meldung' WHEN 12 THEN 'Sexualdelikt' WHEN 13 THEN 'Eigentumsdelikt' WHEN 14 THEN 'Waffendelikt' WHEN 15 THEN 'Unklassifiziert' END AS label,
-doc_id % {len(TITLES)} NOT IN (2, 10, 15) AS crime FROM said) SELECT label, crime, count(*) AS n FROM found GROUP BY 1, 2""")
+# Titles and bodies with the category that they have, told by hand; only the SQL reads the last two.
+ROAD_SAID, NO_CLASS = "Verkehr / sonstige Meldung", "Unklassifiziert"
+TOLD = (
+    ("Raub auf Spätkauf", "", "Raub", True),
+    ("Mann beim Einbruch gestellt", "", "Diebstahl", True),
+    ("Radfahrerin bei Unfall verletzt", "", ROAD_SAID, False),
+    ("Auto in Brand gesetzt", "", "Sachbeschädigung", True),
+    ("Drogen im Park gefunden", "", "Betäubungsmittel", True),
+    ("Betrüger am Telefon", "", "Betrug", True),
+    ("Frau bedroht", "", "Bedrohung", True),
+    ("Versammlung am Samstag", "", NO_CLASS, False),
+    ("Sexuelle Belästigung im Zug", "", "Sexualdelikt", True),
+    ("Verstoß gegen Waffengesetz", "", "Waffendelikt", True),
+    ("Mehrere Autos brennen", "", NO_CLASS, False),
+    ("Streit nach Trennen der Paare", "", NO_CLASS, False),
+    ("Fährt Fußgänger an und flüchtet", "", ROAD_SAID, True),
+    ("Bilanz der Maßnahmen zum Jahreswechsel", "", NO_CLASS, False),
+    ("Gesprengter Geldausgabeautomat", "", "Eigentumsdelikt", True),
+    ("Polizist bei Überprüfung eines Wagens mitgeschleift", "", "Gewalt", True),
+    ("Erkenntnisse zum Zugunfall am Stadtrand", "", ROAD_SAID, False),
+    ("Fahnder erkennen Kfz-Aufbrecher wieder", "", "Diebstahl", True),
+    ("Durchsuchungen wegen gewerbsmäßigen Waffenhandels", "", "Waffendelikt", True),
+    ("Zeugen gesucht nach Verkehrsunfallflucht", "", ROAD_SAID, True),
+    ("Illegales Straßenrennen in der Innenstadt", "", ROAD_SAID, True),
+    ("Verbotenes Kraftfahrzeugrennen", "", ROAD_SAID, True),
+    ("Fahrt ohne Versicherungsschutz", "", ROAD_SAID, True),
+    ("Fahren ohne Fahrerlaubnis", "", ROAD_SAID, True),
+    ("Betrug bei Fahrerlaubnisprüfungen", "", "Betrug", True),
+    ("Verdacht auf Verstoß gegen das Markengesetz", "", NO_CLASS, True),
+    ("Aufruf nach möglicher Freiheitsberaubung", "", "Gewalt", True),
+    ("Aufruf nach rassistischer Beleidigung", "", NO_CLASS, True),
+    ("Aufruf nach tödlicher Auseinandersetzung", "", "Gewalt", True),
+    ("Falscher Beamter entwendet Wertsachen", "Tatort: Musterstadt, Ring. Die Frau wurde in ihrer Wohnung beraubt.", "Raub", True),
+    ("Aufruf nach Hasskriminalität", "Es geht um ein Körperverletzungsdelikt.", "Gewalt", True),
+    ("Entwendete Waren gefunden", "Die Ermittlungen wegen des Verdachts der Hehlerei dauern an.", "Eigentumsdelikt", True),
+    ("Fahndung nach einem Verkehrsunfall", "Es besteht der Verdacht der fahrlässigen Körperverletzung.", ROAD_SAID, True),
+    ("Aufruf nach Auffinden eines Leichnams", "Die Mordkommission prüft den Fall.", NO_CLASS, True),
+    ("Auffinden eines Leichnams am Ufer", "Die Ursache ist offen.", NO_CLASS, False),
+    ("Aufruf nach Verkehrsunfall", "Der Fahrer hat sich unerlaubt vom Unfallort entfernt.", ROAD_SAID, True),
+    ("Autofahrer gestoppt: Fahrzeug sichergestellt", "Der Pkw wurde ohne Versicherungsschutz gefahren.", ROAD_SAID, True),
+    ("Schwerer Verkehrsunfall", "Der Fahrer ist nicht im Besitz einer gültigen Fahrerlaubnis.", ROAD_SAID, True),
+    ("Aufruf nach zwei Fällen von Hasskriminalität", "Ein Mann bedrohte den anderen.", NO_CLASS, True),
+    ("Festnahmen nach Plagiatsverkauf", "Ermittelt wird wegen des Verdachts des Betrugs.", "Betrug", True),
+    ("Produkte sichergestellt", "Es geht um den Verdacht eines Verstoßes gegen das Markengesetz.", NO_CLASS, True),
+    ("Metallspäne auf einer Radstrecke", "Räder wurden durch Metallspäne beschädigt.", "Sachbeschädigung", True),
+    ("Vermögenswerte beschlagnahmt", "Sie hat sich mittels gefälschter Nachweise einen Kredit rechtswidrig verschafft.", "Betrug", True),
+    ("Haftbefehle nach Durchsuchungen", "Sie stehen im Verdacht, mit Waffen gehandelt zu haben, gegen das Waffengesetz.", "Waffendelikt", True),
+    ("Medizinischer Notfall nach Drogenkonsum: Mann verstirbt", "Es läuft ein Todesermittlungsverfahren.", NO_CLASS, False),
+    ("Bilanz der Drogenerkennung im Straßenverkehr", "Bei der Kontrollaktion überprüften Beamte 200 Fahrzeuge. Strafverfahren folgten.", NO_CLASS, False),
+    ("Tödlicher Bahnunfall", "Ein Verfahren wegen des Verdachts des gefährlichen Eingriffs in den Bahnverkehr läuft.", ROAD_SAID, True),
+    ("Geldabholer festgenommen", "Er soll als Teil einer Betrügerbande versucht haben, Schmuck zu holen.", "Betrug", True),
+    ("Schussabgabe auf Fenster eines Hauses", "Die Fenster wurden beschädigt. Dabei wurde niemand verletzt.", "Sachbeschädigung", True),
+    ("Verdacht des illegalen Handels mit Cannabis", "Es geht um das Konsumcannabisgesetz (KCanG).", "Betäubungsmittel", True),
+    ("Kriminalstatistik 2025", "Illegaler Handel mit Cannabis floriert weiterhin.", NO_CLASS, False),
+    ("Fahrer flüchtet und verursacht einen Verkehrsunfall", "Es läuft ein Strafverfahren wegen des Verdachts mehrerer Verkehrsdelikte.", ROAD_SAID, True),
+    ("Fahrer verstirbt im Straßenverkehr", "Es kam zu einem Auffahrunfall zwischen zwei Pkw.", ROAD_SAID, False),
+    ("Verkehrssicherheitsbilanz 2025: weniger Menschen verletzt", "", NO_CLASS, False),
+    ("Hasskriminalität im Internet - Wohnungen durchsucht", "Grund ist ein Ermittlungsverfahren wegen des Verdachts der Volksverhetzung.", NO_CLASS, True),
+    ("Hasskriminalität im Internet - Hinweise", "Die Polizei gibt Hinweise zum Melden.", NO_CLASS, False),
+    ("Chemikalien sichergestellt", "Er war nicht im Besitz einer sprengstoffrechtlichen Erlaubnis; selbstgefertigte pyrotechnische Sätze lagen da.", NO_CLASS, True),
+    ("Hinweise zu Glücksspiel", "Es wurde ein Ermittlungsverfahren eingeleitet, auch wegen des Verdachts der Geldwäsche.", NO_CLASS, True),
+    ("Aufruf nach Schüssen", "Die Ermittlungen zu der Sachbeschädigung führte der Dauerdienst.", "Sachbeschädigung", True),
+    ("Eine Person bei Wohnungsbrand verletzt", "Das Feuer entstand aus noch ungeklärter Ursache.", NO_CLASS, False),
+    ("Frühjahrstagung der Arbeitsgemeinschaft der Polizeipräsidenten: Bedrohungen", "", NO_CLASS, False),
+    ("Ergebnisse einer bundesweiten Verkehrssicherheitsaktion", "Bei Kontrollen wurden 33 Strafverfahren wegen Trunkenheit im Straßenverkehr eingeleitet.", ROAD_SAID, True),
+    ("Verbundeinsatz gegen Sozialleistungsbetrug", "Es gab stationäre und mobile Verkehrskontrollen.", NO_CLASS, False),
+)
+
+
+@query(f"""SELECT doc_id, ([{', '.join(f"'{x[2]}'" for x in TOLD)}])[doc_id % {len(TOLD)} + 1] AS label, ([{', '.join(str(x[3]).lower() for x in TOLD)}])[doc_id % {len(TOLD)} + 1] AS crime FROM documents""")
 def report_categories(spark, sf_dir):
-    """Each document has one of the planted titles and says nothing in its body; the SQL has the category of each title, told by hand."""
-    title = F.element_at(F.array(*map(F.lit, TITLES)), (F.col("doc_id") % len(TITLES) + 1).cast("int"))
-    found = table(spark, sf_dir, "documents").select(reports.category(title, F.lit("")).alias("c"))
-    return found.groupBy("c.label", "c.crime").agg(F.count("*").alias("n"))
+    """Each document is the body of a report, after a planted title and first line; none of the documents' own words is one of the rules'."""
+    planted = F.element_at(F.array(*(F.struct(F.lit(t).alias("title"), F.lit(b).alias("body")) for t, b, *_ in TOLD)), (F.col("doc_id") % len(TOLD) + 1).cast("int"))
+    said = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", planted.alias("p"), F.coalesce("text", F.lit("")).alias("text"))
+    return said.select("doc_id", reports.category(F.col("p.title"), F.concat_ws("\n", "p.body", "text")).alias("c")).select("doc_id", "c.label", "c.crime")
 
 
 @query(r"""WITH s AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '(\b(?:St|Dr|Nr|bzw|ca|Str)|[0-9])\.(\s)', '\1' || chr(1) || '\2', 'g'), '([.!?])\s+', '\1' || chr(2), 'g'), chr(2)) AS parts FROM documents)
