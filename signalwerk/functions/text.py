@@ -1,5 +1,6 @@
 """Text expressions: clean-up, names, sentences, evidence quotes, addresses, digests."""
 
+import html
 import unicodedata
 
 import pandas as pd
@@ -106,11 +107,15 @@ def canonical_url(url: Column) -> Column:
     return F.when(host != "", F.concat(F.lit("https://"), host, path))
 
 
-def unescaped(html: Column) -> Column:
-    """The five named entities and non-breaking space as characters."""
-    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        html = F.replace(html, F.lit(name), F.lit(char))
-    return html
+@F.pandas_udf(StringType())
+def html_unescape(texts: pd.Series) -> pd.Series:
+    """References by name and number as characters, by the rules of HTML."""
+    return texts.map(lambda x: None if x is None else html.unescape(x))
+
+
+def unescaped(text: Column) -> Column:
+    """All character references of HTML as characters."""
+    return F.when(text.contains("&"), html_unescape(text)).otherwise(text)
 
 
 def filled(template: Column, values: Column) -> Column:

@@ -166,11 +166,6 @@ def united(by_rank: tuple[DataFrame, ...], keys: list[str]) -> DataFrame:
     return all_.groupBy(*keys).agg(F.min_by(F.struct(*rest), "source").alias("_r")).select(*keys, "_r.*")
 
 
-def canonical_json(text: Column) -> Column:
-    """A flat JSON object with its keys in order, all values as texts."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.from_json(text, "map<string,string>")))))
-
-
 def positions(coordinates: Column) -> Column:
     """All positions of the coordinates of a geometry of any type, as JSON: points, lines, rings or polygons; array of [x, y, ...]."""
     one = F.from_json(coordinates, "array<double>")

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import nested
+
 PRECISIONS = ("point", "street", "place", "address")
 
 
@@ -137,17 +139,9 @@ def exact_keys(text: Column, required: tuple[str, ...], optional: tuple[str, ...
     return F.struct(F.array_except(lit(required), keys).alias("missing"), F.array_except(keys, lit(required + optional)).alias("unknown"))
 
 
-def leaves(rows: DataFrame, key: str, text: str, depth: int = 6) -> DataFrame:
-    """Paths and scalar values of JSON documents: key, path, value. What is nested deeper than `depth` stays one JSON value."""
-    level = rows.select(key, F.lit("").alias("path"), F.try_parse_json(F.col(text)).alias("v"))
-    out = []
-    for i in range(depth + 1):
-        nested = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)") & F.lit(i < depth)
-        out.append(level.filter(~nested).select(key, "path", F.expr("cast(v as string)").alias("value")))
-        if i < depth:
-            inner = level.filter(nested).lateralJoin(level.sparkSession.tvf.variant_explode(F.col("v").outer()))
-            level = inner.select(key, F.concat("path", F.lit("/"), F.coalesce(F.col("key"), F.col("pos").cast("string"))).alias("path"), F.col("value").alias("v")) if key != "key" else inner
-    return reduce(DataFrame.unionByName, out)
+def leaves(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """Paths and scalar values of JSON documents of any depth: key, path, value."""
+    return rows.select(key, F.inline(nested.leaves(F.col(text))))
 
 
 def first_seen(rows: DataFrame, key: str, *order: str) -> DataFrame:

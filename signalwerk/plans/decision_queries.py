@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import nested
+from ..functions.text import content_hash
 from ..operators import decisions
 from .catalog import query, table
 from .function_queries import pick
@@ -150,12 +152,18 @@ def united_links(spark, sf_dir):
     return decisions.united((pair(l.filter("l_linenumber <= 2"), "geometry"), pair(l, "street")), ["event_id", "place_id"])
 
 
-@query("""SELECT event_id AS id, '{"a":"' || user_id || '","k":"' || event_id || '","z":"' || event_type || '"}' AS canonical, CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 5 END AS n FROM events""")
+@query("""SELECT event_id AS id, '{"a":' || repeat('{"a":', (event_id % 13)::INT) || CASE WHEN event_id % 2 = 0 THEN user_id::VARCHAR ELSE '"' || user_id || '"' END || repeat(',"z":[0.123457,true,null]}', (event_id % 13)::INT) || ',"k":"' || event_type || '"}' AS canonical,
+sha256('{"a":' || repeat('{"a":', (event_id % 13)::INT) || CASE WHEN event_id % 2 = 0 THEN user_id::VARCHAR ELSE '"' || user_id || '"' END || repeat(',"z":[0.123457,true,null]}', (event_id % 13)::INT) || ',"k":"' || event_type || '"}') AS digest,
+CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 5 END AS n FROM events""")
 def json_values(spark, sf_dir):
-    """One form of objects whose keys come in any order, and the positions of geometries of four depths."""
-    doc = F.concat(F.lit('{"z":"'), F.col("event_type"), F.lit('","k":'), F.col("event_id"), F.lit(',"a":'), F.col("user_id"), F.lit("}"))
-    shape = pick(("[1,2]", "[[1,2],[3,4]]", "[[[1,2],[3,4],[5,6],[1,2]]]", "[[[[1,2],[3,4]]], [[[5,6],[7,8],[9,1]]]]"), F.col("event_id"))
-    return table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), decisions.canonical_json(doc).alias("canonical"), F.size(decisions.positions(shape)).alias("n"))
+    """One form of objects up to 13 deep whose keys come in any order, with fractions rounded and geometries dropped, and its digest; the positions of geometries of four depths."""
+    e = F.col("event_id")
+    d, u = (e % 13).cast("int"), F.when(e % 2 == 0, F.col("user_id").cast("string")).otherwise(F.concat(F.lit('"'), F.col("user_id"), F.lit('"')))
+    begin, end = F.when(e % 3 == 0, '{ "z": [0.12345678, true,null], "a":').otherwise('{"a" :'), F.when(e % 3 == 0, "}").otherwise(',"location_geometry":{"a":[1]},"z":[0.12345678,true, null]}')
+    doc = F.concat(F.lit('{"k":"'), F.col("event_type"), F.lit('","a": '), F.repeat(begin, d), u, F.repeat(end, d), F.lit(',"location_geometry":1}'))
+    shape = pick(("[1,2]", "[[1,2],[3,4]]", "[[[1,2],[3,4],[5,6],[1,2]]]", "[[[[1,2],[3,4]]], [[[5,6],[7,8],[9,1]]]]"), e)
+    found = table(spark, sf_dir, "events").select(e.alias("id"), nested.canonical(doc, 6, ("location_geometry",)).alias("canonical"), F.size(decisions.positions(shape)).alias("n"))
+    return found.withColumn("digest", content_hash(F.col("canonical")))
 
 
 @query("SELECT l_orderkey AS id, arg_max(l_partkey, (l_quantity, -l_partkey)) AS part_id, max(l_quantity) AS size FROM lineitem GROUP BY 1")

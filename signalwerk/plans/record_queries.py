@@ -264,11 +264,13 @@ def audit_matches(spark, sf_dir):
     return ledgers.matched(o.drop("o_orderstatus"), o.filter("o_orderstatus = 'F'").select(F.col("id").alias("report_id"), "url", "article")).withColumn("report_id", F.coalesce("report_id", F.lit(-1)))
 
 
-@query("SELECT event_id, path, value FROM (SELECT event_id, '/k' AS path, json_extract_string(props, '$.k') AS value FROM events UNION ALL SELECT event_id, '/n/0', event_id::VARCHAR FROM events UNION ALL SELECT event_id, '/n/1/t', event_type FROM events)")
+@query("""SELECT event_id, path, value FROM (SELECT event_id, '/p/k' AS path, json_extract_string(props, '$.k') AS value FROM events UNION ALL SELECT event_id, '/n' || repeat('/x/0', (event_id % 13)::INT), event_id::VARCHAR FROM events
+UNION ALL SELECT event_id, '/t/0', event_type FROM events UNION ALL SELECT event_id, '/t/1', NULL FROM events UNION ALL SELECT event_id, '/t/2', '{}' FROM events)""")
 def json_leaves(spark, sf_dir):
-    doc = F.to_json(F.struct(F.get_json_object("props", "$.k").cast("long").alias("k"), F.array(F.col("event_id").cast("string"), F.to_json(F.struct(F.col("event_type").alias("t")))).alias("n")))
-    whole = F.regexp_replace(F.regexp_replace(doc, r'"(\{\\"t\\":\\"(\w+)\\"\})"', r'{"t":"$2"}'), r"\\", "")
-    return ledgers.leaves(table(spark, sf_dir, "events").select("event_id", whole.alias("j")), "event_id", "j")
+    """Leaves of documents up to 28 levels deep."""
+    e, d = F.col("event_id"), (F.col("event_id") % 13).cast("int")
+    doc = F.concat(F.lit('{"p":'), "props", F.lit(',"n":'), F.repeat(F.lit('{"x":['), d), e, F.repeat(F.lit("]}"), d), F.lit(',"t":["'), "event_type", F.lit('",null,{}]}'))
+    return ledgers.leaves(table(spark, sf_dir, "events").select("event_id", doc.alias("j")), "event_id", "j")
 
 
 @query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'k' ELSE '' END AS unknown, 'z' AS missing FROM events")

@@ -33,34 +33,44 @@ def newsroom_faults(spark, sf_dir):
     return sites.listing_faults(listings(spark, sf_dir), SITE).withColumn("entries", F.col("entries").cast("long"))
 
 
-@query(r"""SELECT item_id AS page_id, CASE WHEN item_id % 3 = 0 THEN 'Kurz.' ELSE trim(regexp_replace(text, '\s+', ' ', 'g')) || ' Zweiter Absatz & Schluss.' END AS body, CASE WHEN item_id % 5 = 0 THEN 'publisher' WHEN item_id % 3 = 0 THEN 'too short' END AS problem, CASE WHEN item_id % 2 = 0 THEN 'https://www.presseportal.example/blaulicht/r/' || item_id END AS next FROM benchmark""")
+@query(r"""SELECT item_id AS page_id, CASE WHEN item_id % 3 = 0 THEN 'Kurz.' ELSE trim(regexp_replace(text, '\s+', ' ', 'g')) || ' Zweiter Absatz & Küste ä – Schluss.' END AS body, CASE WHEN item_id % 5 = 0 THEN 'publisher' WHEN item_id % 3 = 0 THEN 'too short' END AS problem, CASE WHEN item_id % 2 = 0 THEN 'https://www.presseportal.example/blaulicht/r/' || item_id END AS next FROM benchmark""")
 def newsroom_articles(spark, sf_dir):
     """Articles with a teaser before the heading, contacts after the text, and a next page, which leads elsewhere from odd ones."""
     i = F.col("item_id")
-    text = F.when(i % 3 == 0, F.lit("<p>Kurz.</p>")).otherwise(F.concat(F.lit("<p>"), F.col("text"), F.lit("</p><p>Schneller informiert: hier</p><li>Zweiter <b>Absatz</b> &amp; Schluss.</li>")))
+    text = F.when(i % 3 == 0, F.lit("<p>Kurz.</p>")).otherwise(F.concat(F.lit("<p>"), F.col("text"), F.lit("</p><p>Schneller informiert: hier</p><li>Zweiter <b>Absatz</b> &amp; K&uuml;ste &#228; &ndash; Schluss.</li>")))
     html = F.concat(F.lit('<article class="story"><p>Vorab</p><p class="customer">'), F.when(i % 5 == 0, "Jemand").otherwise("Polizei Beispiel"), F.lit("</p><h1>Titel</h1>"), text, F.lit('<p class="contact-headline">Kontakt</p><p>Telefon</p></article><a class="next" href="'), F.when(i % 2 == 0, "").otherwise("https://elsewhere.example"), F.lit("/blaulicht/r/"), i, F.lit('">'))
     pages = table(spark, sf_dir, "benchmark").select(i.alias("page_id"), html.alias("html"))
     return sites.articles(pages, SITE).join(pages.select("page_id", sites.next_page(F.col("html"), SITE).alias("next")), "page_id")
 
 
-@query("SELECT event_id AS id, 3 AS n, 'Article,Person,Thing' AS types FROM events")
+@query("""SELECT event_id AS id, event_id % 14 + 3 AS n, 'Article,' || repeat('Part,', (event_id % 14)::INT) || 'Person,Thing' AS types, event_id % 14 AS deepest FROM events""")
 def linked_data(spark, sf_dir):
-    """Objects at all depths of embedded documents."""
-    doc = F.concat(F.lit('{"@type":"Article","author":[{"@type":"Person","n":'), F.col("event_id"), F.lit('}],"about":{"@type":"Thing"},"x":1}'))
-    found = sites.json_objects(table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), doc.alias("doc")), "id", "doc")
-    types = F.array_sort(F.collect_list(F.get_json_object("object", "$['@type']")))
-    return found.groupBy("id").agg(F.count("*").cast("int").alias("n"), F.array_join(types, ",").alias("types"))
+    """Objects at all depths of embedded documents, whose parts lie up to 13 objects and arrays deep."""
+    e = F.col("event_id")
+    d = (e % 14).cast("int")
+    parts = F.concat(F.array_join(F.transform(F.when(d > 0, F.sequence(F.lit(1), d)).otherwise(F.array().cast("array<int>")), lambda i: F.concat(F.lit('[{"@type":"Part","n":'), i, F.lit(',"has":'))), ""), F.lit('"]}"'), F.repeat(F.lit("}]"), d))
+    doc = F.concat(F.lit('{"@type":"Article","author":[{"@type":"Person","n":'), e, F.lit('}],"about":{"@type":"Thing"},"parts":'), parts, F.lit("}"))
+    found = sites.json_objects(table(spark, sf_dir, "events").select(e.alias("id"), doc.alias("doc")), "id", "doc")
+    kind, n = F.get_json_object("object", "$['@type']"), F.when(F.get_json_object("object", "$['@type']") == "Part", F.get_json_object("object", "$.n").cast("int"))
+    return found.groupBy("id").agg(F.count("*").cast("int").alias("n"), F.array_join(F.array_sort(F.collect_list(kind)), ",").alias("types"), F.coalesce(F.max(n), F.lit(0)).alias("deepest"))
 
 
-@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 2 THEN -1 ELSE 2 END AS n, CASE WHEN o_orderkey % 3 = 2 THEN -1 ELSE o_orderkey + 1 END AS last, CASE WHEN o_orderkey % 3 = 2 THEN 'ambiguous' END AS problem FROM orders")
+@query("""WITH o AS (SELECT o_orderkey AS id, o_orderkey % 3 = 2 AS two, (o_orderkey % 12 + 1)::INT AS d, o_clerk AS clerk FROM orders)
+SELECT id, CASE WHEN two THEN -1 ELSE 2 END AS n, CASE WHEN two THEN -1 ELSE id + 1 END AS last, CASE WHEN two THEN 'ambiguous' END AS problem, CASE WHEN NOT two THEN repeat('[', d) || '1' || repeat(']', d) END AS tags, CASE WHEN NOT two THEN clerk || '] } " "events": [ {' END AS s FROM o""".replace("o_clerk", "o_orderpriority"))
 def flight_payloads(spark, sf_dir):
-    """Events in a text that scripts push piece by piece; every third page has two arrays of them."""
-    body = F.concat(F.lit('{\\"a\\":1,\\"events\\":[{\\"id\\":'), F.col("o_orderkey"), F.lit(',\\"category\\":\\"x\\"},{\\"id\\":'))
-    rest = F.concat(F.col("o_orderkey") + 1, F.lit(',\\"category\\":\\"y\\"}]}'))
-    more = F.when(F.col("o_orderkey") % 3 == 2, F.lit('<script>self.__next_f.push([1,"{\\"events\\":[{\\"id\\":1,\\"category\\":\\"z\\"}]}"])</script>')).when(F.col("o_orderkey") % 3 == 1, F.lit('<script>self.__next_f.push([1,"{\\"events\\":[]}"])</script>')).otherwise("")
-    html = F.concat(F.lit('<script>other()</script><script>self.__next_f.push([0])</script><script>self.__next_f.push([1,"'), body, F.lit('"])</script><script> self.__next_f.push([1,"'), rest, F.lit('"]) </script>'), more)
-    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), sites.flight_events(html, "id:long,category:string").alias("f"))
-    return rows.select("id", F.when(F.col("f.events").isNotNull(), F.size("f.events")).otherwise(-1).alias("n"), F.coalesce(F.element_at("f.events", -1)["id"], F.lit(-1)).alias("last"), "f.problem")
+    """Events in a text that scripts push in two pieces: arrays inside of growing depth, brackets, quotes and marks in strings. Every third page has two arrays of events, one of other objects follows on others, and some end in the middle of one."""
+    k = F.col("o_orderkey")
+    tags = F.concat(F.repeat(F.lit("["), (k % 12 + 1).cast("int")), F.lit("1"), F.repeat(F.lit("]"), (k % 12 + 1).cast("int")))
+    event = lambda ident: F.concat(F.lit('{"id":'), ident, F.lit(',"category":"x","tags":'), tags, F.lit(',"s":"'), F.col("o_orderpriority"), F.lit('] } \\" \\"events\\": [ {"}'))
+    more = F.when(k % 3 == 2, ',{"events":[{"id":1,"category":"z","tags":0,"s":""}]}').when(k % 3 == 1, ',{"events":[{"id":9}]},{"events":[]}').otherwise("")
+    flight = F.concat(F.lit('{"a":1,"events": ['), event(k), F.lit(","), event(k + 1), F.lit("]}"), more, F.when(k % 5 == 0, ',{"events":[{"id":1').otherwise(""))
+    quoted = lambda x: F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    cut = (k % 90 + 5).cast("int")
+    push = lambda x: F.concat(F.lit('<script> self.__next_f.push([1,"'), quoted(x), F.lit('"])</script>'))
+    html = F.concat(F.lit("<script>other()</script><script>self.__next_f.push([0])</script>"), push(F.substr(flight, F.lit(1), cut)), push(F.substr(flight, cut + 1, F.length(flight))))
+    rows = table(spark, sf_dir, "orders").select(k.alias("id"), sites.flight_events(html, "id:long,category:string,tags:string,s:string").alias("f"))
+    last = F.element_at("f.events", -1)
+    return rows.select("id", F.when(F.col("f.events").isNotNull(), F.size("f.events")).otherwise(-1).alias("n"), F.coalesce(last["id"], F.lit(-1)).alias("last"), "f.problem", last["tags"].alias("tags"), last["s"].alias("s"))
 
 
 @query("SELECT 'count' AS fault, event_type AS value FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1) WHERE n % 2 = 1 UNION ALL SELECT 'half a place', event_id::VARCHAR FROM events WHERE event_id % 17 = 0 UNION ALL SELECT 'repeated id', event_id::VARCHAR FROM events WHERE event_id % 50 = 1")
@@ -87,13 +97,20 @@ def resumed_ingest(spark, sf_dir):
     return sites.cursors_after(taken).join(taken.groupBy("file").agg(F.count("*").alias("n")), "file").select("file", "done", "n")
 
 
-@query("SELECT item_id, CASE item_id % 5 WHEN 0 THEN 'Kopf a < b' WHEN 1 THEN 'T1 D & 1' WHEN 2 THEN 'Guten Tag' WHEN 3 THEN 'x y' END AS text, item_id % 5 <> 4 AS readable FROM benchmark")
+@query(r"""WITH d AS (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) AS t FROM documents)
+SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN trim('Kopf – a < b ' || t) WHEN 1 THEN trim('T1 D & ' || t) WHEN 2 THEN trim('Guten Tag ' || t) WHEN 3 THEN t WHEN 4 THEN t WHEN 5 THEN trim('Grüße ' || trim(t || ' und dies')) WHEN 7 THEN trim('x ' || t) END AS text, doc_id % 8 <> 6 AS readable FROM d""")
 def document_texts(spark, sf_dir):
-    """What can be read in documents of four kinds, and in one of none."""
-    i = F.col("item_id")
-    content = pick(("<h1>Kopf</h1><script>no()</script> a &lt; b", "<rss><title>T1</title><link>l</link><description>D &amp; 1</description></rss>", "From: a\nTo: b\n\nGuten\n  Tag\n", " x \n y ", "%PDF"), i)
-    text = sites.document_text(pick(("html", "rss", "eml", "txt", "pdf"), i), content)
-    return table(spark, sf_dir, "benchmark").select("item_id", text.alias("text"), text.isNotNull().alias("readable"))
+    """Texts as pages, feeds, mails in four encodings, one mail without a date, and plain files."""
+    i, t = F.col("doc_id"), F.coalesce("text", F.lit(""))
+    marked = F.replace(F.replace(F.replace(t, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("ü"), F.lit("&uuml;"))
+    head, kind = "From: a@x.example\nDate: Mon, 1 Jan 2024 10:00:00 +0100\n", "Content-Type: text/plain; charset=utf-8\n"
+    base64 = F.concat(F.lit(f"{kind}Content-Transfer-Encoding: base64\n\n"), F.base64(F.encode(t, "utf-8")), F.lit("\n"))
+    printable = F.concat(F.lit(f"{kind}Content-Transfer-Encoding: quoted-printable\n\n"), F.regexp_replace(F.hex(F.encode(t, "utf-8")), "(..)", "=$1"), F.lit("\n"))
+    part = "--cut\n"
+    parts = F.concat(F.lit(f'{head}Content-Type: multipart/mixed; boundary="cut"\n\n{part}Content-Type: text/plain; charset=iso-8859-1\nContent-Transfer-Encoding: quoted-printable\n\nGr=FC=DFe\n{part}'), base64, F.lit(f"{part}Content-Type: text/html\n\n<style>b</style><p>und&nbsp;<b>dies</b>\n{part}Content-Disposition: attachment; filename=a.txt\n{kind}\nnicht dies\n--cut--\n"))
+    content = pick((F.concat(F.lit("<h1>Kopf</h1><script>no()</script> &ndash; a &lt; b "), marked), F.concat(F.lit("<rss><title>T1</title><link>l</link><description>D &amp; "), marked, F.lit("</description></rss>")), F.concat(F.lit(f"{head}{kind}\nGuten\n  Tag\n"), t), F.concat(F.lit(head), base64), F.concat(F.lit(head), printable), parts, F.concat(F.lit("From: a\n\n"), t), F.concat(F.lit(" x \n"), t)), i)
+    text = sites.document_text(pick(("html", "rss", "eml", "eml", "eml", "eml", "eml", "txt"), i), content)
+    return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), text.isNotNull().alias("readable"))
 
 
 @query("SELECT doc_id::VARCHAR AS id, 'https://x.example/' || doc_id AS url, text IS NOT NULL AND doc_id % 9 <> 0 AS body_holds FROM documents")

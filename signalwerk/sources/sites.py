@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.nested import objects, values_after
 from ..functions.text import collapsed, content_hash, unescaped
+from .mails import mail_text
 
 
 @dataclass(frozen=True)
@@ -47,8 +49,12 @@ PRESS_PORTAL = Site(
 )
 
 
+def tagless(html: Column) -> Column:
+    return collapsed(F.regexp_replace(html, "(?s)<[^>]*>", " "))
+
+
 def visible(html: Column) -> Column:
-    return collapsed(unescaped(F.regexp_replace(html, "(?s)<[^>]*>", " ")))
+    return collapsed(unescaped(tagless(html)))
 
 
 def absolute(url: Column, origin: str) -> Column:
@@ -76,9 +82,9 @@ def listing_faults(pages: DataFrame, site: Site) -> DataFrame:
 
 def articles(pages: DataFrame, site: Site) -> DataFrame:
     """Articles (page_id, html): page_id, body, problem (null if publisher and length are right)."""
-    text = F.transform(F.regexp_extract_all(F.regexp_replace(F.regexp_extract("html", "(?s)<h1.*", 0), site.stop, ""), F.lit(site.text), F.lit(1)), visible)
+    text = F.transform(F.regexp_extract_all(F.regexp_replace(F.regexp_extract("html", "(?s)<h1.*", 0), site.stop, ""), F.lit(site.text), F.lit(1)), tagless)
     kept = F.filter(text, lambda t: (t != "") & ~(t.startswith(site.skip) if site.skip else F.lit(False)))
-    rows = pages.select("page_id", F.array_join(kept, " ").alias("body"), visible(F.regexp_extract("html", site.publisher, 1)).alias("by"))
+    rows = pages.select("page_id", collapsed(unescaped(F.array_join(kept, " "))).alias("body"), visible(F.regexp_extract("html", site.publisher, 1)).alias("by"))
     problem = F.when(F.col("by") != site.publisher_name, "publisher").when(F.length("body") < site.least, "too short")
     return rows.select("page_id", "body", problem.alias("problem"))
 
@@ -89,27 +95,21 @@ def next_page(html: Column, site: Site) -> Column:
     return F.when(found != "", absolute(found, site.origin))
 
 
-def json_objects(rows: DataFrame, key: str, text: str, depth: int = 5) -> DataFrame:
-    """All objects inside JSON documents, themselves too: key, object (as JSON), a row each. Deeper ones than `depth` stay inside the others."""
-    level = rows.select(key, F.try_parse_json(F.col(text)).alias("v"))
-    out = None
-    for i in range(depth + 1):
-        kind = F.schema_of_variant("v")
-        found = level.filter(kind.startswith("OBJECT")).select(key, F.to_json("v").alias("object"))
-        out = found if out is None else out.unionByName(found)
-        if i < depth:
-            inner = level.filter(kind.rlike("^(OBJECT|ARRAY)"))
-            level = inner.lateralJoin(inner.sparkSession.tvf.variant_explode(F.col("v").outer())).select(F.col(key), F.col("value").alias("w")).withColumnRenamed("w", "v")
-    return out
+def json_objects(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """All objects inside JSON documents, themselves too, at any depth: key, object (as JSON), a row each."""
+    return rows.select(key, F.explode(objects(F.col(text))).alias("object"))
 
 
 def flight_events(html: Column, event: str) -> Column:
-    """struct(events, problem) from a page whose scripts push pieces of one text: the array after "events": in the joined pieces, if just one is not empty."""
+    """struct(events, problem) from a page whose scripts push pieces of one text: the array after "events": in the joined pieces whose
+    items are all objects with the keys of `event`, if just one array is not empty. Arrays may hold others and strings any bracket or quote."""
     pushed = F.regexp_extract_all(html, F.lit(r"(?s)<script>\s*self\.__next_f\.push\((\[1,.*?\])\)\s*</script>"), F.lit(1))
     text = F.array_join(F.transform(pushed, lambda p: F.coalesce(F.get(F.from_json(p, "array<string>"), F.lit(1)), F.lit(""))), "")
-    parts = F.slice(F.split(text, '"events":'), 2, 1_000_000)
-    arrays = F.filter(F.transform(parts, lambda p: F.from_json(F.regexp_extract(p, r"(?s)^\s*(\[.*?\])(?:[,}]|$)", 1), f"array<struct<{event}>>")), lambda a: a.isNotNull() & (F.size(a) > 0))
-    return F.struct(F.when(F.size(arrays) == 1, arrays[0]).alias("events"), F.when(F.size(arrays) == 0, "no events").when(F.size(arrays) > 1, "ambiguous").alias("problem"))
+    keys = F.array(*(F.lit(x.split(":")[0].strip()) for x in event.split(",")))
+    whole = lambda o: F.size(F.array_except(keys, F.coalesce(F.json_object_keys(o), F.array().cast("array<string>")))) == 0
+    found = F.filter(values_after(text, '"events":'), lambda a: F.coalesce((F.size(F.from_json(a, "array<string>")) > 0) & F.forall(F.from_json(a, "array<string>"), whole), F.lit(False)))
+    events = F.when(F.size(found) == 1, F.from_json(F.get(found, F.lit(0)), f"array<struct<{event}>>"))
+    return F.struct(events.alias("events"), F.when(F.size(found) == 0, "no events").when(F.size(found) > 1, "ambiguous").alias("problem"))
 
 
 def entry_faults(entries: DataFrame, declared: DataFrame) -> DataFrame:
@@ -126,11 +126,13 @@ def entry_faults(entries: DataFrame, declared: DataFrame) -> DataFrame:
 def resumed(lines: DataFrame, cursors: DataFrame, limit: int = 100) -> DataFrame:
     """Lines (file, sha, line_no from 1, value) that come next, at most `limit` of a file: after the cursor (file, sha, done), or from the start if the file is another.
 
-    Blank lines are skipped. The limit is the size of a run, not of the data: the next run goes on behind it."""
+    Blank lines are skipped. The limit, 1 to 100, is the size of a run, not of the data: the next run goes on behind it."""
+    if not 1 <= limit <= 100:
+        raise ValueError(f"a run takes 1 to 100 lines, not {limit}")
     c = cursors.select("file", F.col("sha").alias("_sha"), "done")
     rows = lines.filter(F.trim("value") != "").join(c, "file", "left")
     rows = rows.filter(F.col("line_no") > F.when(F.col("sha") == F.col("_sha"), F.col("done")).otherwise(0))
-    return rows.withColumn("_r", F.row_number().over(Window.partitionBy("file").orderBy("line_no"))).filter(F.col("_r") <= min(max(limit, 1), 100)).select("file", "sha", "line_no", "value")
+    return rows.withColumn("_r", F.row_number().over(Window.partitionBy("file").orderBy("line_no"))).filter(F.col("_r") <= limit).select("file", "sha", "line_no", "value")
 
 
 def cursors_after(taken: DataFrame) -> DataFrame:
@@ -139,10 +141,10 @@ def cursors_after(taken: DataFrame) -> DataFrame:
 
 
 def document_text(kind: Column, content: Column) -> Column:
-    """Visible text of a local document: html without tags, the titles and descriptions of rss, the body of an e-mail, plain text; null for other kinds."""
+    """Visible text of a local document: html without tags, the titles and descriptions of rss, the readable parts of an e-mail, plain text; null for other kinds and mails that can't be read."""
     items = F.regexp_extract_all(content, F.lit(r"(?s)<(?:title|description)>(.*?)</(?:title|description)>"), F.lit(1))
     html = F.regexp_replace(content, r"(?s)<(script|style)\b.*?</\1>", " ")
-    return F.when(kind == "html", visible(html)).when(kind == "rss", visible(F.array_join(items, " "))).when(kind == "eml", collapsed(F.regexp_extract(content, r"(?s)^.*?\r?\n\r?\n(.*)$", 1))).when(kind == "txt", collapsed(content))
+    return F.when(kind == "html", visible(html)).when(kind == "rss", visible(F.array_join(items, " "))).when(kind == "eml", collapsed(mail_text(F.when(kind == "eml", content)))).when(kind == "txt", collapsed(content))
 
 
 def checkpoint(rows: DataFrame) -> DataFrame:
