@@ -1,4 +1,4 @@
-"""Points and roads against areas, and the products of tiles. Every tenth event is also an area in the form of an L around it."""
+"""Points, roads and scenes against areas, and the products of tiles. Every tenth event is also an area: an L around it with a hole in one arm, and a square beside it."""
 
 from __future__ import annotations
 
@@ -7,61 +7,81 @@ from pyspark.sql import functions as F
 from ..functions import geo, shapes
 from ..operators import geometry_decisions, places, roads, spatial
 from ..plans import publish
-from ..scratch import folder
+from ..scratch import folder, stored
 from .catalog import POINTS_SQL, announcements, query, table
 from .geometry_queries import SEGMENTS_SQL, segments
 
 L = ((-300, -300), (300, -300), (300, 0), (0, 0), (0, 300), (-300, 300), (-300, -300))
 AREAS_SQL = "areas AS (SELECT id AS area_id, category AS name, user_id % 5 AS kind, x + 17.3 AS cx, y + 11.7 AS cy FROM points WHERE id % 10 = 0)"
-IN_L = "abs(x - cx) < 300 AND abs(y - cy) < 300 AND NOT (x > cx AND y > cy)"
+HOLE, SQUARE = ((-170, -170), (-130, -170), (-130, -130), (-170, -130), (-170, -170)), ((400, 400), (460, 400), (460, 460), (400, 460), (400, 400))
+IN_L = "(abs(x - cx) < 300 AND abs(y - cy) < 300 AND NOT (x > cx AND y > cy) AND NOT (abs(x - cx + 150) < 20 AND abs(y - cy + 150) < 20) OR abs(x - cx - 430) < 30 AND abs(y - cy - 430) < 30)"
 
 
 def areas(spark, sf_dir):
     a = announcements(spark, sf_dir).filter("id % 10 = 0")
-    ring = F.array(*(shapes.point(F.col("x") + 17.3 + dx, F.col("y") + 11.7 + dy) for dx, dy in L))
-    return a.select(F.col("id").alias("area_id"), F.col("category").alias("name"), (F.col("user_id") % 5).alias("kind"), ring.alias("ring"))
+    ring = lambda corners: F.array(*(shapes.point(F.col("x") + 17.3 + dx, F.col("y") + 11.7 + dy) for dx, dy in corners))
+    return a.select(F.col("id").alias("area_id"), F.col("category").alias("name"), (F.col("user_id") % 5).alias("kind"), ring(L).alias("ring"), F.array(F.array(ring(L), ring(HOLE)), F.array(ring(SQUARE))).alias("shape"))
 
 
 @query(f"WITH {POINTS_SQL}, {AREAS_SQL} SELECT area_id, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM points JOIN areas ON category = name AND user_id % 5 = kind AND {IN_L} GROUP BY 1")
 def nodes_in_areas(spark, sf_dir):
     """Nodes in areas of the same name and kind, which take them in."""
     a = announcements(spark, sf_dir).select("id", F.col("category").alias("name"), (F.col("user_id") % 5).alias("kind"), "x", "y")
-    return spatial.points_in_areas(a, areas(spark, sf_dir), same=("name", "kind")).groupBy("area_id").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+    return spatial.points_in_areas(a, areas(spark, sf_dir).drop("ring"), "area_id", same=("name", "kind")).groupBy("area_id").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
 
 
 @query(f"""WITH {POINTS_SQL}, {AREAS_SQL} SELECT id, count(*) AS n, min(area_id) AS first_place FROM points JOIN areas ON {IN_L} AND area_id % 30 <> 0 AND (category = name OR name = 'view') GROUP BY 1""")
 def place_links(spark, sf_dir):
     """Events in the shapes of places of the kinds that they mention; every third place has no footprint."""
     e = announcements(spark, sf_dir).select("id", "x", "y", F.array(F.col("category"), F.lit("view")).alias("kinds"))
-    p = areas(spark, sf_dir).select(F.col("area_id").alias("place_id"), F.col("name").alias("kind"), "ring", F.when(F.col("area_id") % 30 == 0, "footprint_missing").otherwise("osm_area").alias("mode"))
+    p = areas(spark, sf_dir).select(F.col("area_id").alias("place_id"), F.col("name").alias("kind"), "shape", F.when(F.col("area_id") % 30 == 0, "footprint_missing").otherwise("osm_area").alias("mode"))
     return spatial.associated(e, p).groupBy("id").agg(F.count("*").alias("n"), F.min("place_id").alias("first_place"))
 
 
 RECT = "greatest(greatest(cx + {0} - x, x - cx - {1}), 0) ^ 2 + greatest(greatest(cy + {2} - y, y - cy - {3}), 0) ^ 2"
-NEAR_L = f"least({RECT.format(-300, 300, -300, 0)}, {RECT.format(-300, 0, -300, 300)})"
+NEAR_L = f"least({RECT.format(-300, 300, -300, 0)}, {RECT.format(-300, 0, -300, 300)}, {RECT.format(400, 460, 400, 460)})"  # the hole is 40 m wide, so all of it is near
 
 
 @query(f"WITH {POINTS_SQL}, {AREAS_SQL} SELECT area_id, count(*) AS n, min(id) AS first_id FROM points JOIN areas ON {NEAR_L} <= 900 GROUP BY 1")
 def near_areas(spark, sf_dir):
-    """Points in areas or at most 30 m outside."""
-    found = spatial.points_in_areas(announcements(spark, sf_dir).select("id", "x", "y"), areas(spark, sf_dir).select("area_id", "ring"), radius=30.0)
+    """Points in areas or at most 30 m from them."""
+    found = spatial.points_in_areas(announcements(spark, sf_dir).select("id", "x", "y"), areas(spark, sf_dir).select("area_id", "shape"), "area_id", radius=30.0)
     return found.groupBy("area_id").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
 
 
 SPAN = "greatest(0, CASE WHEN dx > 0 THEN ({0} - ax) / dx WHEN dx < 0 THEN ({1} - ax) / dx WHEN ax < {0} OR ax > {1} THEN 2 ELSE 0 END, CASE WHEN dy > 0 THEN ({2} - ay) / dy WHEN dy < 0 THEN ({3} - ay) / dy WHEN ay < {2} OR ay > {3} THEN 2 ELSE 0 END) AS s{4}, least(1, CASE WHEN dx > 0 THEN ({1} - ax) / dx WHEN dx < 0 THEN ({0} - ax) / dx ELSE 1 END, CASE WHEN dy > 0 THEN ({3} - ay) / dy WHEN dy < 0 THEN ({2} - ay) / dy ELSE 1 END) AS e{4}"
-INSIDE_SQL = f"""{SEGMENTS_SQL}, {AREAS_SQL}, pairs AS (SELECT s.id, s.name, ax, ay, bx - ax AS dx, by_ - ay AS dy, area_id, cx, cy FROM segments s JOIN areas ON abs((ax + bx) / 2 - cx) <= 600 AND abs((ay + by_) / 2 - cy) <= 700 WHERE ax <> bx OR ay <> by_),
-two AS (SELECT *, {SPAN.format('cx - 300', 'cx + 300', 'cy - 300', 'cy', 1)}, {SPAN.format('cx - 300', 'cx', 'cy', 'cy + 300', 2)} FROM pairs),
-held AS (SELECT *, sqrt(dx * dx + dy * dy) * (greatest(e1 - s1, 0) + greatest(e2 - s2, 0)) AS metres, greatest(e1 - s1, 0) + greatest(e2 - s2, 0) AS share FROM two)"""
+INSIDE_SQL = f"""{SEGMENTS_SQL}, {AREAS_SQL}, pairs AS (SELECT s.id, s.name, ax, ay, bx - ax AS dx, by_ - ay AS dy, area_id, cx, cy FROM segments s JOIN areas ON abs((ax + bx) / 2 - cx) <= 800 AND abs((ay + by_) / 2 - cy) <= 900 WHERE ax <> bx OR ay <> by_),
+two AS (SELECT *, {SPAN.format('cx - 300', 'cx + 300', 'cy - 300', 'cy', 1)}, {SPAN.format('cx - 300', 'cx', 'cy', 'cy + 300', 2)}, {SPAN.format('cx - 170', 'cx - 130', 'cy - 170', 'cy - 130', 3)}, {SPAN.format('cx + 400', 'cx + 460', 'cy + 400', 'cy + 460', 4)} FROM pairs),
+shares AS (SELECT *, greatest(e1 - s1, 0) + greatest(e2 - s2, 0) - greatest(e3 - s3, 0) + greatest(e4 - s4, 0) AS share FROM two), held AS (SELECT *, sqrt(dx * dx + dy * dy) * share AS metres FROM shares)"""
 
 
 @query(f"WITH {INSIDE_SQL} SELECT area_id, count(*) AS n, round(sum(metres), 2) AS metres, count_if(share >= 1 - 1e-8)::BIGINT AS covered FROM held WHERE share > 1e-9 GROUP BY 1")
 def clipped_to_areas(spark, sf_dir):
-    """Road pieces in areas that are not convex: how many, how long, how many lie in them whole."""
+    """Road pieces in areas that have holes and several parts: how many, how long, how many lie in them whole."""
     found = spatial.clipped(segments(spark, sf_dir), areas(spark, sf_dir)).filter("share > 1e-9")
     metres = F.col("share") * shapes.between(F.col("a"), F.col("b"))
     return found.groupBy("area_id").agg(F.count("*").alias("n"), F.round(F.sum(metres), 2).alias("metres"), F.count_if(spatial.is_covered(F.col("share"))).alias("covered"))
 
 
+GAP = "greatest(greatest(cx + {0} - x - hx, x - hx - cx - {1}), 0) ^ 2 + greatest(greatest(cy + {2} - y - hy, y - hy - cy - {3}), 0) ^ 2"
+SCENES_SQL = f"""{POINTS_SQL}, {AREAS_SQL}, scenes AS (SELECT id, id % 3 AS dimension, x, y, CASE id % 3 WHEN 0 THEN 0 WHEN 1 THEN 60 ELSE 40 END AS hx, CASE id % 3 WHEN 2 THEN 25 ELSE 0 END AS hy FROM points WHERE id % 7 = 0),
+gaps AS (SELECT id, dimension, area_id, least({GAP.format(-300, 300, -300, 0)}, {GAP.format(-300, 0, -300, 300)}, {GAP.format(400, 460, 400, 460)}) AS gap, dimension = 0 AND abs(x - cx + 150) < 20 AND abs(y - cy + 150) < 20 AS in_hole FROM scenes JOIN areas ON abs(x - cx) < 700 AND abs(y - cy) < 700)"""
+
+
+@query(f"WITH {SCENES_SQL} SELECT 'along' AS scope, dimension, area_id, count(*) AS n, min(id) AS first_id FROM gaps WHERE gap = 0 AND NOT in_hole GROUP BY ALL UNION ALL SELECT 'near', dimension, area_id, count(*), min(id) FROM gaps WHERE gap <= 3600 GROUP BY ALL")
+def scene_contexts(spark, sf_dir):
+    """Scenes that are places, lines of 120 m or areas of 80 by 50 m: the areas that they meet, and those at most 60 m away."""
+    e = announcements(spark, sf_dir).filter("id % 7 = 0")
+    at = lambda dx, dy: shapes.point(F.col("x") + dx, F.col("y") + dy)
+    line, ring = F.array(at(-60, 0), at(60, 0)), F.array(*(at(dx, dy) for dx, dy in ((-40, -25), (40, -25), (40, 25), (-40, 25), (-40, -25))))
+    kind = (F.col("id") % 3).cast("int")
+    scenes = stored(e.select(F.col("id").alias("left_id"), kind.alias("dimension"), spatial.polygon(F.when(kind == 0, F.array(at(0, 0))).when(kind == 1, line).otherwise(ring)).alias("shape")), "scenes")
+    places = areas(spark, sf_dir).select(F.col("area_id").alias("right_id"), F.lit(2).alias("dimension"), "shape")
+    found = spatial.within(scenes, places).withColumn("scope", F.lit("along")).unionByName(spatial.within(scenes, places, 60.0).withColumn("scope", F.lit("near")))
+    of = found.join(scenes.select("left_id", F.col("dimension").cast("long").alias("dimension")), "left_id")
+    return of.groupBy("scope", "dimension", F.col("right_id").alias("area_id")).agg(F.count("*").alias("n"), F.min("left_id").alias("first_id"))
+
+
 @query(f"WITH {POINTS_SQL}, {AREAS_SQL} SELECT area_id, round(cx, 4) AS x, round(cy - 150, 4) AS y, 270000.0::DOUBLE AS area FROM areas")
 def inner_points(spark, sf_dir):
     p = spatial.inner_point(F.col("ring"))
