@@ -10,6 +10,7 @@ import numpy as np
 
 POINT, LINE, AREA = 0, 1, 2
 BLOCK = 2_000_000
+SNAP = 2.0**-20  # a thousandth of a millimetre
 
 
 def edges(shape: list) -> np.ndarray:
@@ -183,26 +184,24 @@ def split(e: np.ndarray, snap: float) -> np.ndarray:
     return np.unique(both, axis=0)
 
 
-def overlay(shapes: list[list], operation: str) -> list:
+def overlay(shapes: list[list], operation: str, snap: float = SNAP) -> list:
     """Polygons of the union, intersection or symmetric difference of areas, or the difference of the first and all others.
 
     All edges are cut where they meet; a piece bounds the result if just one of its sides lies in it. Pieces are joined to rings with the
-    result on their left, and holes go to the smallest ring around them. Outer rings run counter-clockwise."""
+    result on their left, and holes go to the smallest ring around them. Outer rings run counter-clockwise. Corners lie on a grid of `snap`, so results
+    can be combined again without slivers."""
     each = [edges(s) for s in shapes]
     e = np.concatenate(each) if each else np.zeros((0, 4))
     if not len(e):
         return []
-    base = e.reshape(-1, 2).min(0)
-    extent = float((e.reshape(-1, 2) - base).max()) or 1.0
-    snap = extent * 2.0**-34
+    base = np.floor(e.reshape(-1, 2).min(0))
     each = [x - np.tile(base, 2) for x in each]
     grid = split(np.concatenate(each), snap)
     if not len(grid):
         return []
     pieces = grid * snap
     middle, way = (pieces[:, :2] + pieces[:, 2:]) / 2, pieces[:, 2:] - pieces[:, :2]
-    size = np.sqrt((way * way).sum(1))
-    off = np.stack((-way[:, 1], way[:, 0]), 1) / size[:, None] * np.minimum(size, extent * 1e-3)[:, None] * 1e-4
+    off = np.stack((-way[:, 1], way[:, 0]), 1) / np.sqrt((way * way).sum(1))[:, None] * 4 * snap
     rule = {"union": lambda x: x.any(0), "intersection": lambda x: x.all(0), "difference": lambda x: x[0] & ~x[1:].any(0), "symmetric": lambda x: x.sum(0) % 2 == 1}[operation]
     left, right = (rule(np.stack([contains(x, middle + s * off) for x in each])) for s in (1, -1))
     directed = np.concatenate((grid[left & ~right], grid[right & ~left][:, [2, 3, 0, 1]]))
@@ -211,13 +210,13 @@ def overlay(shapes: list[list], operation: str) -> list:
     for ring in rings:
         xy = ring * snap + base
         area = signed_area(xy)
-        if abs(area) > (extent * 1e-8) ** 2:
+        if area:
             (outer if area > 0 else holes).append((abs(area), xy))
     outer.sort(key=lambda r: (r[0], r[1].tolist()))
     found = [[xy] for _, xy in outer]
     for _, hole in sorted(holes, key=lambda r: r[0]):
-        spot = (hole[0] + hole[1]) / 2
-        inward = np.array([-(hole[1] - hole[0])[1], (hole[1] - hole[0])[0]]) * 1e-6
+        way = hole[1] - hole[0]
+        spot, inward = (hole[0] + hole[1]) / 2, np.array([-way[1], way[0]]) / np.hypot(*way) * snap
         for polygon in found:
             if contains(edges([[polygon[0]]]), (spot + inward)[None])[0]:
                 polygon.append(hole)
@@ -265,13 +264,12 @@ def area_of(polygons: list) -> float:
     return sum(abs(signed_area(np.asarray(p[0], float))) - sum(abs(signed_area(np.asarray(h, float))) for h in p[1:]) for p in polygons)
 
 
-def noded(lines: list) -> list:
+def noded(lines: list, snap: float = SNAP) -> list:
     """Lines cut wherever they meet, pieces that several have once, and joined again where just two pieces meet."""
     e = edges([lines])
     if not len(e):
         return []
-    base = e.reshape(-1, 2).min(0)
-    snap = (float((e.reshape(-1, 2) - base).max()) or 1.0) * 2.0**-34
+    base = np.floor(e.reshape(-1, 2).min(0))
     grid = split(e - np.tile(base, 2), snap)
     ends: dict[tuple, list[int]] = {}
     for i, (a, b, c, d) in enumerate(grid.tolist()):
