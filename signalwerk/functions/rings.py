@@ -256,7 +256,8 @@ def joined(directed: np.ndarray) -> list[np.ndarray]:
         bend = cross((b - a).astype(float), (c - b).astype(float)) != 0
         if bend.sum() >= 3:
             xy = np.concatenate((xy[:-1][bend], xy[:-1][bend][:1]))
-        rings.append(xy)
+        first = np.lexsort((xy[:-1, 1], xy[:-1, 0]))[0]  # the leftmost corner, so equal rings are equal
+        rings.append(np.concatenate((xy[first:-1], xy[: first + 1])))
     return rings
 
 

@@ -224,7 +224,12 @@ def geodesic(lon_a: pd.Series, lat_a: pd.Series, lon_b: pd.Series, lat_b: pd.Ser
 
 @F.pandas_udf(LINE)
 def geodesic_circle(lon: pd.Series, lat: pd.Series, metres: pd.Series) -> pd.Series:
-    """A closed ring of 720 places at a geodesic distance around each place, from the north clockwise, by Vincenty's direct series."""
+    """A closed ring of 720 places at a geodesic distance around each place, from the north clockwise, by Vincenty's direct series. Null where anything is null."""
+    out = pd.Series([None] * len(lon), dtype=object)
+    some = (lon.notna() & lat.notna() & metres.notna()).to_numpy()
+    if not some.any():
+        return out
+    whole, lon, lat, metres = out, lon[some], lat[some], metres[some]
     turn = np.radians(np.arange(720) / 2)
     u1 = np.arctan(np.tan(np.radians(lat.to_numpy(float))) * (1 - FLAT))[:, None]
     sin_turn, cos_turn = np.sin(turn)[None], np.cos(turn)[None]
@@ -245,7 +250,9 @@ def geodesic_circle(lon: pd.Series, lat: pd.Series, metres: pd.Series) -> pd.Ser
     k = FLAT / 16 * c2a * (4 + FLAT * (4 - 3 * c2a))
     x = lam - (1 - k) * FLAT * sa * (sigma + k * s * (m + k * c * (2 * m * m - 1)))
     xs, ys = lon.to_numpy(float)[:, None] + np.degrees(x), np.degrees(y)
-    return pd.Series([[{"x": a, "y": b} for a, b in zip([*p, p[0]], [*q, q[0]], strict=True)] for p, q in zip(xs.tolist(), ys.tolist(), strict=True)])
+    for i, p, q in zip(np.flatnonzero(some).tolist(), xs.tolist(), ys.tolist(), strict=True):
+        whole[i] = [{"x": a, "y": b} for a, b in zip([*p, p[0]], [*q, q[0]], strict=True)]
+    return whole
 
 
 def tile_pixels(lat: Column, metres: float = 50.0) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import shapes
-from . import spatial
+from . import overlays, spatial
 
 # The methods, by what is derived.
 FAMILIES = {
@@ -61,11 +61,21 @@ def crossings(lines: Column) -> Column:
     return shapes.let(each, of)
 
 
+def united(rows: DataFrame) -> DataFrame:
+    """id, _union of decisions (id, family, o) on two areas or lines or more: rings or lines of their union; of none whose objects don't fit."""
+    shape = F.transform("o", lambda x: F.array(F.array(x["points"])))
+    each = rows.filter(F.size("o") > 1).select("id", "family", "o", shape.alias("shapes"))
+    fit = lambda name, dimension: each.filter((F.col("family") == name) & F.forall("o", lambda x: x["points"].isNotNull() & (x["dimension"] == dimension)))
+    both = overlays.combined(fit("polygons", 2), ["id"], "union").unionByName(overlays.combined(fit("lines", 1), ["id"], "lines"))
+    return both.select("id", F.flatten("shape").alias("_union"))
+
+
 def compiled(decisions: DataFrame, objects: DataFrame) -> DataFrame:
     """Decisions (id, method, object_ids, start, end, radius) on objects (object_id, dimension, points): id, method, family, parts, usage, counts, problem.
 
-    parts is an array of arrays of points: a point or ring or line each. start and end are vertices of a segment's line. A decision has few
-    objects, so they meet in its row. With a problem there are no parts.
+    parts is an array of arrays of points: a point or ring or line each; of several areas or lines, those of their union. start and end are vertices
+    of a segment's line. Points of circles are longitude and latitude. A decision has few objects, so they meet in its row; ids are unique. With a
+    problem there are no parts.
     """
     asked = decisions.select("id", F.explode_outer(F.array_distinct("object_ids")).alias("object_id"))
     found = asked.join(objects, "object_id", "left").filter("object_id is not null")
@@ -81,16 +91,17 @@ def compiled(decisions: DataFrame, objects: DataFrame) -> DataFrame:
     rows = rows.withColumn("_f", F.col("family"))
     rows = rows.select("*", F.explode_outer(F.array(F.when(F.col("_f") == "crossing", crossings(points(1))))).alias("_crossed")).drop("_f")
     crossed = F.coalesce("_crossed", F.array().cast(shapes.LINE))
+    centre = F.when((fam == "circle") & (n(0) == 1), points(0)[0][0])
+    rows = rows.withColumn("_circle", shapes.geodesic_circle(centre["x"], centre["y"], F.col("radius"))).join(united(rows), "id", "left")
     spread = lambda ps: shapes.span(shapes.bounds(ps))
     clip = F.flatten(F.transform(points(1), lambda line: F.flatten(F.transform(shapes.steps(line), lambda s: F.transform(spatial.pieces(s["a"], s["b"], points(2)[0]), lambda e: F.array(e["a"], e["b"]))))))
     parts = (
         F.when(fam.isin("point", "points"), points(0))
-        .when(fam == "polygons", points(2))
-        .when(fam == "lines", points(1))
+        .when(fam.isin("polygons", "lines"), F.coalesce("_union", F.when(fam == "polygons", points(2)).otherwise(points(1))))
         .when(fam == "segment", F.filter(F.array(shapes.cut(points(1)[0], F.col("start"), F.col("end"))), lambda x: x.isNotNull()))
         .when(fam == "clip", clip)
         .when(fam == "crossing", F.when(F.size(crossed) > 0, F.array(F.array(shapes.medoid(crossed)))))
-        .when(fam == "circle", F.array(shapes.circle(points(0)[0][0], F.col("radius"), 720)))
+        .when(fam == "circle", F.array(F.col("_circle")))
     )
     whole = F.size(o) == F.size(F.array_distinct("object_ids"))
     single = ((fam.isin("point", "circle")) & (n(0) != 1)) | ((fam == "segment") & (n(1) != 1)) | ((fam == "clip") & ((n(2) != 1) | (n(1) == 0))) | ((fam == "crossing") & (n(1) < 2))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import shapes
-from ..operators import chains, followups, overlays, spatial
-from ..scratch import spread, stored
+from ..operators import chains, followups, links, overlays, spatial, validation
+from ..scratch import folder, spread, stored
 from .catalog import POINTS_SQL, query, table
 from .function_queries import pick
 from .spatial_queries import AREAS_SQL, areas
@@ -124,3 +124,63 @@ def case_chains(spark, sf_dir):
     circle = (F.col("id") % 64 == 0) & (F.floor(F.col("id") / 64) % 10 == 3) & (F.col("id") + 63 <= most)
     links = e.filter((F.col("id") % 64 > 0) | circle).select("id", F.when(F.col("id") % 64 > 0, F.col("id") - 1).otherwise(F.col("id") + 63).alias("earlier"))
     return followups.resolved(links)
+
+
+SAID = "l_orderkey AS event_id, l_partkey % 20 AS place_id, l_linenumber AS place_no, CASE l_linenumber % 3 WHEN 0 THEN 'named_place_candidate' WHEN 1 THEN 'context_near_geometry' ELSE 'context_along_geometry' END AS status, l_linenumber % 2 AS scene_id, CASE l_linenumber % 4 WHEN 0 THEN 'bar' WHEN 1 THEN 'park' WHEN 2 THEN 'shop' END AS kind"
+
+
+@query(f"""WITH l AS (SELECT {SAID} FROM lineitem), e AS (SELECT event_id, place_id, kind, scene_id, min(place_no) AS place_no, arg_min(status, place_no) AS status FROM l GROUP BY ALL),
+k AS (SELECT event_id, place_id, kind, min(place_no) AS place_no FROM l WHERE kind IS NOT NULL GROUP BY ALL), ks AS (SELECT event_id, place_id, string_agg(kind, ',' ORDER BY place_no) AS kinds FROM k GROUP BY ALL)
+SELECT e.event_id, e.place_id, arg_min(status, place_no) AS status, arg_min(scene_id, place_no)::INT AS scene_id, coalesce(any_value(kinds), '') AS kinds, count(*) AS evidence FROM e LEFT JOIN ks USING (event_id, place_id) GROUP BY ALL""")
+def pair_evidence(spark, sf_dir):
+    """Every order's links to places as one row per pair, with all kinds and pieces of evidence once."""
+    found = links.merged_links(said_links(spark, sf_dir))
+    return found.select("event_id", "place_id", "status", F.col("scene_id").cast("int").alias("scene_id"), F.array_join("kinds", ",").alias("kinds"), F.size("evidence").cast("long").alias("evidence"))
+
+
+def said_links(spark, sf_dir):
+    n = F.col("l_linenumber")
+    status = F.when(n % 3 == 0, "named_place_candidate").when(n % 3 == 1, "context_near_geometry").otherwise("context_along_geometry")
+    kind = F.when(n % 4 == 0, "bar").when(n % 4 == 1, "park").when(n % 4 == 2, "shop")
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("event_id"), (F.col("l_partkey") % 20).alias("place_id"), n.alias("place_no"), status.alias("status"), (n % 2).alias("scene_id"), kind.alias("kind"), F.lit("near_geometry").alias("scope"), F.lit(50.0).alias("radius"), F.lit("quote").alias("quote"))
+
+
+@query(f"""WITH l AS (SELECT {SAID} FROM lineitem), e AS (SELECT DISTINCT event_id, place_id, kind, scene_id FROM l), p AS (SELECT event_id, place_id, count(*) AS n FROM e GROUP BY ALL)
+SELECT strftime(o_orderdate, '%Y-%m') AS month, place_id, count(*) AS events, sum(n)::BIGINT AS evidence FROM p JOIN orders ON event_id = o_orderkey GROUP BY 1, 2""")
+def month_links(spark, sf_dir):
+    """Links by month, written as a generation of month folders and read back."""
+    from . import publish
+
+    months = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("event_id"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    rows = links.by_month(links.merged_links(said_links(spark, sf_dir)), months)
+    root = folder(spark, "links")
+    publish.publish(root, "0000000000000001", {"links": (rows.repartition("month"), ["month"])})
+    return links.month_places(publish.current(spark, root, "links").withColumn("month", F.col("month").cast("string")))
+
+
+@query("""SELECT p_partkey AS id, CASE WHEN p_partkey % 101 = 0 THEN 'missing in tiles' WHEN p_partkey % 103 = 0 THEN 'repeated in tiles' WHEN p_partkey % 107 = 0 THEN 'wrong tile' WHEN p_partkey % 113 = 0 THEN 'not searchable' END AS fault FROM part WHERE p_partkey % 101 = 0 OR p_partkey % 103 = 0 OR p_partkey % 107 = 0 OR p_partkey % 113 = 0
+UNION ALL SELECT -p_partkey - 1, 'not in index' FROM part WHERE p_partkey % 109 = 0""")
+def product_faults(spark, sf_dir):
+    """A product of tile files in which some records are missing, twice, in another tile's file, unknown to the index or to the search; each is named once, by what its file's path says."""
+    k = F.col("p_partkey")
+    parts = stored(table(spark, sf_dir, "part").select(k.alias("id"), (k % 8).cast("int").alias("tile")), "index")
+    i = F.col("id")
+    tile = F.when((i % 107 == 0) & (i % 103 != 0), (F.col("tile") + 1) % 8).otherwise(F.col("tile"))
+    written = parts.filter(i % 101 != 0).select("id", tile.alias("tile"))
+    written = written.unionByName(written.filter(i % 103 == 0)).unionByName(parts.filter(i % 109 == 0).select((-i - 1).alias("id"), "tile"))
+    path = folder(spark, "tiles")
+    written.repartition("tile").write.partitionBy("tile").parquet(path)
+    tiles = spark.read.schema("id long").parquet(path).select("id", validation.tile_of_file(r"/tile=(\d+)/").alias("tile"))
+    return validation.record_faults(parts, tiles, parts.filter(i % 113 != 0))
+
+
+@query("""WITH w AS (SELECT o_orderkey % 16 AS tile, count(*) AS n FROM orders WHERE o_orderkey % 16 <> 3 GROUP BY 1) SELECT tile::VARCHAR AS tile, CASE WHEN tile = 5 THEN n + 1 END AS declared, n AS found FROM w WHERE tile IN (5, 7) UNION ALL SELECT '3', 4, NULL""")
+def declared_tiles(spark, sf_dir):
+    """Tiles whose files hold more or fewer records than declared, or are not there, or are not declared."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 16).cast("int").alias("tile")).filter("tile <> 3")
+    path = folder(spark, "tiles")
+    rows.repartition("tile").write.partitionBy("tile").parquet(path)
+    tiles = spark.read.schema("id long").parquet(path).select(validation.tile_of_file(r"/tile=(\d+)/").alias("tile"))
+    n = rows.groupBy("tile").agg(F.count("*").alias("n")).filter("tile <> 7").select("tile", (F.col("n") + (F.col("tile") == 5).cast("int")).alias("n"))
+    none = spark.createDataFrame([(3, 4)], "tile int, n long")
+    return validation.tile_faults(n.unionByName(none), tiles)
