@@ -14,15 +14,16 @@ from ..scratch import stored
 from . import spatial
 
 
-def chained(lines: DataFrame, rounds: int = 40) -> DataFrame:
+def chained(lines: DataFrame, stops: DataFrame | None = None, rounds: int = 40) -> DataFrame:
     """Places of lines (line_id, group, start, end) in chains: line_id, group, chain_id (the smallest line_id), position from 0, back (walked from end to start), ring.
 
     start and end name places, of any type; ends meet only within a group. line_ids are unique, whole and not negative. A chain is walked from the end
-    whose line_id is smaller; a ring from its smallest line, forward; of one line, forward."""
+    whose line_id is smaller; a ring from its smallest line, forward; of one line, forward. At stops (group, place) no lines are joined."""
     lines = lines.select(F.col("line_id").cast("long").alias("line_id"), "group", "start", "end")
     ends = lines.select("line_id", "group", F.inline(F.array(F.struct(F.col("start").alias("place"), F.lit(0).alias("side")), F.struct(F.col("end").alias("place"), F.lit(1).alias("side")))))
     # a place with two ends; busy places are counted before they would be joined
     two = ends.groupBy("group", "place").agg(F.count("*").alias("n"), F.min(F.struct("line_id", "side")).alias("a"), F.max(F.struct("line_id", "side")).alias("b")).filter("n = 2")
+    two = two if stops is None else two.join(stops.select("group", "place").distinct(), ["group", "place"], "left_anti")
     # a dart that arrives at side s of a line goes on with the dart that leaves from the other end there: darts are 2 * line_id + (0: forward, 1: back)
     arrives, leaves = lambda e: F.col(f"{e}.line_id") * 2 + (1 - F.col(f"{e}.side")), lambda e: F.col(f"{e}.line_id") * 2 + F.col(f"{e}.side")
     follow = two.select(F.inline(F.array(F.struct(arrives("a").alias("dart"), leaves("b").alias("next")), F.struct(arrives("b").alias("dart"), leaves("a").alias("next")))))
@@ -69,10 +70,10 @@ def ranked(first: DataFrame, rounds: int) -> tuple[DataFrame, DataFrame]:
     return state, low.unionByName(state.filter("next is not null").select("dart", "low"))
 
 
-def merged(lines: DataFrame) -> DataFrame:
-    """Lines (line_id, group, line) joined to chains by their end points: group, chain_id, n_lines, ring, line. Lines of under two points are left out."""
+def merged(lines: DataFrame, stops: DataFrame | None = None) -> DataFrame:
+    """Lines (line_id, group, line) joined to chains by their end points: group, chain_id, n_lines, ring, line. Lines of under two points are left out; at stops (group, place: a point) none are joined."""
     rows = lines.filter(F.size("line") >= 2)
-    found = chained(rows.select("line_id", "group", F.element_at("line", 1).alias("start"), F.element_at("line", -1).alias("end")))
+    found = chained(rows.select("line_id", "group", F.element_at("line", 1).alias("start"), F.element_at("line", -1).alias("end")), stops)
     both = rows.select("line_id", "line").join(found, "line_id")
     turned = F.when(F.col("back"), F.reverse("line")).otherwise(F.col("line"))
     parts = both.select("group", "chain_id", "ring", F.struct("position", F.when(F.col("position") == 0, turned).otherwise(F.slice(turned, 2, F.size("line"))).alias("line")).alias("p"))

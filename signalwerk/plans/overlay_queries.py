@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import shapes
-from ..operators import chains, followups, links, overlays, spatial, validation
+from ..operators import chains, followups, links, overlays, sections, spatial, validation
 from ..scratch import folder, spread, stored
 from .catalog import POINTS_SQL, query, table
 from .function_queries import pick
@@ -184,3 +184,23 @@ def declared_tiles(spark, sf_dir):
     n = rows.groupBy("tile").agg(F.count("*").alias("n")).filter("tile <> 7").select("tile", (F.col("n") + (F.col("tile") == 5).cast("int")).alias("n"))
     none = spark.createDataFrame([(3, 4)], "tile int, n long")
     return validation.tile_faults(n.unionByName(none), tiles)
+
+
+M = "CASE WHEN {0} <= 8 THEN {0} WHEN {0} < 12 THEN 8 + 3 * ({0} - 8) ELSE {0} + 8 END"
+
+
+@query(f"""WITH a AS (SELECT c_custkey AS id, {M.format('(c_custkey % 21)')} AS i, {M.format('(c_custkey * 7 % 21)')} AS j FROM customer)
+SELECT id, CASE WHEN id % 13 = 0 THEN NULL ELSE least(abs(i - j), abs(i - 8) + 4 + abs(j - 20), abs(i - 20) + 4 + abs(j - 8)) END::DOUBLE AS metres, CASE WHEN id % 13 > 0 THEN id % 21 END AS first, CASE WHEN id % 13 > 0 THEN id * 7 % 21 END AS last FROM a""")
+def street_sections(spark, sf_dir):
+    """Pieces between two places of each customer's street of twenty stretches, four of which go a long way round and have a short line beside them; of every thirteenth street a place is asked for that it does not have."""
+    c = F.col("c_custkey")
+    at = lambda x, y=0.0: shapes.point(x if hasattr(x, "cast") else F.lit(float(x)), F.lit(float(y)))
+    own = table(spark, sf_dir, "customer").select(c.alias("street"))
+    i = F.col("i")
+    line = F.when(i.between(8, 11), F.array(at(i), at(i, 1), at(i + 1, 1), at(i + 1))).otherwise(F.array(at(i), at(i + 1)))
+    stretches = own.select("street", F.explode(F.sequence(F.lit(0), F.lit(19))).alias("i")).select("street", F.when(i % 2 == 0, line).otherwise(F.reverse(line)).alias("line"))
+    beside = own.select("street", F.explode(F.array(F.array(at(8), at(12)), F.array(at(3), at(3, -2), at(6, -2), at(6)))).alias("line"))
+    rows = stored(stretches.unionByName(beside).withColumn("line_id", F.monotonically_increasing_id()), "streets")
+    asks = table(spark, sf_dir, "customer").select(c.alias("id"), c.alias("street"), at(c % 21).alias("start"), F.when(c % 13 == 0, at(99)).otherwise(at(c * 7 % 21)).alias("end"))
+    found = sections.between(rows, asks)
+    return found.select("id", F.round("length", 6).alias("metres"), F.col("line")[0]["x"].cast("int").alias("first"), F.element_at("line", -1)["x"].cast("int").alias("last"))
