@@ -31,6 +31,26 @@ def agreement(pairs: DataFrame, truth: Column, guess: Column, by: str) -> DataFr
     return out.withColumn("precision_", share("fp")).withColumn("recall_", share("fn"))
 
 
+def scored(gold: DataFrame, predictions: DataFrame, tags: tuple[str, ...]) -> DataFrame:
+    """Predicted labels (id, sha, category, tags) against reviewed ones (id, sha, category, tags, complete): a row of all samples, tag null, and one for each tag.
+
+    samples, returned (predictions of known samples with the same sha; the rest is stale or unknown and counts for nothing), agreed (equal categories),
+    among_returned and among_all (agreed by either), compared (returned samples whose tags were assessed in full), incomplete (samples whose tags were not).
+    A tag's row has tp, fp, fn, tn among the compared ones, precision and recall, null where nothing is claimed or present."""
+    p = predictions.select("id", "sha", F.col("category").alias("_category"), F.coalesce("tags", F.array().cast("array<string>")).alias("_tags"), F.lit(True).alias("_returned"))
+    both = gold.join(p, ["id", "sha"], "left").withColumn("_returned", F.coalesce("_returned", F.lit(False)))
+    n, returned = lambda c: F.count_if(F.coalesce(c, F.lit(False))), F.col("_returned")
+    compared = returned & F.col("complete")
+    has = lambda c, tag: F.array_contains(F.col(c), tag)
+    counts = [F.struct(F.lit(tag).alias("tag"), n(compared & has("tags", tag) & has("_tags", tag)).alias("tp"), n(compared & ~has("tags", tag) & has("_tags", tag)).alias("fp"), n(compared & has("tags", tag) & ~has("_tags", tag)).alias("fn"), n(compared & ~has("tags", tag) & ~has("_tags", tag)).alias("tn")) for tag in tags]
+    none = F.lit(None).cast("long")
+    whole = F.struct(F.lit(None).cast("string").alias("tag"), *(none.alias(c) for c in ("tp", "fp", "fn", "tn")))
+    base = both.agg(F.count("*").alias("samples"), n(returned).alias("returned"), n(returned & (F.col("category") == F.col("_category"))).alias("agreed"), n(compared).alias("compared"), n(~F.col("complete")).alias("incomplete"), F.array(whole, *counts).alias("t"))
+    rows = base.select("samples", "returned", "agreed", F.try_divide(1.0 * F.col("agreed"), F.col("returned")).alias("among_returned"), F.try_divide(1.0 * F.col("agreed"), F.col("samples")).alias("among_all"), "compared", "incomplete", F.inline("t"))
+    share = lambda other: F.try_divide(1.0 * F.col("tp"), F.col("tp") + F.col(other))
+    return rows.withColumn("precision_", share("fp")).withColumn("recall_", share("fn"))
+
+
 def public_counts(views: DataFrame, top: int = 8, least: int = 20, step: int = 10) -> DataFrame:
     """Views (country, pv) for publication: the largest `top` countries of at least `least`, the rest as OTHER if large enough, rounded down; total."""
     sums = views.groupBy("country").agg(F.sum("pv").alias("pv"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import shapes
-from ..operators import chains, followups, links, overlays, sections, spatial, validation
+from ..operators import chains, followups, links, overlays, resolving, reviews, sections, spatial, validation
 from ..scratch import folder, spread, stored
 from .catalog import POINTS_SQL, query, table
 from .function_queries import pick
@@ -204,3 +204,41 @@ def street_sections(spark, sf_dir):
     asks = table(spark, sf_dir, "customer").select(c.alias("id"), c.alias("street"), at(c % 21).alias("start"), F.when(c % 13 == 0, at(99)).otherwise(at(c * 7 % 21)).alias("end"))
     found = sections.between(rows, asks)
     return found.select("id", F.round("length", 6).alias("metres"), F.col("line")[0]["x"].cast("int").alias("first"), F.element_at("line", -1)["x"].cast("int").alias("last"))
+
+
+@query("""WITH c AS (SELECT c_custkey AS id, c_custkey % 400 AS d, CASE WHEN c_custkey % 7 = 0 THEN 1200 ELSE 10 END AS w FROM customer),
+k AS (SELECT *, (id % 3 = 0 OR d <= 180) AND (id % 2 = 1 OR d <= 206) AS other FROM c)
+SELECT id, CASE WHEN id % 11 = 0 THEN CASE WHEN id % 3 > 0 OR id % 2 = 0 THEN 'locality_conflict_review' ELSE 'named_place_representative' END WHEN other AND d > 150 THEN 'ambiguous_place_review' WHEN other AND d + w > 1100 THEN 'wide_place_review' ELSE 'named_place_representative' END AS method,
+CASE WHEN id % 11 = 0 THEN CASE WHEN id % 3 = 0 AND id % 2 = 1 THEN 5000.0 END WHEN other AND (d > 150 OR d + w > 1100) THEN NULL WHEN other THEN 5.0 ELSE 0.0 END::DOUBLE AS y,
+CASE WHEN id % 11 = 0 THEN CASE WHEN id % 3 = 0 AND id % 2 = 1 THEN 0.0 END WHEN other AND (d > 150 OR d + w > 1100) THEN NULL WHEN other THEN d + w ELSE 0.0 END::DOUBLE AS extent FROM k""")
+def resolved_places(spark, sf_dir):
+    """Two places of one name for each customer, a point and a square at a growing distance: in or out of its scope, near its road or not, one complex, two, or too wide; every eleventh has but one far away."""
+    c = F.col("c_custkey")
+    own = table(spark, sf_dir, "customer").select(c, (c * 3000).cast("double").alias("x0"), (c % 400).cast("double").alias("d"), F.when(c % 7 == 0, 1200.0).otherwise(10.0).alias("w"))
+    at = lambda x, y: shapes.point(F.col("x0") + x, F.lit(float(y)))
+    box = lambda x0, y0, x1, y1: spatial.polygon(F.array(at(x0, y0), at(x1, y0), at(x1, y1), at(x0, y1), at(x0, y0)))
+    far = c % 11 == 0
+    spot = own.select((c * 2).alias("place_id"), F.lit(0).alias("dimension"), spatial.polygon(F.array(F.when(far, at(0, 5000)).otherwise(at(0, 0)))).alias("shape"))
+    square = own.filter(~far).select((c * 2 + 1).alias("place_id"), F.lit(2).alias("dimension"), box(F.col("d"), 0, F.col("d") + F.col("w"), 10).alias("shape"))
+    places = stored(spot.unionByName(square), "places")
+    scopes = own.filter(c % 3 > 0).select(c.alias("scope_id"), F.lit(2).alias("dimension"), box(-50, -50, 150, 50).alias("shape"))
+    roads = own.filter(c % 2 == 0).select(c.alias("road_id"), F.lit(1).alias("dimension"), spatial.polygon(F.array(at(-20, 60), at(120, 60))).alias("shape"))
+    asks = own.select(c.alias("id"), F.when(c % 3 > 0, c).alias("scope_id"))
+    named = places.select(F.floor(F.col("place_id") / 2).alias("id"), "place_id")
+    found = resolving.resolved(asks, named, roads.select(F.col("road_id").alias("id"), "road_id"), places, scopes, roads)
+    return found.select("id", "method", "point.y", "extent")
+
+
+@query("""WITH g AS (SELECT l.doc_id, lang AS category, [t FOR t IN [CASE WHEN quality = 1 THEN 'good' END, CASE WHEN toxic = 1 THEN 'toxic' END] IF t IS NOT NULL] AS tags, l.doc_id % 5 > 0 AS complete, n_chars FROM labels l JOIN documents d ON d.doc_id = l.doc_id),
+p AS (SELECT *, doc_id % 7 > 0 AS returned, CASE WHEN doc_id % 3 = 0 THEN 'en' ELSE category END AS said, n_chars > 500 AS good, n_chars % 2 = 1 AS toxic FROM g),
+base AS (SELECT count(*) AS samples, count_if(returned)::BIGINT AS returned, count_if(returned AND said = category)::BIGINT AS agreed, count_if(returned AND complete)::BIGINT AS compared, count_if(NOT complete)::BIGINT AS incomplete FROM p),
+t AS (SELECT tag, count_if(h AND s)::BIGINT AS tp, count_if(NOT h AND s)::BIGINT AS fp, count_if(h AND NOT s)::BIGINT AS fn, count_if(NOT h AND NOT s)::BIGINT AS tn FROM (SELECT 'good' AS tag, list_contains(tags, 'good') AS h, good AS s FROM p WHERE returned AND complete UNION ALL SELECT 'toxic', list_contains(tags, 'toxic'), toxic FROM p WHERE returned AND complete) GROUP BY 1 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL)
+SELECT tag, samples, returned, agreed, compared, incomplete, agreed::DOUBLE / returned AS among_returned, agreed::DOUBLE / samples AS among_all, tp, fp, fn, tn, tp::DOUBLE / nullif(tp + fp, 0) AS precision_, tp::DOUBLE / nullif(tp + fn, 0) AS recall_ FROM t, base""")
+def label_scores(spark, sf_dir):
+    """Predicted categories and tags against labels, of which some are assessed in part only; every seventh prediction is of an older text."""
+    i = F.col("doc_id")
+    both = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents"), "doc_id")
+    tag = lambda holds, name: F.when(holds, name)
+    gold = both.select(i.alias("id"), F.lit("a").alias("sha"), F.col("lang").alias("category"), F.array_compact(F.array(tag(F.col("quality") == 1, "good"), tag(F.col("toxic") == 1, "toxic"))).alias("tags"), (i % 5 > 0).alias("complete"))
+    said = both.select(i.alias("id"), F.when(i % 7 > 0, "a").otherwise("old").alias("sha"), F.when(i % 3 == 0, "en").otherwise(F.col("lang")).alias("category"), F.array_compact(F.array(tag(F.col("n_chars") > 500, "good"), tag(F.col("n_chars") % 2 == 1, "toxic"))).alias("tags"))
+    return reviews.scored(gold, said, ("good", "toxic"))
