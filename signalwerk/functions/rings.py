@@ -295,3 +295,61 @@ def noded(lines: list, snap: float = SNAP) -> list:
             out += [walk(node, i) for i in ends[node] if not used[i]]
     out += [walk(tuple(grid[i, :2].tolist()), i) for i in range(len(grid)) if not used[i]]
     return [[(float(x), float(y)) for x, y in np.array(p) * snap + base] for p in out]
+
+
+def capsule(segment: np.ndarray, radius: float, steps: int = 32) -> list:
+    """What lies within a radius of a segment, as a ring with half circles of so many steps."""
+    a, b = segment[:2], segment[2:]
+    turn = np.arctan2(*(b - a)[::-1]) if (a != b).any() else 0.0
+    arc = np.pi * np.arange(steps + 1) / steps
+    half = lambda center, first: center + radius * np.stack((np.cos(first + arc), np.sin(first + arc)), 1)
+    ring = np.concatenate((half(b, turn - np.pi / 2), half(a, turn + np.pi / 2)))
+    return [[[*map(tuple, ring.tolist()), tuple(ring[0].tolist())]]]
+
+
+def inner_place(shape: list) -> np.ndarray:
+    """A place inside polygons: the middle of the widest stretch of a level line at mid-height of the largest one."""
+    e = edges([max(shape, key=lambda p: abs(signed_area(np.asarray(p[0], float))))])
+    ys = np.unique(e[:, 1])
+    k = max(1, len(ys) // 2)
+    y = (ys[k - 1] + ys[k]) / 2
+    over = (e[:, 1] > y) != (e[:, 3] > y)
+    f = e[over]
+    xs = np.sort(f[:, 0] + (y - f[:, 1]) * (f[:, 2] - f[:, 0]) / (f[:, 3] - f[:, 1]))
+    i = int(np.argmax(xs[1::2] - xs[::2])) * 2
+    return np.array([(xs[i] + xs[i + 1]) / 2, y])
+
+
+def common_junction(roads: list, reach: float = 10.0, most: float = 75.0, off: float = 20.0) -> tuple[tuple[float, float], float] | None:
+    """The place where all roads (lists of lines) meet and how wide it is, or None; roads.common_junctions() tells the rules."""
+    each = [edges([road]) for road in roads]
+    if len(each) < 2 or not all(map(len, each)):
+        return None
+    span = lambda xy: float((xy.max(0) - xy.min(0)).max())
+    a, r = each[0][:, None, :2], (each[0][:, 2:] - each[0][:, :2])[:, None]
+    c, s = each[1][None, :, :2], (each[1][:, 2:] - each[1][:, :2])[None]
+    den = cross(r, s)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t, u = cross(c - a, s) / den, cross(c - a, r) / den
+    i, k = np.nonzero((den != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1))
+    exact = np.unique(np.round(each[0][i, :2] + t[i, k][:, None] * (each[0][i, 2:] - each[0][i, :2]), 9), axis=0) if len(i) else np.zeros((0, 2))
+    for e in each[2:]:
+        exact = exact[to_edges(exact, e) <= 1e-6] if len(exact) else exact
+    if len(exact) and span(exact) <= most:
+        return tuple(exact[np.argmin(((exact - exact.mean(0)) ** 2).sum(1))].tolist()), span(exact)
+    # only segments near all other roads can matter
+    close = [np.array([all(distance(x[None], LINE, f, LINE) <= 2 * reach for j, f in enumerate(each) if j != n) for x in e]) for n, e in enumerate(each)]
+    if not all(m.any() for m in close):
+        return None
+    wide = [overlay([capsule(x, reach) for x in e[m]], "union") for e, m in zip(each, close, strict=True)]
+    area = overlay(wide, "intersection")
+    if not area or span(edges(area).reshape(-1, 2)) > most:
+        return None
+    inside, first = inner_place(area), each[0]
+    d = first[:, 2:] - first[:, :2]
+    at = np.clip(((inside - first[:, :2]) * d).sum(1) / np.maximum((d * d).sum(1), 1e-300), 0, 1)
+    feet = first[:, :2] + at[:, None] * d
+    point = feet[np.argmin(((feet - inside) ** 2).sum(1))]
+    if any(to_edges(point[None], e)[0] > off for e in each[1:]):
+        return None
+    return tuple(point.tolist()), span(edges(area).reshape(-1, 2))

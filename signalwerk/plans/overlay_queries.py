@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import shapes
-from ..operators import chains, followups, links, overlays, resolving, reviews, sections, spatial, validation
+from ..operators import chains, followups, links, overlays, resolving, reviews, roads, sections, spatial, validation
 from ..scratch import folder, spread, stored
 from .catalog import POINTS_SQL, query, table
 from .function_queries import pick
@@ -242,3 +242,29 @@ def label_scores(spark, sf_dir):
     gold = both.select(i.alias("id"), F.lit("a").alias("sha"), F.col("lang").alias("category"), F.array_compact(F.array(tag(F.col("quality") == 1, "good"), tag(F.col("toxic") == 1, "toxic"))).alias("tags"), (i % 5 > 0).alias("complete"))
     said = both.select(i.alias("id"), F.when(i % 7 > 0, "a").otherwise("old").alias("sha"), F.when(i % 3 == 0, "en").otherwise(F.col("lang")).alias("category"), F.array_compact(F.array(tag(F.col("n_chars") > 500, "good"), tag(F.col("n_chars") % 2 == 1, "toxic"))).alias("tags"))
     return reviews.scored(gold, said, ("good", "toxic"))
+
+
+@query("""SELECT c_custkey AS id, CASE c_custkey % 8 WHEN 0 THEN 0 WHEN 1 THEN 40 WHEN 2 THEN 0 WHEN 3 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN 53 WHEN 6 THEN NULL WHEN 7 THEN 20 END AS extent, c_custkey % 8 NOT IN (3, 4, 6) AS found FROM customer""")
+def common_junctions(spark, sf_dir):
+    """Roads of each customer that meet at a place, at two places near each other, all four at a place; that run side by side, too far from each other, too long or not, cross far apart, or three of which form a small triangle."""
+    c = F.col("c_custkey")
+    at = lambda x, y: shapes.point(c * 5000.0 + x, F.lit(float(y)))
+    road = lambda *lines: F.array(*(F.array(*(at(*p) for p in line)) for line in lines))
+    flat = road(((-200, 0), (200, 0)))
+    up = road(((0, -200), (0, 200)))
+    cases = (
+        F.array(flat, up),
+        F.array(flat, road(((-20, -100), (-20, 100)), ((20, -100), (20, 100)))),
+        F.array(flat, up, road(((-50, -50), (50, 50))), road(((-50, 50), (50, -50)))),
+        F.array(flat, road(((-200, 25), (200, 25)))),
+        F.array(flat, road(((-200, 15), (200, 15)))),
+        # stretches of 40 m side by side: half circles add sqrt(10^2 - 7.5^2) at each end
+        F.array(road(((-20, 0), (20, 0))), road(((-20, 15), (20, 15)))),
+        F.array(flat, road(((-100, -100), (-100, 100)), ((100, -100), (100, 100)))),
+        F.array(flat, up, road(((-100, -95), (100, 105)))),
+    )
+    rows = spread(table(spark, sf_dir, "customer").select(c)).select(c.alias("id"), F.element_at(F.array(*cases), (c % 8 + 1).cast("int")).alias("roads"))
+    found = roads.common_junctions(rows)
+    # the triangle's common ground is told as 20 if it lies between 10 and 30 m
+    extent = F.when(F.col("id") % 8 == 7, F.when(F.col("extent").between(10, 30), 20)).otherwise(F.round("extent").cast("int"))
+    return found.select("id", extent.alias("extent"), F.col("point").isNotNull().alias("found"))
