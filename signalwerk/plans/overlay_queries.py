@@ -38,7 +38,7 @@ def area_overlays(spark, sf_dir):
 
 
 @query("""WITH i AS (SELECT DISTINCT o_custkey AS id, o_orderkey % 50 AS i FROM orders), n AS (SELECT id, i, lead(i) OVER (PARTITION BY id ORDER BY i) AS next FROM i)
-SELECT id, sum(CASE WHEN next = i + 1 THEN 10 ELSE 15 END)::DOUBLE AS area, count_if(next IS NULL OR next > i + 1) AS parts FROM n GROUP BY 1""")
+SELECT id, sum(CASE WHEN next = i + 1 THEN 10 ELSE 15 END)::DOUBLE AS area, count_if(next IS NULL OR next > i + 1)::BIGINT AS parts FROM n GROUP BY 1""")
 def united_areas(spark, sf_dir):
     """Unions of each customer's strips, some of which overlap or come twice."""
     i = (F.col("o_orderkey") % 50 * 10).cast("double")
@@ -48,7 +48,7 @@ def united_areas(spark, sf_dir):
 
 
 @query("""WITH i AS (SELECT DISTINCT o_custkey AS id, o_orderkey % 50 AS i FROM orders), n AS (SELECT id, i, lead(i) OVER (PARTITION BY id ORDER BY i) AS next FROM i)
-SELECT id, sum(CASE WHEN next = i + 1 THEN 10 ELSE 15 END)::DOUBLE AS metres, count_if(next IS NULL OR next > i + 1) AS parts FROM n GROUP BY 1""")
+SELECT id, sum(CASE WHEN next = i + 1 THEN 10 ELSE 15 END)::DOUBLE AS metres, count_if(next IS NULL OR next > i + 1)::BIGINT AS parts FROM n GROUP BY 1""")
 def united_lines(spark, sf_dir):
     """Unions of each customer's stretches of one road, some of which overlap or come twice, as whole lines."""
     i = (F.col("o_orderkey") % 50 * 10).cast("double")
@@ -116,14 +116,14 @@ def follow_ups(spark, sf_dir):
     return followups.followups(rows, r"https://x\.example/pm/\d+/(\d+)")
 
 
-@query("""WITH e AS (SELECT event_id AS id FROM events), n AS (SELECT id, id % 64 AS k FROM e) SELECT id, CASE WHEN id // 64 % 10 = 3 THEN NULL ELSE id - k END AS root, CASE WHEN id // 64 % 10 = 3 THEN NULL ELSE k END AS hops FROM n WHERE k > 0 OR id // 64 % 10 = 3 AND id + 63 <= (SELECT max(id) FROM e)""")
+@query("""WITH e AS (SELECT event_id AS id FROM events), n AS (SELECT id, id % 64 AS k FROM e) SELECT id, CASE WHEN id // 64 % 10 = 3 THEN -1 ELSE id - k END AS root, CASE WHEN id // 64 % 10 = 3 THEN -1 ELSE k END AS hops FROM n WHERE k > 0 OR id // 64 % 10 = 3 AND id + 63 <= (SELECT max(id) FROM e)""")
 def case_chains(spark, sf_dir):
-    """The first report of chains of up to 64 reports, and circles, which have none."""
+    """The first report of chains of up to 64 reports, and circles, which have none (-1)."""
     e = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
     most = e.agg(F.max("id")).first()[0]
     circle = (F.col("id") % 64 == 0) & (F.floor(F.col("id") / 64) % 10 == 3) & (F.col("id") + 63 <= most)
     links = e.filter((F.col("id") % 64 > 0) | circle).select("id", F.when(F.col("id") % 64 > 0, F.col("id") - 1).otherwise(F.col("id") + 63).alias("earlier"))
-    return followups.resolved(links)
+    return followups.resolved(links).na.fill(-1, ["root", "hops"])
 
 
 SAID = "l_orderkey AS event_id, l_partkey % 20 AS place_id, l_linenumber AS place_no, CASE l_linenumber % 3 WHEN 0 THEN 'named_place_candidate' WHEN 1 THEN 'context_near_geometry' ELSE 'context_along_geometry' END AS status, l_linenumber % 2 AS scene_id, CASE l_linenumber % 4 WHEN 0 THEN 'bar' WHEN 1 THEN 'park' WHEN 2 THEN 'shop' END AS kind"
@@ -174,7 +174,7 @@ def product_faults(spark, sf_dir):
     return validation.record_faults(parts, tiles, parts.filter(i % 113 != 0))
 
 
-@query("""WITH w AS (SELECT o_orderkey % 16 AS tile, count(*) AS n FROM orders WHERE o_orderkey % 16 <> 3 GROUP BY 1) SELECT tile::VARCHAR AS tile, CASE WHEN tile = 5 THEN n + 1 END AS declared, n AS found FROM w WHERE tile IN (5, 7) UNION ALL SELECT '3', 4, NULL""")
+@query("""WITH w AS (SELECT o_orderkey % 16 AS tile, count(*) AS n FROM orders WHERE o_orderkey % 16 <> 3 GROUP BY 1) SELECT tile::VARCHAR AS tile, CASE WHEN tile = 5 THEN n + 1 ELSE -1 END AS declared, n AS found FROM w WHERE tile IN (5, 7) UNION ALL SELECT '3', 4, -1""")
 def declared_tiles(spark, sf_dir):
     """Tiles whose files hold more or fewer records than declared, or are not there, or are not declared."""
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 16).cast("int").alias("tile")).filter("tile <> 3")
@@ -183,14 +183,14 @@ def declared_tiles(spark, sf_dir):
     tiles = spark.read.schema("id long").parquet(path).select(validation.tile_of_file(r"/tile=(\d+)/").alias("tile"))
     n = rows.groupBy("tile").agg(F.count("*").alias("n")).filter("tile <> 7").select("tile", (F.col("n") + (F.col("tile") == 5).cast("int")).alias("n"))
     none = spark.createDataFrame([(3, 4)], "tile int, n long")
-    return validation.tile_faults(n.unionByName(none), tiles)
+    return validation.tile_faults(n.unionByName(none), tiles).na.fill(-1, ["declared", "found"])
 
 
 M = "CASE WHEN {0} <= 8 THEN {0} WHEN {0} < 12 THEN 8 + 3 * ({0} - 8) ELSE {0} + 8 END"
 
 
 @query(f"""WITH a AS (SELECT c_custkey AS id, {M.format('(c_custkey % 21)')} AS i, {M.format('(c_custkey * 7 % 21)')} AS j FROM customer)
-SELECT id, CASE WHEN id % 13 = 0 THEN NULL ELSE least(abs(i - j), abs(i - 8) + 4 + abs(j - 20), abs(i - 20) + 4 + abs(j - 8)) END::DOUBLE AS metres, CASE WHEN id % 13 > 0 THEN id % 21 END AS first, CASE WHEN id % 13 > 0 THEN id * 7 % 21 END AS last FROM a""")
+SELECT id, CASE WHEN id % 13 = 0 THEN NULL ELSE least(abs(i - j), abs(i - 8) + 4 + abs(j - 20), abs(i - 20) + 4 + abs(j - 8)) END::DOUBLE AS metres, CASE WHEN id % 13 > 0 THEN id % 21 ELSE -1 END AS first, CASE WHEN id % 13 > 0 THEN id * 7 % 21 ELSE -1 END AS last FROM a""")
 def street_sections(spark, sf_dir):
     """Pieces between two places of each customer's street of twenty stretches, four of which go a long way round and have a short line beside them; of every thirteenth street a place is asked for that it does not have."""
     c = F.col("c_custkey")
@@ -203,7 +203,8 @@ def street_sections(spark, sf_dir):
     rows = stored(stretches.unionByName(beside).withColumn("line_id", F.monotonically_increasing_id()), "streets")
     asks = table(spark, sf_dir, "customer").select(c.alias("id"), c.alias("street"), at(c % 21).alias("start"), F.when(c % 13 == 0, at(99)).otherwise(at(c * 7 % 21)).alias("end"))
     found = sections.between(rows, asks)
-    return found.select("id", F.round("length", 6).alias("metres"), F.col("line")[0]["x"].cast("int").alias("first"), F.element_at("line", -1)["x"].cast("int").alias("last"))
+    x = lambda p: F.coalesce(p["x"].cast("int"), F.lit(-1))
+    return found.select("id", F.round("length", 6).alias("metres"), x(F.col("line")[0]).alias("first"), x(F.element_at("line", -1)).alias("last"))
 
 
 @query("""WITH c AS (SELECT c_custkey AS id, c_custkey % 400 AS d, CASE WHEN c_custkey % 7 = 0 THEN 1200 ELSE 10 END AS w FROM customer),
@@ -232,8 +233,8 @@ def resolved_places(spark, sf_dir):
 @query("""WITH g AS (SELECT l.doc_id, lang AS category, [t FOR t IN [CASE WHEN quality = 1 THEN 'good' END, CASE WHEN toxic = 1 THEN 'toxic' END] IF t IS NOT NULL] AS tags, l.doc_id % 5 > 0 AS complete, n_chars FROM labels l JOIN documents d ON d.doc_id = l.doc_id),
 p AS (SELECT *, doc_id % 7 > 0 AS returned, CASE WHEN doc_id % 3 = 0 THEN 'en' ELSE category END AS said, n_chars > 500 AS good, n_chars % 2 = 1 AS toxic FROM g),
 base AS (SELECT count(*) AS samples, count_if(returned)::BIGINT AS returned, count_if(returned AND said = category)::BIGINT AS agreed, count_if(returned AND complete)::BIGINT AS compared, count_if(NOT complete)::BIGINT AS incomplete FROM p),
-t AS (SELECT tag, count_if(h AND s)::BIGINT AS tp, count_if(NOT h AND s)::BIGINT AS fp, count_if(h AND NOT s)::BIGINT AS fn, count_if(NOT h AND NOT s)::BIGINT AS tn FROM (SELECT 'good' AS tag, list_contains(tags, 'good') AS h, good AS s FROM p WHERE returned AND complete UNION ALL SELECT 'toxic', list_contains(tags, 'toxic'), toxic FROM p WHERE returned AND complete) GROUP BY 1 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL)
-SELECT tag, samples, returned, agreed, compared, incomplete, agreed::DOUBLE / returned AS among_returned, agreed::DOUBLE / samples AS among_all, tp, fp, fn, tn, tp::DOUBLE / nullif(tp + fp, 0) AS precision_, tp::DOUBLE / nullif(tp + fn, 0) AS recall_ FROM t, base""")
+t AS (SELECT tag, count_if(h AND s)::BIGINT AS tp, count_if(NOT h AND s)::BIGINT AS fp, count_if(h AND NOT s)::BIGINT AS fn, count_if(NOT h AND NOT s)::BIGINT AS tn FROM (SELECT 'good' AS tag, list_contains(tags, 'good') AS h, good AS s FROM p WHERE returned AND complete UNION ALL SELECT 'toxic', list_contains(tags, 'toxic'), toxic FROM p WHERE returned AND complete) GROUP BY 1 UNION ALL SELECT NULL, -1, -1, -1, -1)
+SELECT tag, samples, returned, agreed, compared, incomplete, agreed::DOUBLE / returned AS among_returned, agreed::DOUBLE / samples AS among_all, tp, fp, fn, tn, CASE WHEN tag IS NOT NULL THEN tp::DOUBLE / nullif(tp + fp, 0) END AS precision_, CASE WHEN tag IS NOT NULL THEN tp::DOUBLE / nullif(tp + fn, 0) END AS recall_ FROM t, base""")
 def label_scores(spark, sf_dir):
     """Predicted categories and tags against labels, of which some are assessed in part only; every seventh prediction is of an older text."""
     i = F.col("doc_id")
@@ -241,10 +242,10 @@ def label_scores(spark, sf_dir):
     tag = lambda holds, name: F.when(holds, name)
     gold = both.select(i.alias("id"), F.lit("a").alias("sha"), F.col("lang").alias("category"), F.array_compact(F.array(tag(F.col("quality") == 1, "good"), tag(F.col("toxic") == 1, "toxic"))).alias("tags"), (i % 5 > 0).alias("complete"))
     said = both.select(i.alias("id"), F.when(i % 7 > 0, "a").otherwise("old").alias("sha"), F.when(i % 3 == 0, "en").otherwise(F.col("lang")).alias("category"), F.array_compact(F.array(tag(F.col("n_chars") > 500, "good"), tag(F.col("n_chars") % 2 == 1, "toxic"))).alias("tags"))
-    return reviews.scored(gold, said, ("good", "toxic"))
+    return reviews.scored(gold, said, ("good", "toxic")).na.fill(-1, ["tp", "fp", "fn", "tn"])
 
 
-@query("""SELECT c_custkey AS id, CASE c_custkey % 8 WHEN 0 THEN 0 WHEN 1 THEN 40 WHEN 2 THEN 0 WHEN 3 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN 53 WHEN 6 THEN NULL WHEN 7 THEN 20 END AS extent, c_custkey % 8 NOT IN (3, 4, 6) AS found FROM customer""")
+@query("""SELECT c_custkey AS id, CASE c_custkey % 8 WHEN 0 THEN 0 WHEN 1 THEN 40 WHEN 2 THEN 0 WHEN 3 THEN -1 WHEN 4 THEN -1 WHEN 5 THEN 53 WHEN 6 THEN -1 WHEN 7 THEN 20 END AS extent, c_custkey % 8 NOT IN (3, 4, 6) AS found FROM customer""")
 def common_junctions(spark, sf_dir):
     """Roads of each customer that meet at a place, at two places near each other, all four at a place; that run side by side, too far from each other, too long or not, cross far apart, or three of which form a small triangle."""
     c = F.col("c_custkey")
@@ -267,4 +268,4 @@ def common_junctions(spark, sf_dir):
     found = roads.common_junctions(rows)
     # the triangle's common ground is told as 20 if it lies between 10 and 30 m
     extent = F.when(F.col("id") % 8 == 7, F.when(F.col("extent").between(10, 30), 20)).otherwise(F.round("extent").cast("int"))
-    return found.select("id", extent.alias("extent"), F.col("point").isNotNull().alias("found"))
+    return found.select("id", F.coalesce(extent, F.lit(-1)).alias("extent"), F.col("point").isNotNull().alias("found"))
