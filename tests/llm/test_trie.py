@@ -65,3 +65,15 @@ def test_empty_and_turnless(spark):
     alone = [(c, 0, "user", "x") for c in range(101, 140) if zlib.crc32(str(c).encode()) % 6 > 0]  # all without turns
     got = trie.nodes(spark.createDataFrame(alone, schema)).select(*COLUMNS).collect()
     assert sorted(map(tuple, got), key=repr) == plain(alone) and len(got) == 1
+
+
+@pytest.mark.parametrize("name", ["op11_prefix_trie", "op12_importance_resampling", "op13_suffix_dedup"])
+def test_same_as_sql(spark, duck, name):
+    from signalwerk.llm import queries
+
+    from ..conftest import SF
+
+    got, want = queries.QUERIES[name](spark, SF), duck.sql(queries.ORACLE_SQL[name])
+    assert sorted(got.columns) == sorted(want.columns)
+    shown = lambda rows: sorted(map(repr, rows))
+    assert shown(tuple(r) for r in got.select(*sorted(got.columns)).collect()) == shown(tuple(r) for r in want.select(*sorted(want.columns)).fetchall())
