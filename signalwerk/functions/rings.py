@@ -54,36 +54,39 @@ def ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def cells(e: np.ndarray, dimension: int, size: float, margin: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Square cells within a margin of a shape: cx, cy, and whether a cell lies inside an area with the margin to its edges.
+    """cells_by_row() of one shape."""
+    return cells_by_row([e], [dimension], size, margin)[1:]
+
+
+def cells_by_row(each: list[np.ndarray], dimensions: list[int], size: float, margin: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Square cells within a margin of shapes, all at once: number of the shape, cx, cy, and whether a cell lies inside an area with the margin to its edges.
 
     Edges mark what they touch row by row; the other cells of a row are inside between an odd crossing of the row's middle and the next."""
-    if not len(e):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    of = np.repeat(np.arange(len(each)), [len(e) for e in each])
+    e = np.concatenate(each) if each else np.zeros((0, 4))
     low, high = np.minimum(e[:, :2], e[:, 2:]), np.maximum(e[:, :2], e[:, 2:])
     first, last = (np.floor(y / size).astype(np.int64) for y in (low[:, 1] - margin, high[:, 1] + margin))
     i, row = ranges(first, last)
     # the part of an edge in the row, wider by the margin
     dy = e[i, 3] - e[i, 1]
     slope = np.divide(e[i, 2] - e[i, 0], dy, out=np.zeros(len(i)), where=dy != 0)
-    at = lambda y: np.where(dy != 0, e[i, 0] + (np.clip(y, low[i, 1], high[i, 1]) - e[i, 1]) * slope, 0)
+    at = lambda y: e[i, 0] + (np.clip(y, low[i, 1], high[i, 1]) - e[i, 1]) * slope
     x0, x1 = at(row * size - margin), at((row + 1) * size + margin)
     left, right = np.where(dy != 0, np.minimum(x0, x1), low[i, 0]) - margin, np.where(dy != 0, np.maximum(x0, x1), high[i, 0]) + margin
     # a little more, against rounding
     k, cx = ranges(np.floor((left - 1e-9 * size) / size).astype(np.int64), np.floor((right + 1e-9 * size) / size).astype(np.int64))
-    edge = np.unique(np.stack((row[k], cx), 1), axis=0)
-    if dimension != AREA:
-        return edge[:, 1], edge[:, 0], np.zeros(len(edge), bool)
-    first = np.ceil(low[:, 1] / size - 0.5).astype(np.int64)
-    last = np.ceil(high[:, 1] / size - 0.5).astype(np.int64) - 1
+    edge = np.unique(np.stack((of[i[k]], row[k], cx), 1), axis=0)
+    wide = np.array([d == AREA for d in dimensions], bool)[of] if len(of) else np.zeros(0, bool)
+    area, own = e[wide], of[wide]
+    first, last = np.ceil(low[wide, 1] / size - 0.5).astype(np.int64), np.ceil(high[wide, 1] / size - 0.5).astype(np.int64) - 1
     i, row = ranges(first, last)
-    x = e[i, 0] + ((row + 0.5) * size - e[i, 1]) * (e[i, 2] - e[i, 0]) / (e[i, 3] - e[i, 1])
-    order = np.lexsort((x, row))
-    row, x = row[order][::2], x[order]
+    x = area[i, 0] + ((row + 0.5) * size - area[i, 1]) * (area[i, 2] - area[i, 0]) / np.where(area[i, 3] != area[i, 1], area[i, 3] - area[i, 1], 1)
+    order = np.lexsort((x, row, own[i]))
+    row, owner, x = row[order][::2], own[i][order][::2], x[order]
     k, cx = ranges(np.ceil(x[::2] / size - 0.5).astype(np.int64), np.floor(x[1::2] / size - 0.5).astype(np.int64))
-    full = np.stack((row[k], cx), 1)
-    both = np.concatenate((edge, full))
-    found, at = np.unique(both, axis=0, return_index=True)
-    return found[:, 1], found[:, 0], at >= len(edge)
+    full = np.stack((owner[k], row[k], cx), 1)
+    found, place = np.unique(np.concatenate((edge, full)), axis=0, return_index=True)
+    return found[:, 0], found[:, 2], found[:, 1], place >= len(edge)
 
 
 def contains(e: np.ndarray, xy: np.ndarray) -> np.ndarray:
@@ -151,6 +154,17 @@ def pieces(a: np.ndarray, b: np.ndarray, e: np.ndarray) -> list[tuple[float, flo
     return [(x, y) for x, y, h in zip(cut[:-1].tolist(), cut[1:].tolist(), held, strict=True) if h]
 
 
+def pieces_of_all(a: np.ndarray, b: np.ndarray, e: np.ndarray) -> list[list[tuple[float, float]]]:
+    """pieces() of many segments: those that no edge cuts are told together, by their middles."""
+    d, s = (b - a)[:, None], (e[:, 2:] - e[:, :2])[None]
+    to, den = e[None, :, :2] - a[:, None], cross(d, s)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t, u = cross(to, s) / den, cross(to, d) / den
+    cut = ((den != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)).any(1)
+    whole = contains(e, (a + b) / 2)
+    return [pieces(x, y, e) if c else [(0.0, 1.0)] if w else [] for x, y, c, w in zip(a, b, cut.tolist(), whole.tolist(), strict=True)]
+
+
 def split(e: np.ndarray, snap: float) -> np.ndarray:
     """The segments cut wherever they meet, ends snapped to a grid, each once whatever its direction, none without length."""
     n = len(e)

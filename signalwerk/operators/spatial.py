@@ -36,13 +36,11 @@ def cover(rows: DataFrame, keys: list[str], size: float, margin: float = 0.0) ->
         import pyarrow as pa
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                part = batch.slice(i, 64)
-                found = [rings.cells(e, d, size, margin) for e, d in zip(rings.edges_by_row(part.column("shape")), part.column("dimension").to_pylist(), strict=True)]
-                n = np.array([len(x[0]) for x in found])
-                owner = pa.array(np.repeat(np.arange(len(n)), n))
-                cx, cy, inner = (np.concatenate([x[j] for x in found]) for j in range(3))
-                yield pa.RecordBatch.from_arrays([*(part.column(k).take(owner) for k in keys), pa.array(cx), pa.array(cy), pa.array(inner), pa.array(np.repeat(n, n).astype(np.int64))], names=[*keys, "_cx", "_cy", "_inner", "_cells"])
+            for i in range(0, batch.num_rows, 1024):
+                part = batch.slice(i, 1024)
+                owner, cx, cy, inner = rings.cells_by_row(rings.edges_by_row(part.column("shape")), part.column("dimension").to_pylist(), size, margin)
+                n, take = np.bincount(owner, minlength=part.num_rows), pa.array(owner)
+                yield pa.RecordBatch.from_arrays([*(part.column(k).take(take) for k in keys), pa.array(cx), pa.array(cy), pa.array(inner), pa.array(n[owner].astype(np.int64))], names=[*keys, "_cx", "_cy", "_inner", "_cells"])
 
     return rows.select(*keys, "dimension", "shape").mapInArrow(run, f"{schema_of(rows, keys)}, _cx long, _cy long, _inner boolean, _cells long")
 
@@ -134,9 +132,9 @@ def clipped(segments: DataFrame, areas: DataFrame, size: float = 500.0) -> DataF
                 ab = [np.stack([part.column(c).field(k).to_numpy(zero_copy_only=False) for k in "xy"], 1) for c in "ab"]
                 inside = []
                 for e, low, high in zip(shape, first, [*first[1:], part.num_rows], strict=True):
-                    for a, b in zip(ab[0][low:high], ab[1][low:high], strict=True):
-                        at = lambda t: dict(zip("xy", (a + (b - a) * t).tolist(), strict=True))  # noqa: B023, E731
-                        inside.append([{"a": at(t), "b": at(u)} for t, u in rings.pieces(a, b, e)])
+                    a, b = ab[0][low:high], ab[1][low:high]
+                    at = lambda n, t: dict(zip("xy", (a[n] + (b[n] - a[n]) * t).tolist(), strict=True))  # noqa: B023, E731
+                    inside += [[{"a": at(n, t), "b": at(n, u)} for t, u in found] for n, found in enumerate(rings.pieces_of_all(a, b, e))]
                 point = pa.struct([("x", pa.float64()), ("y", pa.float64())])
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("area_id"), pa.array(inside, pa.list_(pa.struct([("a", point), ("b", point)])))], names=["id", "area_id", "inside"])
 
