@@ -83,3 +83,23 @@ def test_long_texts_are_cut_without_loss():
     by_place = dict(zip(at.tolist(), of.tolist(), strict=True))
     assert all(by_place[100_000 + i] == by_place[300_000 + i] for i in range(100_000 - 399))
     assert again[-1]
+
+
+def test_large_groups_do_not_move_texts_again(spark):
+    """Whether or not a group is too large for a block, texts are read twice: for their segments and for the bytes of those that are in groups."""
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8)))
+    passage = " ".join(word() for _ in range(12))
+    rows = [(i, f"{' '.join(word() for _ in range(20))} {passage if i % 3 else ''} {' '.join(word() for _ in range(20))}") for i in range(300)]
+    texts = repeats.keyed(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).selectExpr("k1", "k2", "1L AS weight", "text")
+    want = plain([t.encode() for _, t in rows], [1] * len(rows), 40)
+    for block in (10**6, 3000):
+        read = spark.sparkContext.accumulator(0)
+
+        def counted(batches, read=read):
+            for b in batches:
+                read.add(b.num_rows)
+                yield b
+
+        assert repeats.covered(texts.mapInArrow(counted, texts.schema), 40, block).count() == sum(map(bool, want)) == 200
+        assert read.value == 2 * len(rows), block
