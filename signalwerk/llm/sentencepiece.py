@@ -64,6 +64,11 @@ class Model:
             self.reach[p[0]] = max(self.reach.get(p[0], 1), len(p))
         self.piece_ids = lru_cache(1 << 17)(lambda piece: np.asarray(self.ids_of(piece), "<u4").tobytes())
         self.usable = {p for p in self.score if self.whole(p)} if self.kind == "merge" else set(self.score)
+        self.starts: dict[str, bool] = {}  # what usable pieces begin with, of two characters or more, and whether it is one
+        for p in self.usable:
+            for n in range(2, len(p)):
+                self.starts.setdefault(p[:n], False)
+            self.starts[p] = True
         self.raw = [bytes([self.byte_of[i]]) if i in self.byte_of else p.encode() for i, p in enumerate(self.pieces)]
 
     def normal(self, text: str) -> str:
@@ -163,19 +168,23 @@ class Model:
         return traced(came, (len(word), last), (0, None))
 
     def only_way(self, word: str) -> list[str]:
-        """forward() and traced() for a merge model from a cut: merging splits each prefix in one way, so each place has one state at most."""
-        n, usable, reach, compatible = len(word), self.usable, self.reach.get, self.compatible
+        """forward() and traced() for a merge model from a cut: merging splits each prefix in one way, so each place has one state, and a
+        place that has its state needs no other piece. Pieces from a place on end where no usable piece goes on."""
+        n, starts, compatible = len(word), self.starts.get, self.compatible
         last: list[str | None] = [None] * (n + 1)
         for place in range(n):
             before = last[place]
             if before is None and place:
                 continue
-            if place == 0 or compatible(before, word[place]):
+            if last[place + 1] is None and (place == 0 or compatible(before, word[place])):
                 last[place + 1] = word[place]
-            for stop in range(place + 2, min(n, place + reach(word[place], 1)) + 1):
-                piece = word[place:stop]
-                if piece in usable and (place == 0 or compatible(before, piece)):
-                    last[stop] = piece
+            for stop in range(place + 2, n + 1):
+                if last[stop] is None:
+                    is_piece = starts(piece := word[place:stop])
+                    if is_piece is None:
+                        break
+                    if is_piece and (place == 0 or compatible(before, piece)):
+                        last[stop] = piece
         out = []
         while n:
             out.append(last[n])

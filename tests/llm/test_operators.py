@@ -207,6 +207,23 @@ def test_sentencepiece_is_the_library(spark, odd):
     assert np.allclose(sentencepiece.product(sentencepiece.product(a, b), c), sentencepiece.product(a, sentencepiece.product(b, c)))
 
 
+def test_sentencepiece_tries_few_pieces():
+    """A place of a word that has its state is not tried again; the pieces are those that plain merging leaves."""
+    m, rnd, tried = sentencepiece.Model(tokenizer_path("piece_bpe_32k.model")), random.Random(8), 0
+    pieces = sorted(p for p in m.usable if len(p) > 1 and p.isalpha())
+    words = ["▁" + "".join(rnd.choice(pieces)[: rnd.randint(1, 4)] for _ in range(4)) for _ in range(1000)] + ["", "a", "▁", "▁▁▁▁", "==", "世界"]
+    compatible = m.compatible
+
+    def counted(before, piece):
+        nonlocal tried
+        tried += 1
+        return compatible(before, piece)
+
+    m.compatible = counted
+    assert [m.only_way(w) for w in words] == [m.merged(w) for w in words]
+    assert tried < 1.2 * sum(map(len, words))
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(120, 16))
