@@ -8,6 +8,7 @@ import numpy as np
 
 from signalwerk.llm import repeats
 from signalwerk.llm.intervals import repeated
+from signalwerk.llm.queries import QUERIES
 
 
 def plain(texts: list[bytes], weights: list[int], least: int) -> list[list[tuple[int, int]]]:
@@ -103,3 +104,27 @@ def test_large_groups_do_not_move_texts_again(spark):
 
         assert repeats.covered(texts.mapInArrow(counted, texts.schema), 40, block).count() == sum(map(bool, want)) == 200
         assert read.value == 2 * len(rows), block
+
+
+def test_planted_passages_go_from_400_bytes_on_and_clean_documents_stay(spark, tmp_path):
+    """Passages of over 50 words, each in two documents with other bytes on either side; n_bytes is the whole text's length whatever goes."""
+    r = random.Random(5)
+    say = lambda n, letters="abcdefghij": " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 6))) for _ in range(n))
+    texts, gone = [], []
+    for size in (360, 399, 400, 401, 900):
+        for letters in ("abcdefghij", "abcdeéßü"):
+            passage = say(200, letters).encode()[:size].decode(errors="ignore")
+            passage += "x" * (size - len(passage.encode()))
+            assert len(passage.split()) > 50
+            for a, b in ("<>", "[]"):
+                texts.append((say(70), f"{a}{passage}{b}", say(70)))
+                gone.append(size if size >= 400 else 0)
+    texts += [(say(150), "", "") for _ in range(20)]
+    gone += [0] * 20
+    spark.createDataFrame([(i, "".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op13_suffix_dedup"](spark, str(tmp_path)).collect()
+    assert sorted(x.doc_id for x in found) == list(range(len(texts)))
+    for x in found:
+        (before, passage, after), n = texts[x.doc_id], gone[x.doc_id]
+        kept = (before + passage[0] + passage[-1] + after if n else before + passage + after).encode()
+        assert (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) == (len((before + passage + after).encode()), n, int(n > 0), hashlib.sha256(kept).hexdigest()), x.doc_id
