@@ -33,3 +33,7 @@ def same(spark, edges, name):
 
 def test_tiles(spark, edges):
     same(spark, edges, "tiles")
+
+
+def test_tile_bytes(spark, edges):
+    same(spark, edges, "tile_bytes")
