@@ -37,3 +37,7 @@ def test_tiles(spark, edges):
 
 def test_tile_bytes(spark, edges):
     same(spark, edges, "tile_bytes")
+
+
+def test_tile_reads(spark, edges):
+    same(spark, edges, "tile_reads")
