@@ -41,3 +41,7 @@ def test_tile_bytes(spark, edges):
 
 def test_tile_reads(spark, edges):
     same(spark, edges, "tile_reads")
+
+
+def test_viewport(spark, edges):
+    same(spark, edges, "viewport")
