@@ -45,3 +45,7 @@ def test_tile_reads(spark, edges):
 
 def test_viewport(spark, edges):
     same(spark, edges, "viewport")
+
+
+def test_filtered_cells(spark, edges):
+    same(spark, edges, "filtered_cells")
