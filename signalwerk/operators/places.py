@@ -55,6 +55,18 @@ def inside(x: Column, y: Column, ring: Column) -> Column:
     return F.aggregate(edges, F.lit(False), lambda acc, e: acc != crossed(e))
 
 
+def on_rim(x: Column, y: Column, ring: Column, off: float = 1e-11) -> Column:
+    """Whether a point lies on a ring's edges, which inside() counts in on one side and out on the other; `off` is for rounding, in the ring's units."""
+
+    def touched(e: Column) -> Column:
+        (ax, ay), (bx, by) = (e["a"]["x"], e["a"]["y"]), (e["b"]["x"], e["b"]["y"])
+        # an area of twice the triangle is the distance times the edge's length, which is at most the sum of its sides
+        near = F.abs((bx - ax) * (y - ay) - (by - ay) * (x - ax)) <= off * (F.abs(bx - ax) + F.abs(by - ay))
+        return near & x.between(F.least(ax, bx) - off, F.greatest(ax, bx) + off) & y.between(F.least(ay, by) - off, F.greatest(ay, by) + off)
+
+    return F.exists(F.zip_with(F.slice(ring, 1, F.size(ring) - 1), F.slice(ring, 2, F.size(ring) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b"))), touched)
+
+
 def nearest_parts_selected(pairs: DataFrame, selected: DataFrame) -> DataFrame:
     """Place ids of which every nearest part is among the selected ones: pairs (place_id, part_id, distance), selected (part_id)."""
     least = pairs.groupBy("place_id").agg(F.min("distance").alias("_least"))

@@ -49,3 +49,13 @@ def test_viewport(spark, edges):
 
 def test_filtered_cells(spark, edges):
     same(spark, edges, "filtered_cells")
+
+
+def test_in_area(spark, tmp_path):
+    """Events on each of the area's three edges, in it and out of it."""
+    at = [(20000, 6000), (20000, 30000 - 1), (30000, 5000), (40000, 15000), (50000, 5000), (30000, 25000), (20001, 5001), (30000, 24999), (30001, 25000), (19999, 6000), (25001, 29999), (31234, 23766), (31234, 23765)]
+    each = [(x * pow(7919, -1, 60000) % 60000, datetime.datetime(2024, 1, 1), y * pow(104729, -1, 30000) % 30000, TYPES[i % 5], 1.0, "{}") for i, (x, y) in enumerate(at)]
+    spark.createDataFrame(each, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    same(spark, (str(tmp_path), con), "in_area")
