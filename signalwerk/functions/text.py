@@ -1,6 +1,8 @@
 """Text expressions: clean-up, names, sentences, evidence quotes, addresses, digests."""
 
 import html
+import html.entities
+import re
 import unicodedata
 
 import pandas as pd
@@ -113,9 +115,16 @@ def html_unescape(texts: pd.Series) -> pd.Series:
     return texts.map(lambda x: None if x is None else html.unescape(x))
 
 
-def unescaped(text: Column) -> Column:
-    """All character references of HTML as characters."""
-    return F.when(text.contains("&"), html_unescape(text)).otherwise(text)
+@F.pandas_udf(StringType())
+def html_unescape_ended(texts: pd.Series) -> pd.Series:
+    """References that end with a semicolon, the unknown ones as they are."""
+    known = lambda m: html.unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html.entities.html5 else m[0]
+    return texts.map(lambda x: None if x is None else re.sub(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);", known, x))
+
+
+def unescaped(text: Column, ended: bool = False) -> Column:
+    """All character references of HTML as characters; `ended`: only those that end with a semicolon, as a cut text's last one does not."""
+    return F.when(text.contains("&"), (html_unescape_ended if ended else html_unescape)(text)).otherwise(text)
 
 
 def filled(template: Column, values: Column) -> Column:

@@ -66,3 +66,8 @@ def test_publication_is_idempotent(spark):
         publish.publish(root, "g1", {"t": (df, ["month"])})
     publish.publish(root, "g2", {"t": (df.filter("id > 1"), ["month"])})
     assert publish.generations(spark, root) == ["g1", "g2"] and publish.current(spark, root, "t").count() == 2
+
+
+def test_references_that_are_cut(spark):
+    body = listing.between(F.lit("<article>a&amp;b &lt;c&gt; &#228;&#xe4; &uuml;&nosuch;&ampx; x&amp</h1> &am</article>"), "<article>", "</article>")
+    assert one(spark, body)[0] == "a&b <c> ääü&nosuch;&ampx; x&amp &am".replace("ääü", "ää ü")
