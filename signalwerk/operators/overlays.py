@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import rings
+from ..functions import overlay, rings
 from ..scratch import stored
 from .spatial import SHAPE, schema_of
 
@@ -29,14 +29,14 @@ def combined(rows: DataFrame, keys: list[str], operation: str) -> DataFrame:
 
         point = pa.struct([("x", pa.float64()), ("y", pa.float64())])
         for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                part = batch.slice(i, 64)
-                out = []
-                for shapes in part.column("shapes").to_pylist():
-                    each = [lists(s) for s in shapes]
-                    made = [[x] for x in rings.noded([line for s in each for p in s for line in p])] if operation == "lines" else rings.overlay(each, operation)
-                    out.append(points(made))
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), pa.array(out, pa.list_(pa.list_(pa.list_(point))))], names=[*keys, "shape"])
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                if operation == "lines":
+                    out = [points([[x] for x in rings.noded([line for s in map(lists, shapes) for p in s for line in p])]) for shapes in part.column("shapes").to_pylist()]
+                    made = pa.array(out, pa.list_(pa.list_(pa.list_(point))))
+                else:
+                    made = overlay.nested(part.num_rows, *overlay.overlaid(*overlay.flat(part.column("shapes")), operation))
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), made], names=[*keys, "shape"])
 
     return rows.select(*keys, "shapes").mapInArrow(run, f"{schema_of(rows, keys)}, shape {SHAPE}")
 

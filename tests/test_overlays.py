@@ -121,3 +121,29 @@ def test_mails_and_entities(spark):
     got = [x.t for x in spark.createDataFrame(list(enumerate(cases)), "i int, c string").select("i", mails.mail_text(F.col("c")).alias("t")).orderBy("i").collect()]
     assert got[:5] == ["Hallo", None, None, None, None] and got[5].split() == ["aü", "b"]
     assert spark.range(1).select(sites.visible(F.lit("<b>K&uuml;ste</b> &#228; &ndash;&amp;lt;"))).first()[0] == "Küste ä –&lt;"
+
+
+def test_overlays_whose_crossings_round_apart():
+    """Areas at odd places, whose edges cross within a grid's width of each other's rounding: rings close and areas are right. Many rows at once are as one by one."""
+    from signalwerk.plans import spatial_queries as q
+
+    rows, want = [], []
+    for x, y, x0, y0 in ((405385.4980569096, 5805489.602337169, -75.0, -203.0), (398903.0586292057, 5811680.41477232, -140.0, -203.0), (392373.67213285743, 5810339.235372829, -92.0, -190.0)):
+        x, y = x + 17.3 - 300 + 300, y + 11.7
+        ring = lambda corners: [(x + dx, y + dy) for dx, dy in corners]  # noqa: B023, E731
+        own = [[ring(q.L), ring(q.HOLE)], [ring(q.SQUARE)]]
+        ax, ay = ring(q.L)[0][0] + 300, ring(q.L)[0][1] + 300
+        rows.append([own, [[[(ax + a, ay + b) for a, b in ((x0, y0), (x0 + 600, y0), (x0 + 600, y0 + 650), (x0, y0 + 650), (x0, y0))]]]])
+        over = lambda a, b, c, d: max(min(x0 + 600, b) - max(x0, a), 0) * max(min(y0 + 650, d) - max(y0, c), 0)  # noqa: B023, E731
+        want.append(over(-300, 300, -300, 0) + over(-300, 0, 0, 300) - over(-170, -130, -170, -130) + over(400, 460, 400, 460))
+    each = [rings.overlay(r, "intersection") for r in rows]
+    assert [round(rings.area_of(s)) for s in each] == want and rings.overlays([*rows, [], [[]]], "intersection") == [*each, [], []]
+
+
+def test_overlay_of_many_shapes():
+    """More shapes than one word has bits, an empty one among them, and rings that touch at a corner."""
+    square = lambda x, y, w=1.0: [[[(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]]]
+    row = [square(float(i), 0.0) for i in range(0, 140, 2)] + [square(float(i), 1.0) for i in range(1, 140, 2)]
+    assert len(rings.overlay(row, "union")) == 140 and rings.area_of(rings.overlay(row, "union")) == 140
+    assert rings.area_of(rings.overlay([square(0.0, 0.0, 9.0), *row[:70]], "difference")) == 81 - 5 and rings.overlay([*row[:1] * 70, []], "intersection") == []
+    assert rings.area_of(rings.overlay(row[:1] * 70, "intersection")) == 1 and rings.overlay(row[:1] * 70, "symmetric") == []
