@@ -58,7 +58,7 @@ def points_in_areas(points: DataFrame, areas: DataFrame, key: str, size: float =
     Each pair comes once, with the columns of both sides, whose names have to be different but for `same`; keys are unique."""
     cell = lambda c: F.floor(F.col(c) / size).cast("long")
     a = areas.withColumn("dimension", F.lit(rings.AREA))
-    found = points.withColumn("_cx", cell("x")).withColumn("_cy", cell("y")).join(cover(a, [*same, key], size, radius).drop("_cells"), [*same, "_cx", "_cy"]).drop("_cx", "_cy")
+    found = points.withColumn("_cx", cell("x")).withColumn("_cy", cell("y")).join(cover(a, [*same, key], size, radius).drop("_cells").hint("merge"), [*same, "_cx", "_cy"]).drop("_cx", "_cy")  # never sent whole through the driver
     kept = [c for c in found.columns if c != "_inner"]
 
     def run(batches: Iterator) -> Iterator:
@@ -76,10 +76,10 @@ def points_in_areas(points: DataFrame, areas: DataFrame, key: str, size: float =
                     hit[low:high] |= rings.to_edges(xy[low:high], e) <= radius
             yield batch.filter(pa.array(hit)).select(kept)
 
-    exact = found.filter("not _inner").drop("_inner").join(areas.select(key, "shape"), key).sortWithinPartitions(key).mapInArrow(run, schema_of(found, kept))
+    exact = found.filter("not _inner").drop("_inner").join(areas.select(key, "shape").hint("merge"), key).sortWithinPartitions(key).mapInArrow(run, schema_of(found, kept))
     both = found.filter("_inner").select(*kept).unionByName(exact)
     rest = [c for c in areas.columns if c not in (key, *same)]
-    return both.join(areas.select(key, *rest), key) if rest else both
+    return both.join(areas.select(key, *rest).hint("merge"), key) if rest else both
 
 
 def changes(column) -> list[int]:

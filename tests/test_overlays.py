@@ -158,3 +158,11 @@ def test_unions_of_many_rows_take_no_time_each():
     began = time.process_time()
     found = rings.overlays(rows, "union")
     assert time.process_time() - began < 3 and all([rings.area_of([p]) for p in s] == [15, 25] for s in found)
+
+
+def test_chains_send_no_table_through_the_driver(spark):
+    """Joins of tables that grow with the lines stay shuffled, however small their files look."""
+    lines = spark.createDataFrame([(i, "g", [(float(i), 0.0), (float(i + 1), 0.0)]) for i in range(20)], "line_id long, group string, line array<struct<x:double,y:double>>")
+    found = chains.merged(lines)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and [x.n_lines for x in found.collect()] == [20]
