@@ -32,7 +32,8 @@ def combined(rows: DataFrame, keys: list[str], operation: str) -> DataFrame:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 if operation == "lines":
-                    out = [points([[x] for x in rings.noded([line for s in map(lists, shapes) for p in s for line in p])]) for shapes in part.column("shapes").to_pylist()]
+                    made = rings.noded_each([[line for s in map(lists, shapes) for p in s for line in p] for shapes in part.column("shapes").to_pylist()])
+                    out = [points([[x] for x in found]) for found in made]
                     made = pa.array(out, pa.list_(pa.list_(pa.list_(point))))
                 else:
                     made = overlay.nested(part.num_rows, *overlay.overlaid(*overlay.flat(part.column("shapes")), operation))
