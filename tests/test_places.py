@@ -18,7 +18,7 @@ def edges(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("edges")
     ids = [i * pow(7919, -1, 60000) % 60000 for i in range(2000, 60000, 2000)]
     users = [i * pow(104729, -1, 30000) % 30000 for i in range(0, 30000, 2500)]
-    each = [(a + 60000 * n, datetime.datetime(2024, 1, 1 + n % 28), b, TYPES[n % 5], 1.0 * (n % 20), "{}") for a in ids for n, b in enumerate(users)]
+    each = [(a + 60000 * (5 * n + k), datetime.datetime(2024, 1, 1 + n % 28), b, kind, 1.0 * (n % 20), "{}") for a in ids for n, b in enumerate(users) for k, kind in enumerate(TYPES)]
     spark.createDataFrame(each, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(f"{root}/events.parquet")
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{root}/events.parquet/*.parquet'")
